@@ -20,21 +20,25 @@ through; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import array
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.patterns import Splitter
 from tidegauge.session import ship
 
 CHUNK = 32_768
 OVERLAP = 1_024
 CACHED_PIECES = 400_000
+#: How far past its start a match may look to choose a contraction; nearer to a chunk's end no boundary is certain.
+LOOKAHEAD = 4
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -50,7 +54,7 @@ class Vocabulary:
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
-        self.pattern = regex.compile(pattern)
+        self.pattern = Splitter(pattern)
         self.known: dict[str, bytes] = {}
 
     def piece(self, text: str) -> bytes:
@@ -59,19 +63,25 @@ class Vocabulary:
         if ids is None:
             if len(self.known) >= CACHED_PIECES:
                 self.known.clear()
-            ids = np.array(self.encoding._encode_single_piece(text), "<u4").tobytes()
+            ids = array.array("I", self.encoding._encode_single_piece(text)).tobytes()
             if len(text) < 64:
                 self.known[text] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         known = self.known
-        return b"".join([known.get(p) or self.piece(p) for p in self.pattern.findall(text)])
+        return b"".join([known.get(p) or self.piece(p) for p in self.pattern.of(text).findall(text)])
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+@lru_cache(1)
+def vocabulary_of(ranks_path: str, pattern: str) -> Vocabulary:
+    """One for each Python worker, which serves many tasks."""
+    return Vocabulary(ranks_path, pattern)
+
+
 def chunks_of(text: str, chunk: int, overlap: int) -> Iterator[tuple[int, str]]:
     """(start, text) of each chunk; the last one ends where the text does."""
     start = 0
@@ -86,7 +96,7 @@ def split_chunk(vocabulary: Vocabulary, start: int, text: str) -> tuple[np.ndarr
     """Boundaries (the start and each end, in the whole text), the count of ids up to each, and the ids."""
     ends, counts, ids = [start], [0], []
     total = 0
-    for match in vocabulary.pattern.finditer(text):
+    for match in vocabulary.pattern.of(text).finditer(text):
         coded = vocabulary.piece(match[0])
         total += len(coded) // 4
         ends.append(start + match.end())
@@ -103,8 +113,8 @@ def stitch(vocabulary: Vocabulary, chunks: list[tuple]) -> bytes:
         # bridge from the boundary that is right to the first that this chunk has too
         first = int(np.searchsorted(ends, at))
         while not (first < len(ends) and ends[first] == at):
-            match = vocabulary.pattern.match(text, at - start)
-            if match is None or (not last and match.end() == len(text)):
+            match = vocabulary.pattern.any_text.match(text, at - start)
+            if match is None or (not last and match.end() > len(text) - LOOKAHEAD):
                 break
             out.append(vocabulary.piece(match[0]))
             at = start + match.end()
@@ -114,8 +124,8 @@ def stitch(vocabulary: Vocabulary, chunks: list[tuple]) -> bytes:
             if synced:
                 out.append(ids[4 * int(counts[first]) :])
             return b"".join(out)
-        # leave at the first boundary that the next chunk has as well; the last one of a chunk is not certain
-        certain = ends[first : len(ends) - 1] if synced else np.array([at])
+        # leave at the first boundary that the next chunk has as well; none near the end of a chunk is certain
+        certain = ends[first:][ends[first:] <= start + len(text) - LOOKAHEAD] if synced else ends[:0]
         if not len(certain):
             certain = np.array([at])
         following = chunks[i + 1]
@@ -141,7 +151,7 @@ def _table(ids: list, kind: pa.DataType, results: list[tuple]) -> pa.RecordBatch
 
 def _encode_short(ranks_path: str, pattern: str):
     def run(batches):
-        vocabulary = Vocabulary(ranks_path, pattern)
+        vocabulary = vocabulary_of(ranks_path, pattern)
         for batch in batches:
             results = []
             for at in range(0, batch.num_rows, 256):
@@ -167,7 +177,7 @@ def _cut_long(chunk: int, overlap: int):
 
 def _encode_chunks(ranks_path: str, pattern: str):
     def run(batches):
-        vocabulary = Vocabulary(ranks_path, pattern)
+        vocabulary = vocabulary_of(ranks_path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, 32):
                 part = batch.slice(at, 32)
@@ -179,15 +189,12 @@ def _encode_chunks(ranks_path: str, pattern: str):
 
 
 def _stitch_group(ranks_path: str, pattern: str):
-    kept: list[Vocabulary] = []
-
     def run(table: pa.Table) -> pa.Table:
-        if not kept:
-            kept.append(Vocabulary(ranks_path, pattern))
+        vocabulary = vocabulary_of(ranks_path, pattern)
         rows = table.sort_by("start").select(["start", "text", "ends", "counts", "ids"]).to_pylist()
         chunks = [(r["start"], r["text"], np.frombuffer(r["ends"], np.int64), np.frombuffer(r["counts"], np.int64), r["ids"]) for r in rows]
         doc_id = table.column("doc_id")[0].as_py()
-        return pa.Table.from_batches([_table([doc_id], table.schema.field("doc_id").type, [_digest(kept[0], stitch(kept[0], chunks))])])
+        return pa.Table.from_batches([_table([doc_id], table.schema.field("doc_id").type, [_digest(vocabulary, stitch(vocabulary, chunks))])])
 
     return run
 

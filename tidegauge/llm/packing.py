@@ -18,8 +18,11 @@ gives an empty result; columns other than id and text are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,45 +30,101 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.patterns import Splitter
 from tidegauge.session import ship
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 OPEN_BINS = 2048
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 #: str.split() also splits at these, the tokenizer doesn't.
-ODD_SPACES = frozenset("\x1c\x1d\x1e\x1f")
+ODD_SPACES = re.compile("[\x1c-\x1f]")
+#: Ends a word for the merges: no byte of UTF-8.
+WORD_END = b"\xff"
+#: Below this, texts are in normal form C and lower-cased character by character; beyond it the tokenizer itself encodes.
+BEYOND_PLAIN = re.compile("[^\x00-\u024f]")
 
 
 class WordEncoder:
-    """Token ids of texts as little-endian bytes. No token spans white space, so each distinct word is encoded once while it is remembered."""
+    """Token ids of texts as little-endian bytes.
+
+    No token spans white space, so each distinct word is encoded once while it is remembered. A new
+    word is split by the tokenizer's own pattern and its byte merges are looked up by rank, the mark
+    that ends a word standing as one more byte that merges with the last one first. Words with
+    characters past U+024F or with a special token's opening go through the tokenizer as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        model = json.loads(self.tokenizer.to_str())
+        pattern = model["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        ends, vocabulary = model["model"]["end_of_word_suffix"], model["model"]["vocab"]
+        char_byte = {c: b for b, c in byte_characters().items()}
+        tokens = {}
+        for token, token_id in vocabulary.items():
+            ended = token.endswith(ends) and len(token) > len(ends)
+            raw = bytes(char_byte[c] for c in (token.removesuffix(ends) if ended else token))
+            if WORD_END not in raw:
+                tokens[raw + WORD_END * ended] = token_id
+        # merges by order of ids, which is that of the merges; a byte with the word's end comes before all merges
+        singles = [bytes([b]) + WORD_END for b in range(255)]
+        merged = sorted((t for t in tokens if len(t) > 1 and t not in set(singles)), key=tokens.__getitem__)
+        order = [*singles, *merged, *(bytes([b]) for b in range(256))]
+        self.ids = [tokens.get(t, 0).to_bytes(4, "little") for t in order]
+        self.merges = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(order)}, special_tokens={})._core_bpe
+        self.pattern = Splitter(pattern).plain_text
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.units: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def word(self, word: str) -> bytes:
+        if "<|" in word or BEYOND_PLAIN.search(word):
+            return self.whole(word)
+        out = []
+        for unit in self.pattern.findall(word.lower()):
+            ids = self.units.get(unit)
+            if ids is None:
+                if len(self.units) > CACHED_WORDS:
+                    self.units.clear()
+                ids = self.units[unit] = b"".join([self.ids[i] for i in self.merges.encode_single_piece(unit.encode() + WORD_END)])
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
         out, known = [], self.known
         for text in texts:
-            if not ODD_SPACES.isdisjoint(text):
-                out.append(self._encode([text])[0])
+            if ODD_SPACES.search(text):
+                out.append(self.whole(text))
                 continue
+            if len(known) > CACHED_WORDS:
+                known.clear()
             words = text.split()
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if new:
-                known.update(zip(new, self._encode(new), strict=True))
-            out.append(b"".join(map(known.__getitem__, words)))
+            for word in words:
+                if word not in known:
+                    known[word] = self.word(word)
+            out.append(b"".join([known[w] for w in words]))
         return out
 
 
+@lru_cache(1)
+def word_encoder(path: str) -> WordEncoder:
+    """One for each Python worker, which serves many tasks."""
+    return WordEncoder(path)
+
+
+def byte_characters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary: itself if it prints, else one from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(prints)]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 def cut(n_tokens: int, size: int) -> list[tuple[int, int, int]]:
     """(piece, start, length) of a document: only one longer than a sequence is cut."""
     return [(i, start, min(size, n_tokens - start)) for i, start in enumerate(range(0, n_tokens, size))]
@@ -73,7 +132,7 @@ def cut(n_tokens: int, size: int) -> list[tuple[int, int, int]]:
 
 def _pieces(path: str, size: int, end_id: int):
     def run(batches):
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []

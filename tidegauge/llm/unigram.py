@@ -23,8 +23,10 @@ columns are not read.
 
 from __future__ import annotations
 
+import gc
 import math
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,8 +52,19 @@ def load_scores(model_path: str) -> tuple[dict[str, float], float]:
     return scores, -math.log(rank + 1)
 
 
+def vocabulary_trie(scores: dict[str, float]) -> dict:
+    """Pieces by character; the entry under the empty string is the score of the piece that ends there."""
+    root: dict = {}
+    for piece, score in scores.items():
+        node = root
+        for char in piece:
+            node = node.setdefault(char, {})
+        node[""] = score
+    return root
+
+
 class Trie:
-    """Nodes are dicts of children; a node's own entry under the empty string marks the end of a pre-token."""
+    """Nodes are dicts of children; a node's own entry under the empty string is the pre-token that ends there."""
 
     def __init__(self, words):
         self.root: dict = {}
@@ -61,63 +74,66 @@ class Trie:
                 node = node.setdefault(char, {})
             node[""] = word
 
-    def counts(self, scores: dict[str, float], byte_score: float, longest: int) -> dict[str, tuple[int, float]]:
-        """(pieces, score) of each pre-token."""
+    def counts(self, pieces: dict, byte_score: float) -> dict[str, tuple[int, float]]:
+        """(number of pieces, score) of each pre-token, given the vocabulary's trie.
+
+        A node's forward value is (score, minus the pieces), so that the larger of two is the better.
+        With it go the pieces that are begun: the vocabulary nodes reached, each with the forward value it started from.
+        """
         out: dict[str, tuple[int, float]] = {}
-        path: list[str] = []
-        forward: list[tuple[float, int]] = [(0.0, 0)]  # (score, minus the number of pieces), so that max() breaks ties
-        stack = [(self.root, iter(self.root.items()))]
+        stack = [(self.root, 0.0, 0, [])]
         while stack:
-            node, children = stack[-1]
-            step = next(children, None)
-            if step is None:
-                stack.pop()
-                if path:
-                    path.pop()
-                    forward.pop()
-                continue
-            char, child = step
-            if char == "":
-                score, pieces = forward[-1]
-                out[child] = (-pieces, score)
-                continue
-            path.append(char)
-            n = len(path)
-            tail = "".join(path[-longest:])
-            k = len(char.encode("utf-8", "surrogatepass"))
-            score, pieces = forward[n - 1]
-            own = scores.get(char)
-            best = (score + k * byte_score, pieces - k) if own is None else (score + own, pieces - 1)
-            for length in range(2, len(tail) + 1):
-                own = scores.get(tail[-length:])
-                if own is not None:
-                    score, pieces = forward[n - length]
-                    if (score + own, pieces - 1) > best:
-                        best = (score + own, pieces - 1)
-            forward.append(best)
-            stack.append((child, iter(child.items())))
+            node, score, minus, begun = stack.pop()
+            started = [*begun, (pieces, score, minus)]
+            for char, child in node.items():
+                if char == "":
+                    out[child] = (-minus, score)
+                    continue
+                best, best_minus, going, alone = -math.inf, 0, [], False
+                for at, from_score, from_minus in started:
+                    reached = at.get(char)
+                    if reached is not None:
+                        going.append((reached, from_score, from_minus))
+                        own = reached.get("")
+                        if own is not None:
+                            alone = alone or at is pieces
+                            total = from_score + own
+                            if total > best or (total == best and from_minus - 1 > best_minus):
+                                best, best_minus = total, from_minus - 1
+                if not alone:
+                    k = len(char.encode("utf-8", "surrogatepass"))
+                    total = score + k * byte_score
+                    if total > best or (total == best and minus - k > best_minus):
+                        best, best_minus = total, minus - k
+                stack.append((child, best, best_minus, going))
         return out
 
 
+@lru_cache(1)
+def vocabulary_of(model_path: str) -> tuple[dict, float, dict[str, tuple[int, float]]]:
+    """The vocabulary's trie, the score of a byte piece, and the counts known so far: one for each Python worker, which serves many tasks."""
+    scores, byte_score = load_scores(model_path)
+    return vocabulary_trie(scores), byte_score, {}
+
+
 def _count(model_path: str):
     def run(batches):
-        scores, byte_score = load_scores(model_path)
-        longest = max(map(len, scores))
-        known: dict[str, tuple[int, float]] = {}
+        pieces, byte_score, known = vocabulary_of(model_path)
+        gc.disable()  # tries of many small dicts, without cycles
         for batch in batches:
             tokens, words_in, logs = [], [], []
-            for at in range(0, batch.num_rows, 512):
+            for at in range(0, batch.num_rows, 1024):
                 if len(known) > CACHED_WORDS:
                     known.clear()
-                split = [PRE_TOKEN.findall(t) if t else [] for t in batch.column(1).slice(at, 512).to_pylist()]
+                split = [PRE_TOKEN.findall(t) if t else [] for t in batch.column(1).slice(at, 1024).to_pylist()]
                 new = {w for words in split for w in words if w not in known}
-                found = Trie(WORD_MARK + w for w in new).counts(scores, byte_score, longest)
+                found = Trie(WORD_MARK + w for w in new).counts(pieces, byte_score)
                 known.update((w[1:], v) for w, v in found.items())
                 for words in split:
                     stored = [known[w] for w in words]
                     tokens.append(sum(n for n, _ in stored))
                     words_in.append(len(words))
-                    logs.append(math.fsum(s for _, s in stored))
+                    logs.append(sum(s for _, s in stored))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), pa.array(words_in, pa.int64()), pa.array(logs, pa.float64())], names=["doc_id", "n_tokens", "n_pretokens", "score"])
 
     return run
