@@ -17,18 +17,37 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegauge.llm.topk import top_k
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.packing import pack_documents
 
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegauge.llm.langid import predict_languages
+
+    return predict_languages(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.dedup import group_members
 
     return group_members(_table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegauge.llm.simhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.unigram import token_counts
 
@@ -44,13 +63,28 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k_search": op1_top_k_search,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_top_k_search": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
     "op7_exact_dedup": r"""
         WITH hashed AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
