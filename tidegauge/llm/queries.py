@@ -24,6 +24,12 @@ def op1_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegauge.llm.quality import classify
+
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.packing import pack_documents
 
@@ -64,6 +70,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": op1_top_k_search,
+    "op2_quality": op2_quality,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op7_exact_dedup": op7_exact_dedup,
