@@ -24,6 +24,7 @@ import math
 import re
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from tidegauge.session import ship
 FEED = 1 << 16
 SIGMA = 1.0
 REACH = 2
+WEIGHTS = np.exp(-(np.arange(-REACH, REACH + 1) ** 2) / (2 * SIGMA * SIGMA))
 #: A region holds at least this share of the content.
 MOST = 0.9
 
@@ -80,7 +82,13 @@ class Lines(HTMLParser):
         self.parts: list[str] = []
         self.tags = self.count = 0
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Line numbers aren't asked for."""
+        return j
+
     def line(self) -> None:
+        if not self.parts:
+            return
         text = " ".join("".join(self.parts).split())
         self.parts.clear()
         if text:
@@ -114,7 +122,8 @@ class Lines(HTMLParser):
             return False
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN_STYLE.search(attrs.get("style") or "") or (attrs.get("role") or "").lower() in ROLES:
             return True
-        words = {w.lower() for name in ("class", "id") for w in MARK_WORD.findall(attrs.get(name) or "")}
+        marked = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
+        words = {w.lower() for w in MARK_WORD.findall(marked)}
         if tag in KEPT:
             return bool(words & COMMENT_MARKS) and tag == "article"
         return bool(words & MARKS) or (not in_article and bool(words & PAGE_MARKS))
@@ -151,12 +160,11 @@ class Lines(HTMLParser):
 
 
 def smoothed(ratios: list[float]) -> list[float]:
-    weights = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
-    out = []
-    for i in range(len(ratios)):
-        near = [(w, ratios[i + k]) for k, w in zip(range(-REACH, REACH + 1), weights, strict=True) if 0 <= i + k < len(ratios)]
-        out.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
-    return out
+    """Each value with its neighbours up to REACH, weighted by a Gaussian; at the ends over those there are."""
+    if len(ratios) <= 2 * REACH:
+        norm = np.convolve(np.ones(len(ratios)), WEIGHTS)[REACH:-REACH]
+        return (np.convolve(ratios, WEIGHTS)[REACH:-REACH] / norm).tolist()
+    return (np.convolve(ratios, WEIGHTS, "same") / np.convolve(np.ones(len(ratios)), WEIGHTS, "same")).tolist()
 
 
 def threshold(values: list[float]) -> float:

@@ -42,6 +42,19 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(_table(spark, sf_dir, "documents"))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegauge.llm.surrogate import replace_entities
+
+    replaced = replace_entities(_table(spark, sf_dir, "documents"))
+    return replaced.select("doc_id", "text", "n_entities")
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegauge.llm.htmltext import extract_text
+
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.dedup import group_members
 
@@ -73,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
+    "op5_surrogates": op5_surrogates,
+    "op6_html_text": op6_html_text,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
