@@ -27,6 +27,7 @@ than id and text are not read (keep_one() passes them through).
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -44,24 +45,40 @@ SEED = 42
 HISTOGRAM_BITS = 16
 #: Fingerprints on each side of a block of a split bucket.
 BLOCK = 4096
-#: A probe costs as much as comparing this many candidates.
-PROBE_COST = 200
+#: A row in a bucket costs as much as comparing this many candidates: the shuffle, not the processor, bounds it.
+ROW_COST = 2000
+#: Partitions of a table at most, which bounds `distance`.
+MOST_PARTS = 32
 WIDEST_RADIUS = 2
 
 
-def fingerprint(text: str | None, words_each: int = SHINGLE_WORDS) -> int:
-    """A bit is set if it is in over half the hashes of the shingles, repeats included."""
+def shingle_hashes(text: str | None, words_each: int = SHINGLE_WORDS) -> np.ndarray:
     words = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) <= words_each:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.r_[0, ends[:-1] + 1]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: 1 - words_each].tolist(), ends[words_each - 1 :].tolist(), strict=True)], "<u8")
-    return int((bit_counts(hashes) * 2 > len(hashes)) @ (np.uint64(1) << np.arange(64, dtype=np.uint64)))
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - words_each + 1].tolist(), ends[words_each - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def mixed(hashes: np.ndarray, table: int) -> np.ndarray:
+    """Hashes for one of several tables; the first has them as they are."""
+    if not table:
+        return hashes
+    out = hashes + np.uint64(table * 0x9E3779B97F4A7C15 % (1 << 64))
+    out = (out ^ (out >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return out ^ (out >> np.uint64(31))
+
+
+def fingerprint(text: str | None, words_each: int = SHINGLE_WORDS, tables: int = 1) -> list[int]:
+    """For each table 64 bits: a bit is set if it is in over half the hashes of the shingles, repeats included."""
+    hashes = shingle_hashes(text, words_each)
+    return [int((bit_counts(mixed(hashes, t)) * 2 > len(hashes)) @ (np.uint64(1) << np.arange(64, dtype=np.uint64))) for t in range(tables)]
 
 
 def bit_counts(hashes: np.ndarray) -> np.ndarray:
@@ -72,21 +89,30 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fingerprints(words_each: int):
+def words(tables: int) -> list[str]:
+    return [f"w{t}" for t in range(tables)]
+
+
+def _fingerprints(words_each: int, tables: int):
     def run(batches):
         for batch in batches:
-            found: list[int] = []
+            found: list[list[int]] = []
             for at in range(0, batch.num_rows, 256):
-                found += [fingerprint(t, words_each) for t in batch.column(1).slice(at, 256).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())], names=["id", "text_key", "fp"])
+                found += [fingerprint(t, words_each, tables) for t in batch.column(1).slice(at, 256).to_pylist()]
+            columns = np.array(found, np.uint64).reshape(-1, tables).view(np.int64).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns)], names=["id", "text_key", *words(tables)])
 
     return run
 
 
-def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, words_each: int) -> DataFrame:
+def _longs(names: list[str]) -> str:
+    return ", ".join(f"{n} long" for n in names)
+
+
+def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, words_each: int, tables: int) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
-    return rows.mapInArrow(_fingerprints(words_each), f"id {kind}, text_key long, fp long")
+    return rows.mapInArrow(_fingerprints(words_each, tables), f"id {kind}, text_key long, {_longs(words(tables))}")
 
 
 # --- partitions and thresholds ---------------------------------------------------------------
@@ -113,16 +139,16 @@ def bit_groups(together: np.ndarray, n: int, parts: int) -> list[list[int]]:
     return groups
 
 
-def best_parts(nodes: int, distance: int = DISTANCE) -> int:
-    """The number of partitions with the least expected cost if fingerprints were uniform."""
+def best_parts(nodes: int, distance: int = DISTANCE, tables: int = 1) -> int:
+    """The number of partitions with the least expected cost if fingerprints were uniform. A row has a word for each table."""
 
     def cost(parts: int) -> float:
         width, budget = 64 // parts, distance - parts + 1
         base, more = divmod(budget, parts)
         probes = sum(sum(_choose(width, k) for k in range(base + (i < more) + 1)) for i in range(parts))
-        return (parts + probes) * PROBE_COST + probes * nodes / 2**width
+        return probes * ROW_COST * (3 + tables) / 4 + probes * nodes / 2**width
 
-    return min(range(2, distance + 2), key=cost)
+    return min((p for p in range(2, distance + 2) if distance - p + 1 <= WIDEST_RADIUS * p), key=cost)
 
 
 def _choose(n: int, k: int) -> int:
@@ -185,7 +211,7 @@ class Plan:
                     total = used + radius
                     if not -rest <= target - total <= WIDEST_RADIUS * rest:
                         continue
-                    own = cost if radius < 0 else cost + PROBE_COST * probes[radius] + near[radius]
+                    own = cost if radius < 0 else cost + ROW_COST * (probes[radius] - 1) + near[radius]
                     path = np.vstack([chosen, np.full((1, n), radius, np.int8)])
                     if total in step:
                         old_cost, old_path = step[total]
@@ -203,134 +229,174 @@ class Plan:
 
 
 def _together(batches):
-    total = np.zeros((64, 64), np.int64)
+    total = None
     for batch in batches:
-        fps = batch.column(0).to_numpy().view(np.uint64)
-        for at in range(0, len(fps), 65536):
-            bits = np.unpackbits(np.ascontiguousarray(fps[at : at + 65536]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
-            total += (bits.T @ bits).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(4096), pa.int32()), pa.array(total.ravel(), pa.int64())], names=["cell", "n"])
+        total = np.zeros((batch.num_columns, 64, 64), np.int64) if total is None else total
+        for table, column in enumerate(batch.columns):
+            fps = column.to_numpy().view(np.uint64)
+            for at in range(0, len(fps), 65536):
+                bits = np.unpackbits(np.ascontiguousarray(fps[at : at + 65536]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
+                total[table] += (bits.T @ bits).astype(np.int64)
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel(), pa.int64())], names=["cell", "n"])
 
 
-def _histogram(groups: list[list[int]]):
+def _histogram(groups: list[list[list[int]]]):
     def run(batches):
-        sizes = [1 << min(len(g), HISTOGRAM_BITS) for g in groups]
-        counts = [np.zeros(s, np.int64) for s in sizes]
         for batch in batches:
-            fps = batch.column(0).to_numpy().view(np.uint64)
-            for part, group in enumerate(groups):
-                counts[part] += np.bincount(project(fps, group) >> max(0, len(group) - HISTOGRAM_BITS), minlength=sizes[part])
-        for part, own in enumerate(counts):
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part), pa.int32()), pa.array(at, pa.int32()), pa.array(own[at], pa.int64())], names=["part", "value", "n"])
+            for table, column in enumerate(batch.columns):
+                fps = column.to_numpy().view(np.uint64)
+                for part, group in enumerate(groups[table]):
+                    at, own = np.unique(project(fps, group) >> max(0, len(group) - HISTOGRAM_BITS), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), table * MOST_PARTS + part), pa.int32()), pa.array(at, pa.int32()), pa.array(own, pa.int64())], names=["part", "value", "n"])
 
     return run
 
 
-def make_plan(nodes: DataFrame, n: int, distance: int, parts: int | None) -> Plan:
-    together = np.zeros(4096, np.int64)
-    for cell, count in nodes.select("fp").mapInArrow(_together, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect():
+def make_plans(nodes: DataFrame, n: int, tables: int, distance: int, parts: int | None) -> list[Plan]:
+    together = np.zeros(tables * 4096, np.int64)
+    fps = nodes.select(*words(tables))
+    for cell, count in fps.mapInArrow(_together, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect():
         together[cell] = count
-    groups = bit_groups(together.reshape(64, 64), n, parts or best_parts(n, distance))
-    histogram = {i: np.zeros(1 << min(len(g), HISTOGRAM_BITS), np.int64) for i, g in enumerate(groups)}
-    for part, value, count in nodes.select("fp").mapInArrow(_histogram(groups), "part int, value int, n long").groupBy("part", "value").agg(F.sum("n")).toLocalIterator():
-        histogram[part][value] = count
-    return Plan(groups, histogram, distance)
+    parts = parts or best_parts(n, distance, tables)
+    groups = [bit_groups(x, n, parts) for x in together.reshape(tables, 64, 64)]
+    histograms = [{i: np.zeros(1 << min(len(g), HISTOGRAM_BITS), np.int64) for i, g in enumerate(own)} for own in groups]
+    for place, value, count in fps.mapInArrow(_histogram(groups), "part int, value int, n long").groupBy("part", "value").agg(F.sum("n")).toLocalIterator():
+        histograms[place // MOST_PARTS][place % MOST_PARTS][value] = count
+    return [Plan(g, h, distance) for g, h in zip(groups, histograms, strict=True)]
 
 
 # --- probing and verifying -------------------------------------------------------------------
 
+DATA, BOTH, PROBE = 0, 1, 2
+
 
 def _spread(fps: np.ndarray, blocks: np.ndarray, salt: int) -> np.ndarray:
-    mixed = (fps ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(33)).astype(np.int64)) % blocks
+    out = (fps ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((out >> np.uint64(33)).astype(np.int64)) % blocks
 
 
 def _entries(shared):
-    """Rows (bucket, block, probe, fp): each node's data rows and probe rows, copied to the blocks they meet."""
+    """Rows (bucket, block, role, node, words): each node as data and as a probe, copied to the blocks it meets."""
 
     def run(batches):
-        plan: Plan = shared.value
+        plans: list[Plan] = shared.value
         for batch in batches:
-            everything = batch.column(0).to_numpy().view(np.uint64)
-            for at in range(0, len(everything), 16384):
-                fps = everything[at : at + 16384]
-                values = [project(fps, g) for g in plan.groups]
-                chosen = plan.thresholds(values)
-                for part, own in enumerate(values):
-                    yield from _rows(plan, part, own, fps, False)
-                    for radius in range(WIDEST_RADIUS + 1):
-                        asks = chosen[part] >= radius
-                        if asks.any():
-                            for mask in np.array_split(masks := flips(plan.widths[part], radius), max(1, len(masks) // 64)):
-                                asked = (own[asks][:, None] ^ mask[None, :]).ravel()
-                                yield from _rows(plan, part, asked, np.repeat(fps[asks], len(mask)), True)
+            whole = np.stack([c.to_numpy() for c in batch.columns])
+            for at in range(0, batch.num_rows, 16384):
+                rows = whole[:, at : at + 16384]
+                for table, plan in enumerate(plans):
+                    fps = np.ascontiguousarray(rows[1 + table]).view(np.uint64)
+                    values = [project(fps, g) for g in plan.groups]
+                    chosen = plan.thresholds(values)
+                    for part, own in enumerate(values):
+                        every = np.arange(len(own))
+                        data_blocks, probe_blocks = plan.blocks(part, own)
+                        asks = chosen[part] >= 0
+                        both = asks & (data_blocks == 1) & (probe_blocks == 1)
+                        yield from _rows(plan, table, part, own, fps, rows, every[both], BOTH)
+                        yield from _rows(plan, table, part, own, fps, rows, every[~both], DATA)
+                        yield from _rows(plan, table, part, own, fps, rows, every[asks & ~both], PROBE)
+                        for radius in range(1, WIDEST_RADIUS + 1):
+                            further = every[chosen[part] >= radius]
+                            if len(further):
+                                masks = flips(plan.widths[part], radius)
+                                for mask in np.array_split(masks, max(1, len(masks) // 64)):
+                                    asked = own[further][:, None] ^ mask[None, :]
+                                    yield from _rows(plan, table, part, asked.ravel(), fps, rows, np.repeat(further, len(mask)), PROBE, given=True)
 
     return run
 
 
-def _rows(plan: Plan, part: int, values: np.ndarray, fps: np.ndarray, probe: bool):
-    data_blocks, probe_blocks = plan.blocks(part, values)
-    copies, own_blocks = (data_blocks, probe_blocks) if probe else (probe_blocks, data_blocks)
-    own = _spread(fps, own_blocks, 7 if probe else 11)
-    ends = np.cumsum(copies)
-    for first in range(0, len(values), 65536):
-        last = min(first + 65536, len(values))
-        n = copies[first:last]
-        at = np.repeat(np.arange(first, last), n)
-        other = np.arange(len(at)) - np.repeat(ends[first:last] - n - (ends[first] - n[0]), n)
-        data_at, probe_at = (other, own[at]) if probe else (own[at], other)
-        columns = [np.int64(part) << 40 | values[at], data_at << 24 | probe_at, np.full(len(at), probe), fps[at].view(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.bool_(), pa.int64()], strict=True)], names=["bucket", "block", "probe", "fp"])
-
-
-def forest(data: np.ndarray, probes: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """(node, least node of its component) over the links between two sets of fingerprints; least nodes are left out."""
-    nodes = np.unique(np.concatenate([data, probes]))
-    label = np.arange(len(nodes))
-    d, p = np.searchsorted(nodes, data), np.searchsorted(nodes, probes)
-    rows = max(1, 1_000_000 // max(1, len(data)))
-    keep = [np.bitwise_count(probes[i : i + rows, None] ^ data[None, :]) <= distance for i in range(0, len(probes), rows)] if len(data) * len(probes) <= 64_000_000 else None
+def _rows(plan: Plan, table: int, part: int, values: np.ndarray, fps: np.ndarray, rows: np.ndarray, who: np.ndarray, role: int, given: bool = False):
+    """values: of each entry if given, else of each node."""
+    if not given:
+        values = values[who]
+    for first in range(0, len(who), 65536):
+        value, own = values[first : first + 65536], who[first : first + 65536]
+        data_blocks, probe_blocks = plan.blocks(part, value)
+        copies, mine = (data_blocks, probe_blocks) if role == PROBE else (probe_blocks, data_blocks)
+        block = _spread(fps[own], mine, 7 if role == PROBE else 11)
+        at = np.repeat(np.arange(len(own)), copies)
+        other = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
+        data_at, probe_at = (other, block[at]) if role == PROBE else (block[at], other)
+        heads = [np.int64(table * MOST_PARTS + part) << 40 | value[at], data_at << 24 | probe_at]
+        arrays = [pa.array(c, pa.int64()) for c in heads] + [pa.array(np.full(len(at), role), pa.int32())] + [pa.array(c, pa.int64()) for c in rows[:, own[at]]]
+        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "block", "role", "node", *words(len(rows) - 1)])
+
+
+def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Unite the components of a[i] and b[i]; a label is the least node known of a component, and labels itself."""
     while True:
-        before = label.copy()
-        for k, i in enumerate(range(0, len(probes), rows)):
-            near = keep[k] if keep else np.bitwise_count(probes[i : i + rows, None] ^ data[None, :]) <= distance
-            own = p[i : i + rows]
-            least = np.where(near, label[d][None, :], len(nodes)).min(axis=1, initial=len(nodes))
-            np.minimum.at(label, own, least)
-            np.minimum.at(label, d, np.where(near, label[own][:, None], len(nodes)).min(axis=0, initial=len(nodes)))
+        la, lb = label[a], label[b]
+        apart = la != lb
+        if not apart.any():
+            return label
+        a, b, la, lb = a[apart], b[apart], la[apart], lb[apart]
+        least = np.minimum(la, lb)
+        np.minimum.at(label, la, least)
+        np.minimum.at(label, lb, least)
         while not np.array_equal(label, shorter := label[label]):
             label = shorter
-        if np.array_equal(label, before):
-            moved = label != np.arange(len(nodes))
-            return nodes[moved], nodes[label[moved]]
 
 
-def _links_of(bucket: np.ndarray, block: np.ndarray, probe: np.ndarray, fps: np.ndarray, distance: int):
-    """Links of whole buckets, which come sorted with their data first."""
+def forest(data: np.ndarray, probes: np.ndarray, data_words: np.ndarray, probe_words: np.ndarray, table: int, distance: int, total: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) over the links between data and probes; least nodes are left out. Words: [node, table]."""
+    nodes = np.unique(np.concatenate([data, probes]))
+    label = np.arange(len(nodes))
+    d, p = np.searchsorted(nodes, data), np.searchsorted(nodes, probes)
+    own = np.ascontiguousarray(data_words[:, table])
+    step = max(1, 1_000_000 // max(1, len(data)))
+    for at in range(0, len(probes), step):
+        i, j = np.nonzero(np.bitwise_count(probe_words[at : at + step, table][:, None] ^ own[None, :]) <= distance)
+        i += at
+        new = label[p[i]] != label[d[j]]
+        i, j = i[new], j[new]
+        if total is not None and len(i):
+            near = np.bitwise_count(probe_words[i] ^ data_words[j]).sum(axis=1, dtype=np.int64) <= total
+            i, j = i[near], j[near]
+        if len(i):
+            label = merge(label, p[i], d[j])
+    moved = label != np.arange(len(nodes))
+    return nodes[moved], nodes[label[moved]]
+
+
+def _links_of(bucket: np.ndarray, block: np.ndarray, role: np.ndarray, node: np.ndarray, fps: np.ndarray, distance: int, total: int | None):
+    """Links of whole buckets, whose rows come by role. fps: [row, table]."""
     starts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])])
     ends = np.r_[starts[1:], len(bucket)]
-    probes = np.add.reduceat(probe.astype(np.int64), starts)
-    data = ends - starts - probes
+    probes = np.add.reduceat((role >= BOTH).astype(np.int64), starts)
+    data = np.add.reduceat((role <= BOTH).astype(np.int64), starts)
     pairs = data * probes
     small = np.flatnonzero((pairs > 0) & (pairs <= 256))
-    total = np.cumsum(pairs[small])
-    for some in np.split(small, np.searchsorted(total, np.arange(1_000_000, total[-1], 1_000_000))) if len(small) else []:
+    sums = np.cumsum(pairs[small])
+    for some in np.split(small, np.searchsorted(sums, np.arange(1_000_000, sums[-1], 1_000_000))) if len(small) else []:
         n = pairs[some]
         group = np.repeat(some, n)
         k = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
-        a = fps[starts[group] + k // probes[group]]
-        b = fps[starts[group] + data[group] + k % probes[group]]
-        linked = (a != b) & (np.bitwise_count(a ^ b) <= distance)
-        yield a[linked], b[linked]
+        a = starts[group] + k // probes[group]
+        b = ends[group] - probes[group] + k % probes[group]
+        table = (bucket[a] >> 40) // MOST_PARTS
+        linked = (node[a] != node[b]) & (np.bitwise_count(fps[a, table] ^ fps[b, table]) <= distance)
+        a, b = a[linked], b[linked]
+        if total is not None:
+            near = np.bitwise_count(fps[a] ^ fps[b]).sum(axis=1, dtype=np.int64) <= total
+            a, b = a[near], b[near]
+        yield node[a], node[b]
     for g in np.flatnonzero(pairs > 256):
-        yield forest(fps[starts[g] : starts[g] + data[g]], fps[starts[g] + data[g] : ends[g]], distance)
+        d, p = slice(starts[g], starts[g] + data[g]), slice(ends[g] - probes[g], ends[g])
+        yield forest(node[d], node[p], fps[d], fps[p], int(bucket[starts[g]] >> 40) // MOST_PARTS, distance, total)
 
 
-def _verify(distance: int):
+def _verify(distance: int, total: int | None):
     def out(a: np.ndarray, b: np.ndarray):
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        return pa.RecordBatch.from_arrays([pa.array(low.view(np.int64), pa.int64()), pa.array(high.view(np.int64), pa.int64())], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+
+    def links_in(rows: list[np.ndarray]):
+        fps = np.stack(rows[4:], axis=1).view(np.uint64)
+        for a, b in _links_of(*rows[:4], fps, distance, total):
+            if len(a):
+                yield out(a, b)
 
     def run(batches):
         held: list[np.ndarray] | None = None
@@ -342,22 +408,24 @@ def _verify(distance: int):
             cut = len(same) - int(same.sum())  # the last bucket may go on in the next batch
             held = [x[cut:] for x in now]
             if cut:
-                for a, b in _links_of(*(x[:cut] for x in now[:3]), now[3][:cut].view(np.uint64), distance):
-                    yield out(a, b)
+                yield from links_in([x[:cut] for x in now])
         if held and len(held[0]):
-            for a, b in _links_of(*held[:3], held[3].view(np.uint64), distance):
-                yield out(a, b)
+            yield from links_in(held)
 
     return run
 
 
-def links(nodes: DataFrame, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
-    """Pairs (a, b) of fingerprints whose components are those of all pairs within the distance. nodes: a table of distinct `fp`."""
+def links(nodes: DataFrame, tables: int = 1, distance: int = DISTANCE, total: int | None = None, parts: int | None = None) -> DataFrame:
+    """Pairs (a, b) of nodes whose components are those of all pairs within the distance in some table (and within `total` over all tables).
+
+    nodes: a table of `node` and a word for each table, all words together distinct.
+    """
     spark = nodes.sparkSession
-    plan = spark.sparkContext.broadcast(make_plan(nodes, nodes.count(), distance, parts))
-    entries = nodes.select("fp").mapInArrow(_entries(plan), "bucket long, block long, probe boolean, fp long")
-    dealt = entries.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "probe")
-    return dealt.mapInArrow(_verify(distance), "a long, b long").distinct()
+    plans = spark.sparkContext.broadcast(make_plans(nodes, nodes.count(), tables, distance, parts))
+    names = ["node", *words(tables)]
+    entries = nodes.select(*names).mapInArrow(_entries(plans), f"bucket long, block long, role int, {_longs(names)}")
+    dealt = entries.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
+    return dealt.mapInArrow(_verify(distance, total), "a long, b long").distinct()
 
 
 # --- components ------------------------------------------------------------------------------
@@ -389,38 +457,49 @@ def components(pairs: DataFrame) -> DataFrame:
     return mapping.withColumnRenamed("to", "root")
 
 
-def _named(docs: DataFrame, id_col: str, text_col: str, words_each: int, distance: int, parts: int | None) -> tuple[DataFrame, DataFrame]:
-    """The table (id, text_key, fp) of all rows, and (fp, component_id) of all fingerprints."""
+def radius(similarity: float, bits: int) -> int:
+    """Bits in which texts of this Jaccard similarity (of shingle sets of like size) differ, and a standard deviation more."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * share + math.sqrt(bits * share * (1 - share)))
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, words_each: int, tables: int, distance: int, total: int | None, parts: int | None) -> tuple[DataFrame, DataFrame]:
+    """The table (id, text_key, words) of all rows, and (words, component_id) of all fingerprints."""
     ship(docs.sparkSession)
-    prints = materialise(fingerprint_table(docs, id_col, text_col, words_each), "fingerprints")
-    nodes = materialise(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    roots = materialise(components(links(nodes, distance, parts)), "roots")
-    rooted = roots.join(nodes.select(F.col("fp").alias("node"), "least"), "node")
+    own = words(tables)
+    prints = materialise(fingerprint_table(docs, id_col, text_col, words_each, tables), "fingerprints")
+    nodes = materialise(prints.groupBy(*own).agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    roots = materialise(components(links(nodes, tables, distance, total, parts)), "roots")
+    rooted = roots.join(nodes.select("node", "least"), "node")
     least = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    linked = materialise(roots.join(least, "root").select(F.col("node").alias("fp"), "component_id"), "linked")
-    named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    linked = materialise(roots.join(least, "root").select("node", "component_id"), "linked")
+    named = nodes.join(linked, "node", "left").select(*own, F.coalesce("component_id", "least").alias("component_id"))
     return prints, materialise(named, "components")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = SHINGLE_WORDS, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits) and component_id, the least id it is linked with over any number of links."""
-    prints, named = _named(docs, id_col, text_col, words_each, distance, parts)
-    return prints.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    prints, named = _named(docs, id_col, text_col, words_each, 1, distance, None, parts)
+    return prints.join(named, "w0").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = SHINGLE_WORDS, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words_each: int = 5, tables: int = 4, distance: int = 8, parts: int | None = None) -> DataFrame:
     """docs with one document, that of least id, of each group of near duplicates; all columns as they were.
 
+    Texts are near duplicates from a Jaccard similarity of their shingles on. One table of 64 bits would either miss
+    many or link too much, so there are several independent ones: a pair is found by the pigeonhole search if any table
+    is within `distance`, and linked if all tables together are within radius(similarity).
     A row is known by its id and text; of rows equal in both, one stays. Where no row of a group has an id, all stay.
     """
-    prints, named = _named(docs, id_col, text_col, words_each, distance, parts)
+    own = words(tables)
+    prints, named = _named(docs, id_col, text_col, words_each, tables, distance, radius(similarity, 64 * tables), parts)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"))
 
     def among(keys: DataFrame, how: str, left: DataFrame) -> DataFrame:
         other = keys.select(F.col("id").alias("other_id"), F.col("text_key").alias("other_key"))
         return left.join(other, left["id"].eqNullSafe(other["other_id"]) & (left["text_key"] == other["other_key"]), how)
 
-    gone = materialise(prints.join(named, "fp").filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "text_key"), "gone")
+    gone = materialise(prints.join(named, own).filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "text_key"), "gone")
     kept = among(gone, "left_anti", rows)
     again = materialise(prints.filter("id is not null").groupBy("id", "text_key").count().filter("count > 1").select("id", "text_key"), "again")
     if not again.isEmpty():
