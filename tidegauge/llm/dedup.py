@@ -53,8 +53,10 @@ def _cells(digests: pa.Array, cells: int) -> np.ndarray:
 
 
 def _offsets(sorted_cells: np.ndarray) -> dict[int, bytes]:
+    if not len(sorted_cells):
+        return {}
     segments = sorted_cells >> SEGMENT_BITS
-    starts = np.flatnonzero(np.r_[True, segments[1:] != segments[:-1]]) if len(segments) else np.empty(0, int)
+    starts = np.flatnonzero(np.r_[True, segments[1:] != segments[:-1]])
     ends = np.r_[starts[1:], len(segments)]
     low = (sorted_cells & np.uint32((1 << SEGMENT_BITS) - 1)).astype("<u2")
     return {int(segments[a]): low[a:b].tobytes() for a, b in zip(starts, ends, strict=True)}
