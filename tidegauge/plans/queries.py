@@ -91,6 +91,7 @@ def _table_sql(name: str) -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # years, days and hours are those of UTC
     t_ms = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "value", t_ms.alias("t_ms"))
 
