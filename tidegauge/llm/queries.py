@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(table: DataFrame) -> DataFrame:
+    """A table of far fewer splits than there are cores is one small file: dealt out, so that all cores work on it."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if 4 * table.rdd.getNumPartitions() <= cores else table
+
+
 def _vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -27,32 +33,32 @@ def op1_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.quality import classify
 
-    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return classify(_spread(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "labels"))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.packing import pack_documents
 
-    return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return pack_documents(_spread(_table(spark, sf_dir, "documents")), _vocabulary("word_bpe_49k.json"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.langid import predict_languages
 
-    return predict_languages(_table(spark, sf_dir, "documents"))
+    return predict_languages(_spread(_table(spark, sf_dir, "documents")))
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.surrogate import replace_entities
 
-    replaced = replace_entities(_table(spark, sf_dir, "documents"))
+    replaced = replace_entities(_spread(_table(spark, sf_dir, "documents")))
     return replaced.select("doc_id", "text", "n_entities")
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.htmltext import extract_text
 
-    return extract_text(_table(spark, sf_dir, "pages"))
+    return extract_text(_spread(_table(spark, sf_dir, "pages")))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,13 +70,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.simhash import near_duplicates
 
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_spread(_table(spark, sf_dir, "documents")))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.llm.unigram import token_counts
 
-    return token_counts(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return token_counts(_spread(_table(spark, sf_dir, "documents")), _vocabulary("piece_bpe_32k.model"))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +84,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tidegauge.llm.bytebpe import encode_digests
 
-    return encode_digests(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encode_digests(_spread(_table(spark, sf_dir, "documents")), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
