@@ -9,6 +9,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
@@ -68,6 +69,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast if it has at most so many rows, which are counted; else as it is, for a join that shuffles. df: a written table of narrow rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what materialise() has written; also runs when the driver exits."""
     folder = _folders.pop(spark.sparkContext.applicationId, None) if spark.sparkContext._jsc else None
