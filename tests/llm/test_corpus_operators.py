@@ -233,7 +233,7 @@ def quality_rows(n=120):
     return rows, labels
 
 
-def test_quality(spark):
+def test_quality(spark, monkeypatch):
     rows, labels = quality_rows()
     rows += [(1000, None, "aa", 1, "d", 1, "r"), (1001, "", None, 1, "d", 1, "r"), (None, "kalo mita", "aa", 1, "d", 1, "r"), (1002, "kalo mita", "zz", 1, "d", 1, "r"), (3, rows[3][1], "bb", 1, "d", 1, "r")]
     docs, marks = docs_of(spark, rows), spark.createDataFrame([*labels, (None, 1), (7, None), (0, 1)], "doc_id long, quality int")
@@ -247,6 +247,11 @@ def test_quality(spark):
     kept = quality.keep_good(docs, marks)
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in rows if got[r[0]].kept) and kept.columns == docs.columns
     assert quality.classify(docs_of(spark, []), marks).count() == 0
+    before = quality.classify(docs, marks).collect()
+    monkeypatch.setattr(quality, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(quality, "BROADCAST_BYTES", 0)
+    shuffled = quality.classify(docs, marks).collect()
+    assert collections.Counter((r.doc_id, r.kept, r.threshold) for r in shuffled) == collections.Counter((r.doc_id, r.kept, r.threshold) for r in before)
     untaught = quality.classify(docs, marks.limit(0)).collect()
     assert all(r.kept == bool(r.n_chars) for r in untaught)
 
@@ -282,7 +287,7 @@ def test_pipeline(spark, tmp_path):
     for i in (0, 1, 2):  # an exact and a near copy
         words = rows[i][1].split()
         words[rng.randrange(len(words))] = words[0]
-        rows += [(100 + i, rows[i][1].replace(" ", "  "), rows[i][2], 1, "d", 1, "r"), (200 + i, " ".join(words), rows[i][2], 1, "d", 1, "r")]
+        rows += [(100 + i, rows[i][1], rows[i][2], 1, "d", 1, "r"), (200 + i, " ".join(words), rows[i][2], 1, "d", 1, "r")]
     rows += [(300, rows[4][1] + " write kalo.mita@mail.example.com", "aa", 1, "d", 1, "r"), (301, None, None, None, None, None, None)]
     docs_of(spark, rows).withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")

@@ -3,8 +3,8 @@
 Characters fall into 128 symbols (letters with their accents, capitals, digits, each
 mark of ASCII, white space, blocks of other scripts), so a 4-gram is 28 bits.
 
-Training. A Bloom filter of the trusted ids lets only their rows, and a few others,
-into the exact join with the labels. The 4-grams of all trusted text are counted per
+Training. Trusted ids meet the documents in a join: broadcast up to BROADCAST_IDS of
+them, else shuffled behind a Bloom filter that lets only their rows, and a few others, in. The 4-grams of all trusted text are counted per
 block, then per gram; lower orders hold continuation counts, the number of different
 symbols seen before a gram. Discounts D1, D2 and D3+ come from the counts of counts of
 each order. Each order's probabilities are joins of its counts with its contexts'
@@ -14,8 +14,8 @@ Scoring. The two middle symbols of a 4-gram decide its shard: its own entry, its
 context, the trigram it backs off to and that one's context all lie there; entries of
 bigrams, at most 128 x 128, go to every shard. A block of documents becomes one packed
 row a shard: the distinct grams, and per document which of them and how often. These
-rows join the model's shards (salted, so that there are more tasks than shards); each
-join row gives the block's documents a partial sum, and the sums of a block meet again.
+rows join the model's shards (broadcast up to BROADCAST_BYTES; beyond that shuffled, and
+salted so that there are more tasks than shards); each join row gives the block's documents a partial sum, and the sums of a block meet again.
 
 A document is judged by its mean code length, drawn to the trusted mean by
 PRIOR_SYMBOLS symbols so that a short one is not judged by a few characters, against
@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.session import materialise, ship
+from tidegauge.session import broadcast_up_to, materialise, ship
 
 ORDER = 4
 BITS = 7
@@ -50,6 +50,9 @@ PRIOR_SYMBOLS = 200
 BLOCK_DOCS = 512
 BLOCK_CHARS = 4_000_000
 MAX_FILTER_BITS = 1 << 28
+#: Up to so many trusted or rejected ids, or so many bytes of model, go to every executor; beyond that both joins shuffle.
+BROADCAST_IDS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 PAIRS = 1 << 2 * BITS
 #: Below this, code points have symbols of their own or share one by kind.
 TABLE_LIMIT = 0x250
@@ -124,8 +127,11 @@ def trusted_rows(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     """The rows of docs with a trusted id. Labels: doc_id and quality."""
     trusted = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
     trusted = materialise(trusted, "trusted")
+    n = trusted.count()
+    if n <= BROADCAST_IDS:
+        return docs.join(F.broadcast(trusted), docs[id_col].cast("long") == trusted["trusted_id"], "left_semi")
     cells = 1 << 16
-    while cells < 8 * trusted.count() and cells < MAX_FILTER_BITS:
+    while cells < 8 * n and cells < MAX_FILTER_BITS:
         cells *= 2
     bits = np.zeros(cells // 8, np.uint8)  # at most MAX_FILTER_BITS / 8 bytes, whatever the input
     for segment, own in trusted.mapInArrow(_filter_rows(cells), "segment int, cells binary").toLocalIterator():
@@ -404,16 +410,22 @@ def _unite(kind: pa.DataType):
 def code_lengths(docs: DataFrame, model: DataFrame, table: np.ndarray, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """Per row of docs: id, text_key, lang, symbols and the bits they take."""
     spark = docs.sparkSession
-    salts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     sql_kind = docs.schema[id_col].dataType.simpleString()
     kind = _arrow_kind(docs, id_col)
     lists = f"ids array<{sql_kind}>, keys array<long>, langs array<string>, lengths array<long>"
-    blocks = rows.mapInArrow(_blocks(kind), f"block long, shard int, packed binary, {lists}").withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
+    blocks = rows.mapInArrow(_blocks(kind), f"block long, shard int, packed binary, {lists}")
     packed = model.repartition(SHARDS, "shard").sortWithinPartitions("shard", "kind", "key").mapInArrow(_pack_model, "shard int, model array<binary>")
-    packed = materialise(packed, "model").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    packed = materialise(packed, "model")
+    size = packed.agg(F.sum(F.aggregate("model", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))).first()[0] or 0
     shared = spark.sparkContext.broadcast(np.log2(table.ravel()))
-    scored = blocks.join(packed, ["shard", "salt"], "left").mapInArrow(_score(shared), f"block long, shard int, {lists}, bits array<double>")
+    if size <= BROADCAST_BYTES:
+        joined = blocks.join(F.broadcast(packed), "shard", "left")
+    else:
+        salts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+        salted = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = blocks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int")).join(salted, ["shard", "salt"], "left")
+    scored = joined.mapInArrow(_score(shared), f"block long, shard int, {lists}, bits array<double>")
     dealt = scored.repartition("block").sortWithinPartitions("block", "shard")
     return dealt.mapInArrow(_unite(kind), f"id {sql_kind}, text_key long, lang string, symbols long, bits double")
 
@@ -458,5 +470,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """docs without those that classify() rejects, all columns as they were. Rows equal in id, text and language share one verdict."""
     judged = _judged(docs, labels, id_col, text_col, lang_col, quantile)
     gone = materialise(judged.filter(~F.col("kept")).select(F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key")), "rejected")
+    gone = broadcast_up_to(gone, BROADCAST_IDS)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"))
     return rows.join(gone, rows["id"].eqNullSafe(gone["gone_id"]) & (rows["text_key"] == gone["gone_key"]), "left_anti").select("row.*")
