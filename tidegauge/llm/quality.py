@@ -366,15 +366,18 @@ def unpack_block(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return distinct, sizes, np.cumsum(steps) % (1 << 24), counts
 
 
-def _score(shared):
+def _score(shared, models):
+    """models: a broadcast of the model's shards; None if each row brings its own."""
+
     def run(batches):
         for batch in batches:
             sums: list = []
-            for shard, packed, model in zip(batch.column("shard").to_pylist(), batch.column("packed").to_pylist(), batch.column("model"), strict=True):
+            own = batch.column("model") if models is None else [None] * batch.num_rows
+            for shard, packed, model in zip(batch.column("shard").to_pylist(), batch.column("packed").to_pylist(), own, strict=True):
                 if shard == HEAD:
                     sums.append(None)
                     continue
-                arrays = model.as_py() or [b""] * (2 * len(KINDS))
+                arrays = (models.value.get(shard) if models is not None else model.as_py()) or [b""] * (2 * len(KINDS))
                 distinct, sizes, place, counts = unpack_block(packed)
                 bits = -Shard(arrays, shared.value).log2p(distinct)[place] * counts
                 sums.append(np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=bits, minlength=len(sizes)))
@@ -420,12 +423,14 @@ def code_lengths(docs: DataFrame, model: DataFrame, table: np.ndarray, id_col: s
     size = packed.agg(F.sum(F.aggregate("model", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))).first()[0] or 0
     shared = spark.sparkContext.broadcast(np.log2(table.ravel()))
     if size <= BROADCAST_BYTES:
-        joined = blocks.join(F.broadcast(packed), "shard", "left")
+        models = spark.sparkContext.broadcast({r["shard"]: [bytes(x) for x in r["model"]] for r in packed.toLocalIterator()})
+        joined = blocks
     else:
+        models = None
         salts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
         salted = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         joined = blocks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int")).join(salted, ["shard", "salt"], "left")
-    scored = joined.mapInArrow(_score(shared), f"block long, shard int, {lists}, bits array<double>")
+    scored = joined.mapInArrow(_score(shared, models), f"block long, shard int, {lists}, bits array<double>")
     dealt = scored.repartition("block").sortWithinPartitions("block", "shard")
     return dealt.mapInArrow(_unite(kind), f"id {sql_kind}, text_key long, lang string, symbols long, bits double")
 
