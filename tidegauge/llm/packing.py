@@ -36,7 +36,7 @@ from tidegauge.session import ship
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 OPEN_BINS = 2048
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 #: str.split() also splits at these, the tokenizer doesn't.
 ODD_SPACES = re.compile("[\x1c-\x1f]")
 #: Ends a word for the merges: no byte of UTF-8.
