@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.session import materialise, ship
+from tidegauge.session import broadcast_up_to, materialise, ship
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 HASHES = 4
 SEGMENT_BITS = 16
 MAX_CELLS = 1 << 28
+#: Groups that go to every executor at most, 60 bytes each; more meet the rows that may be repeated in a shuffle.
+BROADCAST_GROUPS = 500_000
 
 
 def text_digest(text: Column) -> Column:
@@ -149,7 +151,7 @@ def group_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     table, test, groups = _grouped(docs, id_col, text_col, max_cells)
     alone = table.filter(~test("digest")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
-    joined = table.filter(test("digest")).join(groups, "digest", "left")
+    joined = table.filter(test("digest")).join(broadcast_up_to(groups, BROADCAST_GROUPS), "digest", "left")
     rest = joined.select(
         "id",
         F.when(F.col("keep_key").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
@@ -162,12 +164,14 @@ def group_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_cells: int = MAX_CELLS) -> DataFrame:
     """docs without the later copies of any text, all columns as they were."""
-    _, test, groups = _grouped(docs, id_col, text_col, max_cells)
+    table, test, groups = _grouped(docs, id_col, text_col, max_cells)
     tagged = docs.select(F.struct(*docs.columns).alias("row"), text_digest(F.col(text_col)).alias("digest"))
     alone = tagged.filter(~test("digest"))
     suspects = tagged.filter(test("digest")).withColumn("id", F.col("row")[id_col])
-    # every row of a group but those with its smallest id goes; of several such rows one stays
-    later = groups.select("digest", F.col("keep_id").alias("id"))
-    first = suspects.join(later, (suspects["digest"] == later["digest"]) & suspects["id"].eqNullSafe(later["id"]), "left_semi").dropDuplicates(["digest", "id"])
-    single = suspects.join(groups.select("digest"), "digest", "left_anti")
-    return alone.select("row.*").union(first.select("row.*")).union(single.select("row.*"))
+    joined = suspects.join(broadcast_up_to(groups, BROADCAST_GROUPS), "digest", "left")
+    kept = joined.filter(F.col("keep_key").isNull() | F.col("id").eqNullSafe(F.col("keep_id")))
+    several = table.filter(test("digest")).join(groups, "digest").filter(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("row_key") != F.col("keep_key")))
+    if not several.isEmpty():  # rows equal in text and smallest id, of which one stays
+        single, first = kept.filter("keep_key is null"), kept.filter("keep_key is not null").dropDuplicates(["digest", "id"])
+        kept = single.unionByName(first)
+    return alone.select("row.*").union(kept.select("row.*"))
