@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.session import materialise, ship
+from tidegauge.session import broadcast_up_to, materialise, ship
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
@@ -49,6 +49,8 @@ BLOCK = 4096
 ROW_COST = 2000
 #: Partitions of a table at most, which bounds `distance`.
 MOST_PARTS = 32
+#: Keys of rows to drop that go to every executor at most; more meet the rows in a shuffle.
+BROADCAST_KEYS = 2_000_000
 WIDEST_RADIUS = 2
 
 
@@ -225,7 +227,8 @@ class Plan:
     def blocks(self, part: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Into how many blocks the data and the probes of these buckets are split."""
         near = self.near[part][:, self.seen_value(part, values)]
-        return np.maximum(1, np.ceil(near[0] / BLOCK)).astype(np.int64), np.maximum(1, np.ceil(near[1] / BLOCK)).astype(np.int64)
+        usual = min(WIDEST_RADIUS, max(0, -(-(self.distance - len(self.groups) + 1) // len(self.groups))))  # the radius that most probes come from
+        return np.maximum(1, np.ceil(near[0] / BLOCK)).astype(np.int64), np.maximum(1, np.ceil(near[usual] / BLOCK)).astype(np.int64)
 
 
 def _together(batches):
@@ -496,7 +499,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"))
 
     def among(keys: DataFrame, how: str, left: DataFrame) -> DataFrame:
-        other = keys.select(F.col("id").alias("other_id"), F.col("text_key").alias("other_key"))
+        other = broadcast_up_to(keys.select(F.col("id").alias("other_id"), F.col("text_key").alias("other_key")), BROADCAST_KEYS)
         return left.join(other, left["id"].eqNullSafe(other["other_id"]) & (left["text_key"] == other["other_key"]), how)
 
     gone = materialise(prints.join(named, own).filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "text_key"), "gone")
