@@ -147,9 +147,9 @@ def test_text_round_trip_and_upsert(spark, registry, tmp_path):
     n = spark.read.parquet(path).count()
     assert n == 64
     new = rows.filter(F.col("t_ms") < fx.DAY + 5 * 14_400_000)
-    sinks.upsert(new.withColumns({"quantitative": F.lit(-1.0), "seq": F.lit(10**6).cast("long")}), path)
+    sinks.upsert(new.withColumns({"quantitative": F.lit(-999.0), "seq": F.lit(10**6).cast("long")}), path)
     table = spark.read.parquet(path)
-    assert table.count() == n and table.filter("quantitative = -1").count() == new.select(*sinks.OUTCOME_KEY).distinct().count()
+    assert table.count() == n and table.filter("quantitative = -999").count() == new.select(*sinks.OUTCOME_KEY).distinct().count()
     sinks.write_partitioned(rows, str(tmp_path / "plain"))
     assert spark.read.parquet(str(tmp_path / "plain")).count() == rows.count()
 
