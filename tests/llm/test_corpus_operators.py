@@ -256,6 +256,16 @@ def test_quality(spark, monkeypatch):
     assert all(r.kept == bool(r.n_chars) for r in untaught)
 
 
+def test_clean_documents_pass_where_few_are_trusted(spark):
+    """Ten trusted documents a language: the model knows their own grams, the limit must not."""
+    rng = random.Random(8)
+    letters = {"aa": "aeioumnlrstdk", "bb": "aeouügwpfbzhj"}
+    rows = [(i, " ".join("".join(rng.choice(letters[lang]) for _ in range(rng.choice([2, 4, 7]))) for _ in range(60)), lang, 1, "d", 1, "r") for i in range(100) for lang in [("aa", "bb")[i % 2]]]
+    rows += [(100 + i, " ".join("".join(rng.choice("!#$%*+/") for _ in range(5)) for _ in range(60)), ("aa", "bb")[i % 2], 1, "d", 1, "r") for i in range(10)]
+    got = quality.classify(docs_of(spark, rows), spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")).collect()
+    assert sum(r.kept for r in got if 20 <= r.doc_id < 100) >= 72 and not any(r.kept for r in got if r.doc_id >= 100)
+
+
 def test_model_is_a_probability(spark):
     rows, labels = quality_rows(20)
     model, table = quality.train(docs_of(spark, rows), "text")

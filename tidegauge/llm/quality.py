@@ -19,8 +19,12 @@ salted so that there are more tasks than shards); each join row gives the block'
 
 A document is judged by its mean code length, drawn to the trusted mean by
 PRIOR_SYMBOLS symbols so that a short one is not judged by a few characters, against
-the quantile of the trusted documents of its language (of all of them where its
-language has none).
+the quantile of the trusted documents of its language. Those are scored out of sample
+for this, like any other document: they fall into FOLDS folds by a hash of their text,
+and each is scored by a model of the other folds' counts. Where a language has too few
+for its own quantile, the limit is its mean and the quantile of how far the trusted
+documents of all languages are from the mean of the others of their language; where it
+has none, the quantile of all of them.
 
 Defined results: without text there is no perplexity and the document is rejected; if
 no trusted text exists nothing else is; a null lang is a language of its own; labels
@@ -32,6 +36,7 @@ gives an empty result; further columns pass through keep_good() unchanged.
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -47,6 +52,7 @@ BITS = 7
 SHARDS = 16
 QUANTILE = 0.995
 PRIOR_SYMBOLS = 200
+FOLDS = 4
 BLOCK_DOCS = 512
 BLOCK_CHARS = 4_000_000
 MAX_FILTER_BITS = 1 << 28
@@ -155,10 +161,23 @@ def trusted_rows(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
 def _count_grams(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
-            every = [grams(t) for t in batch.column(0).slice(at, 1024).to_pylist() if t]
+            folds, texts = (c.to_pylist() for c in batch.slice(at, 1024).columns)
+            every = [grams(t).astype(np.int64) | f << ORDER * BITS for f, t in zip(folds, texts, strict=True) if t]
             if every:
                 found, n = np.unique(np.concatenate(every), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32), pa.int32()), pa.array(n, pa.int64())], names=["gram", "n"])
+                own = found & (1 << ORDER * BITS) - 1
+                yield pa.RecordBatch.from_arrays([pa.array((found >> ORDER * BITS).astype(np.int32)), pa.array(own.astype(np.int32)), pa.array(n, pa.int64())], names=["fold", "gram", "n"])
+
+
+def fold_of(text_col: str) -> Column:
+    """Equal texts share a fold."""
+    return F.coalesce(F.pmod(F.xxhash64(F.col(text_col).cast("string")), F.lit(FOLDS)), F.lit(0)).cast("int")
+
+
+def count_grams(trusted: DataFrame, text_col: str) -> DataFrame:
+    """(fold, gram, n) of the trusted text."""
+    raw = trusted.select(fold_of(text_col), F.col(text_col).cast("string")).mapInArrow(_count_grams, "fold int, gram int, n long")
+    return materialise(raw.groupBy("fold", "gram").agg(F.sum("n").alias("n")), "grams_of_folds")
 
 
 def discounts(counts: DataFrame) -> list[float]:
@@ -204,16 +223,19 @@ def bigram_table(pairs: list[tuple[int, int]]) -> np.ndarray:
 
 
 def train(trusted: DataFrame, text_col: str) -> tuple[DataFrame, np.ndarray]:
+    return model_of(count_grams(trusted, text_col))
+
+
+def model_of(counts: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """The model as rows (shard, kind, key, value), and the bigram table. Kinds: 4 and 3 hold log2 probabilities of grams, 40 and 30 log2 of what a context leaves."""
-    raw = trusted.select(F.col(text_col).cast("string")).mapInArrow(_count_grams, "gram int, n long")
-    four = materialise(raw.groupBy("gram").agg(F.sum("n").alias("n")), "grams4")
+    four = materialise(counts.groupBy("gram").agg(F.sum("n").alias("n")), "grams4")
 
     def shorter(counts: DataFrame, bits: int) -> DataFrame:
         return counts.groupBy((F.col("gram").bitwiseAND((1 << bits) - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
 
     three = materialise(shorter(four, 3 * BITS), "grams3")
     table = bigram_table([(r["gram"], r["n"]) for r in shorter(three, 2 * BITS).collect()])  # at most 128 x 128 rows
-    lowest = trusted.sparkSession.createDataFrame(pd.DataFrame({"pair": np.arange(PAIRS, dtype=np.int32), "lower": table.ravel()}))
+    lowest = counts.sparkSession.createDataFrame(pd.DataFrame({"pair": np.arange(PAIRS, dtype=np.int32), "lower": table.ravel()}))
     level3 = _discounted(three).withColumn("pair", F.col("gram").bitwiseAND(PAIRS - 1)).join(F.broadcast(lowest), "pair")  # 128 x 128 rows
     level3 = materialise(level3.select("gram", "context", "rest", (F.col("share") + F.col("rest") * F.col("lower")).alias("p")), "level3")
     below = level3.select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
@@ -289,10 +311,11 @@ class Shard:
 # --- scoring ---------------------------------------------------------------------------------
 
 HEAD = -1
+NO_GRAMS = (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
 
 def _blocks(kind: pa.DataType):
-    """Per block of documents: a head row with ids, keys, languages and lengths, and a packed row for each shard."""
+    """Per block of documents: a head row with ids, keys, languages and lengths, and a packed row for each shard of each model that scores some of them."""
 
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
@@ -310,7 +333,11 @@ def _blocks(kind: pa.DataType):
                 number += 1
                 own = [batch.column(i).slice(first, len(every)).to_pylist() for i in range(3)]
                 lengths = [int(n.sum()) for _, n in every]
-                packed = list(pack_block(every))
+                owners = np.array(batch.column(4).slice(first, len(every)).to_pylist())
+                packed = []
+                for m in np.unique(owners).tolist():
+                    scored = [x if o == m else NO_GRAMS for x, o in zip(every, owners.tolist(), strict=True)]
+                    packed += [(m * SHARDS + s, p) for s, p in pack_block(scored)]
                 n = len(packed)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -379,7 +406,7 @@ def _score(shared, models):
                     continue
                 arrays = (models.value.get(shard) if models is not None else model.as_py()) or [b""] * (2 * len(KINDS))
                 distinct, sizes, place, counts = unpack_block(packed)
-                bits = -Shard(arrays, shared.value).log2p(distinct)[place] * counts
+                bits = -Shard(arrays, shared.value[shard // SHARDS]).log2p(distinct)[place] * counts
                 sums.append(np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=bits, minlength=len(sizes)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "shard", "ids", "keys", "langs", "lengths")), pa.array(sums, pa.list_(pa.float64()))], names=["block", "shard", "ids", "keys", "langs", "lengths", "bits"])
 
@@ -410,18 +437,19 @@ def _unite(kind: pa.DataType):
     return run
 
 
-def code_lengths(docs: DataFrame, model: DataFrame, table: np.ndarray, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """Per row of docs: id, text_key, lang, symbols and the bits they take."""
+def code_lengths(docs: DataFrame, trained: list[tuple[DataFrame, np.ndarray]], which: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """Per row of docs: id, text_key, lang, symbols and the bits they take under the model that which names."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), which.alias("which"))
     sql_kind = docs.schema[id_col].dataType.simpleString()
     kind = _arrow_kind(docs, id_col)
     lists = f"ids array<{sql_kind}>, keys array<long>, langs array<string>, lengths array<long>"
     blocks = rows.mapInArrow(_blocks(kind), f"block long, shard int, packed binary, {lists}")
-    packed = model.repartition(SHARDS, "shard").sortWithinPartitions("shard", "kind", "key").mapInArrow(_pack_model, "shard int, model array<binary>")
+    model = reduce(DataFrame.union, (m.withColumn("shard", F.col("shard") + i * SHARDS) for i, (m, _) in enumerate(trained)))
+    packed = model.repartition(SHARDS * len(trained), "shard").sortWithinPartitions("shard", "kind", "key").mapInArrow(_pack_model, "shard int, model array<binary>")
     packed = materialise(packed, "model")
     size = packed.agg(F.sum(F.aggregate("model", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))).first()[0] or 0
-    shared = spark.sparkContext.broadcast(np.log2(table.ravel()))
+    shared = spark.sparkContext.broadcast([np.log2(table.ravel()) for _, table in trained])
     if size <= BROADCAST_BYTES:
         models = spark.sparkContext.broadcast({r["shard"]: [bytes(x) for x in r["model"]] for r in packed.toLocalIterator()})
         joined = blocks
@@ -443,18 +471,27 @@ def _arrow_kind(docs: DataFrame, id_col: str) -> pa.DataType:
 
 def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, quantile: float) -> DataFrame:
     ship(docs.sparkSession)
-    model, table = train(trusted_rows(docs, labels, id_col), text_col)
-    scores = materialise(code_lengths(docs, model, table, id_col, text_col, lang_col).withColumn("lang", F.coalesce("lang", F.lit(""))), "scores")
-    trusted = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("trusted_id")).distinct()
-    known = scores.filter("symbols > 0").join(trusted, scores["id"] == trusted["trusted_id"], "left_semi")
-    mean = known.agg((F.sum("bits") / F.sum("symbols")).alias("m")).first()["m"]
-    if mean is None:
+    own = trusted_rows(docs, labels, id_col)
+    counts = count_grams(own, text_col)
+    scores = materialise(code_lengths(docs, [model_of(counts)], F.lit(0), id_col, text_col, lang_col).withColumn("lang", F.coalesce("lang", F.lit(""))), "scores")
+    if counts.isEmpty():
         return scores.select("id", "text_key", "symbols", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (F.col("symbols") > 0).alias("kept"))
+    others = [model_of(counts.filter(F.col("fold") != f)) for f in range(FOLDS)]
+    known = materialise(code_lengths(own, others, fold_of(text_col), id_col, text_col, lang_col).withColumn("lang", F.coalesce("lang", F.lit(""))).filter("symbols > 0"), "held_out")
+    # rounded, so that the order of summing shows nowhere
+    mean = known.agg(F.round(F.sum("bits") / F.sum("symbols"), 9).alias("m")).first()["m"]
     drawn = (F.col("bits") + PRIOR_SYMBOLS * mean) / (F.col("symbols") + PRIOR_SYMBOLS)
-    level = F.percentile_approx(drawn, quantile, 10000)
-    limits = known.groupBy("lang").agg(level.alias("own_limit"))  # a row a language
-    pooled = known.agg(level.alias("m")).first()["m"]
-    judged = scores.join(limits, "lang", "left").withColumn("limit", F.coalesce("own_limit", F.lit(pooled))).withColumn("drawn", drawn)
+    known = known.withColumn("drawn", drawn)
+
+    def level(of: str) -> Column:
+        return F.percentile_approx(of, quantile, 10000)
+
+    limits = materialise(known.groupBy("lang").agg(level("drawn").alias("own_limit"), F.round(F.avg("drawn"), 9).alias("centre"), F.count(F.lit(1)).alias("n")), "limits")  # a row a language
+    apart = known.join(limits, "lang").filter("n > 1").withColumn("apart", F.round((F.col("drawn") - F.col("centre")) * F.col("n") / (F.col("n") - 1), 9))
+    spread = apart.agg(level("apart").alias("m")).first()["m"]
+    pooled = known.agg(level("drawn").alias("m")).first()["m"]
+    limit = F.when(F.col("n") * (1 - quantile) >= 1, F.col("own_limit")).otherwise(F.col("centre") + F.lit(spread).cast("double"))
+    judged = scores.join(limits, "lang", "left").withColumn("limit", F.coalesce(limit, F.lit(pooled))).withColumn("drawn", drawn)
     return judged.select(
         "id",
         "text_key",
