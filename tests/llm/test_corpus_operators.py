@@ -266,6 +266,24 @@ def test_clean_documents_pass_where_few_are_trusted(spark):
     assert sum(r.kept for r in got if 20 <= r.doc_id < 100) >= 72 and not any(r.kept for r in got if r.doc_id >= 100)
 
 
+def test_no_two_characters_share_their_symbols():
+    chars = [chr(i) for i in [*range(33, 0x3000), *range(0x4E00, 0x5200), *range(0x10FF00, 0x110000)] if not (i < quality.TABLE_LIMIT and (chr(i).isupper() or chr(i).isdigit() or chr(i).isspace()))]
+    assert len({tuple(quality.symbols_of(c).tolist()) for c in chars}) == len(chars)
+    text = "".join(chars)
+    assert quality.symbols_of(text).tolist() == [s for c in chars for s in quality.symbols_of(c).tolist()]
+    assert quality.symbols_of(text).max() < 1 << quality.BITS
+
+
+@pytest.mark.parametrize("syllables", [["при", "вет", "мир", "дом", "ста"], ["λόγ", "ος", "καί", "θεά"], ["مرح", "با", "سلا", "كتب"], ["日本", "東京", "学生", "天気"]])
+def test_shuffled_letters_of_other_scripts_cost_more(syllables):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice(syllables) for _ in range(rng.choice([1, 2]))) for _ in range(60)) for _ in range(30)]
+    bits = plain_model(texts[:25])
+    for text in texts[25:]:
+        shuffled = " ".join("".join(rng.choice("".join(syllables)) for _ in word) for word in text.split(" "))
+        assert bits(shuffled) > 1.5 * bits(text)
+
+
 def test_model_is_a_probability(spark):
     rows, labels = quality_rows(20)
     model, table = quality.train(docs_of(spark, rows), "text")

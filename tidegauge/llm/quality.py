@@ -1,7 +1,8 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of character n-grams, trained on trusted text.
 
-Characters fall into 128 symbols (letters with their accents, capitals, digits, each
-mark of ASCII, white space, blocks of other scripts), so a 4-gram is 28 bits.
+Characters are written in 128 symbols, so a 4-gram is 28 bits. Letters of Latin-1, each
+mark of ASCII, the capitals and the digits of Latin, and white space take one; all other
+characters take two to four, no two the same, the first of which says how many follow.
 
 Training. Trusted ids meet the documents in a join: broadcast up to BROADCAST_IDS of
 them, else shuffled behind a Bloom filter that lets only their rows, and a few others, in. The 4-grams of all trusted text are counted per
@@ -60,12 +61,15 @@ MAX_FILTER_BITS = 1 << 28
 BROADCAST_IDS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 PAIRS = 1 << 2 * BITS
-#: Below this, code points have symbols of their own or share one by kind.
+#: Below this, code points may have a symbol of their own or share one by kind.
 TABLE_LIMIT = 0x250
+#: First symbols of longer forms: of two (blocks of 128 code points from the second on), three and four symbols.
+TWO, THREE, FOUR = 97, 123, 127
 
 
 def _symbols() -> np.ndarray:
-    out = np.zeros(TABLE_LIMIT, np.uint32)
+    out = np.full(TABLE_LIMIT, FOUR, np.uint32)
+    marks = 31
     for i in range(TABLE_LIMIT):
         char = chr(i)
         if char in "\n\v\f\r":
@@ -79,22 +83,42 @@ def _symbols() -> np.ndarray:
         elif char.isdigit():
             out[i] = 30
         elif i < 128:
-            out[i] = 31 + (i - 33) % 32
+            out[i] = marks
+            marks += 1
         elif 0xDF <= i <= 0xFF:
             out[i] = 64 + i - 0xDF
-        else:
-            out[i] = 97 if char.isalpha() else 98
     return out
 
 
 SYMBOL = _symbols()
 
 
-def grams(text: str) -> np.ndarray:
-    """The n-gram that ends at each character, symbol 0 standing before the first."""
+def symbols_of(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = np.where(points < TABLE_LIMIT, SYMBOL[np.minimum(points, TABLE_LIMIT - 1)], 99 + (points >> 7) % 29)
-    padded = np.concatenate([np.zeros(ORDER - 1, np.uint32), symbols.astype(np.uint32)])
+    own = SYMBOL[np.minimum(points, TABLE_LIMIT - 1)]
+    single = (points < TABLE_LIMIT) & (own < TWO)
+    if single.all():
+        return own
+    block = points >> np.uint32(7)
+    sizes = np.where(single, 1, np.where(block <= THREE - TWO, 2, np.where(points < 1 << 16, 3, 4)))
+    last = np.cumsum(sizes) - 1
+    out = np.zeros(int(sizes.sum()), np.uint32)
+    out[last] = np.where(single, own, points & np.uint32(127))
+    for size, before in (
+        (2, [TWO - 1 + block]),
+        (3, [block & np.uint32(127), THREE + (points >> np.uint32(14))]),
+        (4, [block & np.uint32(127), points >> np.uint32(14), np.full_like(points, FOUR)]),
+    ):
+        at = sizes == size
+        for back, value in enumerate(before, 1):
+            out[last[at] - back] = value[at]
+    return out
+
+
+def grams(text: str) -> np.ndarray:
+    """The n-gram that ends at each symbol, symbol 0 standing before the first."""
+    symbols = symbols_of(text)
+    padded = np.concatenate([np.zeros(ORDER - 1, np.uint32), symbols])
     out = np.zeros(len(symbols), np.uint32)
     for k in range(ORDER):
         out = out << np.uint32(BITS) | padded[k : k + len(symbols)]
@@ -322,17 +346,17 @@ def _blocks(kind: pa.DataType):
         for batch in batches:
             at = 0
             while at < batch.num_rows:
-                every, size = [], 0
+                every, lengths, size = [], [], 0
                 while at < batch.num_rows and len(every) < BLOCK_DOCS and size < BLOCK_CHARS:
                     text = batch.column(3)[at].as_py() or ""
                     size += len(text)
+                    lengths.append(len(text))
                     every.append(np.unique(grams(text), return_counts=True))
                     at += 1
                 first = at - len(every)
                 block = part << 32 | number
                 number += 1
                 own = [batch.column(i).slice(first, len(every)).to_pylist() for i in range(3)]
-                lengths = [int(n.sum()) for _, n in every]
                 owners = np.array(batch.column(4).slice(first, len(every)).to_pylist())
                 packed = []
                 for m in np.unique(owners).tolist():
@@ -438,7 +462,7 @@ def _unite(kind: pa.DataType):
 
 
 def code_lengths(docs: DataFrame, trained: list[tuple[DataFrame, np.ndarray]], which: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """Per row of docs: id, text_key, lang, symbols and the bits they take under the model that which names."""
+    """Per row of docs: id, text_key, lang, symbols (its characters) and the bits they take under the model that which names."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), which.alias("which"))
     sql_kind = docs.schema[id_col].dataType.simpleString()
@@ -503,7 +527,7 @@ def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE) -> DataFrame:
-    """Per document: doc_id, n_chars, perplexity (per symbol), threshold (of its language) and kept."""
+    """Per document: doc_id, n_chars, perplexity (per character), threshold (of its language) and kept."""
     judged = _judged(docs, labels, id_col, text_col, lang_col, quantile)
     return judged.select(F.col("id").alias(id_col), F.col("symbols").alias("n_chars"), "perplexity", "threshold", "kept")
 
