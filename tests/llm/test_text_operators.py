@@ -287,6 +287,12 @@ def test_surrogates_stay_distinct(spark, broadcast_rows):
     assert surrogate.replace_entities(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("secret", ["AKIA" + "QWERTYUIOPASDFGH", "ASIA" + "QWERTYUIOPASDFGH", "ghp_" + "abcdefghij" * 3, "sk-" + "abcdefghij" * 2, "٠١٢-٣٤٥-٦٧٨٩"])
+def test_entities_without_ascii_digits_or_marks(secret):
+    new, n = surrogate.replaced(f"Prose before, {secret} and prose after it.", {}, surrogate.KEY)
+    assert n == 1 and secret not in new and len(new) == len(f"Prose before, {secret} and prose after it.")
+
+
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "a1" * 100_000, ("word " * 10 + "@ 1:2=3 ") * 3000):
         surrogate.find(text)

@@ -76,8 +76,11 @@ PATTERNS: list[tuple[str, str]] = [
     ("phone", r"(?<![\w.])(?P<phone>\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w|\.\d)"),
 ]
 MARKED = re.compile("|".join(p for _, p in PATTERNS))
-#: No marked entity is without one of these; patterns are tried this near to one, and to the end of the word there.
-CLUES = re.compile(r"[0-9@=:]+")
+#: No marked entity is without one of these or a prefix; patterns are tried this near to one, and to the end of the word there.
+CLUES = re.compile(r"[\d@=:]+")
+#: Secrets of known form may be letters only.
+PREFIXES = ["AKIA", "ASIA", *(f"gh{c}_" for c in "pousr"), "sk-"]
+CLUES_AND_PREFIXES = re.compile("|".join([CLUES.pattern, *PREFIXES]))
 NEAR = 80
 LONGEST_WORD = 1000
 NAMED = re.compile(rf"\b(?P<title>{_TITLE})\b\.?(?P<gap>\s+)(?P<words>{_WORD}(?:\s+{_WORD}){{0,2}})|\b(?P<given>{'|'.join(KIND_OF_NAME)})\b(?P<rest>(?:\s+{_WORD}){{1,2}})")
@@ -119,7 +122,8 @@ def normal(kind: str, value: str) -> str:
 def _windows(text: str):
     """Parts of the text near clues, apart and in order."""
     start = end = 0
-    for clue in CLUES.finditer(text):
+    clues = CLUES_AND_PREFIXES if any(p in text for p in PREFIXES) else CLUES
+    for clue in clues.finditer(text):
         a, b = clue.span()
         if a - NEAR <= end:
             end = b + NEAR
