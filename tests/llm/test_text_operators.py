@@ -293,6 +293,24 @@ def test_entities_without_ascii_digits_or_marks(secret):
     assert n == 1 and secret not in new and len(new) == len(f"Prose before, {secret} and prose after it.")
 
 
+def test_names_are_replaced_whole_and_wherever_they_stand():
+    text = "KOWALSKI came. Anna Kowalski wrote. Later Kowalski left, and Anna said no; ANNA, Kowalski's and Nowak-Kowalski too. The kowalski stays."
+    new, n = surrogate.replaced(text, {}, surrogate.KEY)
+    given, surname = re.search(r"came\. (\w+) (\w+) wrote", new).groups()
+    assert n == 8 and new == text.replace("Anna", given).replace("ANNA", given.upper()).replace("Kowalski", surname).replace("KOWALSKI", surname.upper())
+    for text, words in (
+        ("Then Juan Carlos García Márquez López spoke.", ["Juan", "Carlos", "García", "Márquez", "López"]),
+        ("Then Peter van der Berg spoke. Berg left.", ["Peter", "Berg", "Berg"]),
+        ("Then Mr de la Cruz spoke.", ["Cruz"]),
+        ("Prof. Green met Mrs Green and Dr Prof White.", ["Green", "Green", "White"]),
+    ):
+        assert [text[a:b] for a, b, _ in surrogate.find(text)] == words
+        new = surrogate.replaced(text, {}, surrogate.KEY)[0]
+        assert not any(re.search(rf"\b{w}\b", new) for w in words)
+    for text in ("Dr " + "Word " * 40_000, "Anna " * 40_000, "Anna " + "van " * 40_000, "Anna B" + "b-B" * 60_000, "Anna Bo " + "Bo-" * 60_000):
+        surrogate.find(text)
+
+
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "a1" * 100_000, ("word " * 10 + "@ 1:2=3 ") * 3000):
         surrogate.find(text)

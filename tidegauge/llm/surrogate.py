@@ -3,7 +3,9 @@
 Entities are found by pattern: e-mail addresses, telephone numbers, IPv4 and IPv6
 addresses, long account and card numbers, IBANs, national ids of the form
 000-00-0000, secrets (assigned to a name such as token or password, or of a known
-form), and names of persons (a title or a known given name before capitalised words).
+form), and names of persons (a title or a known given name before capitalised words,
+with particles such as "van der" between, and each of these words alone wherever else
+the document has it).
 Each has a normal form in which spellings of one entity agree (case, separators), so
 an entity gets the same surrogate wherever it occurs.
 
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 import hmac
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
@@ -63,7 +66,8 @@ KIND_OF_NAME = {name: kind for kind, names in GIVEN.items() for name in names}
 CLASS_OF = {c: i for i, alphabet in enumerate(ALPHABETS) for c in alphabet} | ACCENTED
 
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
-_WORD = r"[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_WORD = rf"(?!(?:{_TITLE})\b)[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:(?:-|['’](?!s\b))[^\W\d_]+)*"
+_PARTICLES = r"(?:(?:van|von|vom|der|den|des|de|del|della|di|da|dos|das|du|la|le|las|los|ter|ten|zu|zum|zur|bin|ibn|al|el)\s+)*"
 PATTERNS: list[tuple[str, str]] = [
     ("secret", r"(?i:\b(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd|pwd)\b[\"']?\s*[:=]\s*[\"']?)(?P<secret>[\w\-./+=]{6,})"),
     ("secret", r"(?<![\w])(?P<secret1>(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|(?=[0-9]*[a-fA-F])(?=[a-fA-F]*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,}))(?![\w])"),
@@ -83,7 +87,10 @@ PREFIXES = ["AKIA", "ASIA", *(f"gh{c}_" for c in "pousr"), "sk-"]
 CLUES_AND_PREFIXES = re.compile("|".join([CLUES.pattern, *PREFIXES]))
 NEAR = 80
 LONGEST_WORD = 1000
-NAMED = re.compile(rf"\b(?P<title>{_TITLE})\b\.?(?P<gap>\s+)(?P<words>{_WORD}(?:\s+{_WORD}){{0,2}})|\b(?P<given>{'|'.join(KIND_OF_NAME)})\b(?P<rest>(?:\s+{_WORD}){{1,2}})")
+NAMED = re.compile(rf"\b(?P<title>{_TITLE})\b\.?(?P<gap>\s+)(?P<words>{_PARTICLES}{_WORD}(?:\s+{_PARTICLES}{_WORD})*)|\b(?P<given>{'|'.join(KIND_OF_NAME)})\b(?P<rest>(?:\s+{_PARTICLES}{_WORD})+)")
+WORD = re.compile(_WORD)
+ALONE = re.compile(rf"(?<!\w){_WORD}(?!\w)")
+PART = re.compile(r"[^-]+")
 CAPITALISED = re.compile(r"[^\W\d_a-zà-ÿ][a-zà-ÿа-я]+")
 NAME_WORDS = frozenset(KIND_OF_NAME) | {t for titles in TITLES.values() for t in titles}
 
@@ -114,6 +121,8 @@ def normal(kind: str, value: str) -> str:
         return value.replace(" ", "")
     if kind in ("ipv6", "surname"):
         return value.lower()
+    if kind == "given" and value not in KIND_OF_NAME:
+        return value.capitalize()
     if kind == "secret" and re.fullmatch(r"[0-9a-fA-F]+", value):
         return value.lower()
     return value
@@ -154,19 +163,42 @@ def find(text: str) -> list[tuple[int, int, str]]:
             name = match.lastgroup
             found.append((*match.span(name), name.rstrip("1")))
     if not NAME_WORDS.isdisjoint(CAPITALISED.findall(text)):
-        taken = found
-        names = []
-        for match in NAMED.finditer(text):
-            words = match.span("words") if match["title"] else match.span()
-            for word in re.finditer(_WORD, text[words[0] : words[1]]):
-                start, end = words[0] + word.start(), words[0] + word.end()
-                kind = "given" if word[0] in KIND_OF_NAME and start == words[0] else "surname"
-                if not any(a < end and start < b for a, b, _ in taken):
-                    names.append((start, end, kind))
-        found = sorted(taken + names)
+        found = sorted(found + _names(text, found))
     return found
 
 
+def _names(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Words of full mentions of persons, then what else the text has of these words. taken: in order and apart."""
+    starts = [a for a, _, _ in taken]
+
+    def is_free(start: int, end: int) -> bool:
+        at = bisect_left(starts, end) - 1
+        return at < 0 or taken[at][1] <= start
+
+    names: dict[int, tuple[int, int, str]] = {}
+    known: dict[str, str] = {}
+    for match in NAMED.finditer(text):
+        first, last = match.span("words") if match["title"] else match.span()
+        leading = True
+        for word in WORD.finditer(text, first, last):
+            leading = leading and word[0] in KIND_OF_NAME
+            kind = "given" if leading else "surname"
+            if is_free(*word.span()):
+                names[word.start()] = (*word.span(), kind)
+                for part in {word[0], *word[0].split("-")}:
+                    if len(part) > 1:
+                        known.setdefault(part.lower(), "given" if part.capitalize() in KIND_OF_NAME and kind == "given" else "surname")
+    if known:
+        for word in ALONE.finditer(text):
+            if word.start() in names or not is_free(*word.span()):
+                continue
+            spans = [word.span()] if word[0].lower() in known else [(word.start() + p.start(), word.start() + p.end()) for p in PART.finditer(word[0])]
+            for a, b in spans:
+                if text[a:b].lower() in known:
+                    names[a] = (a, b, known[text[a:b].lower()])
+    return list(names.values())
+
+
 # --- surrogates ------------------------------------------------------------------------------
 
 
