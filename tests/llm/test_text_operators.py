@@ -227,6 +227,25 @@ def test_main_text(body, text):
     assert got == text.replace("Three.Four", "Three.Four") or got == text.replace("Three.Four", "Three. Four")
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        *(f"<html><head><title>T</title></head><body><div class='{mark}'>{{}}<div class='sidebar'>Look here</div></div><footer>us</footer></body></html>" for mark in ("has-sidebar", "content-sidebar-wrap", "no-comments", "menu-open", "share-page")),
+        "<html><head></head><body><form id='aspnetForm'><div class='menu'>Home</div>{}</form></body></html>",
+        "<html><head><title>T</title><body>{}<div class='ad'>Buy</div></body></html>",
+        "<html><head><title>T</title><meta name='a'>{}<div class='ad'>Buy</div></html>",
+        "<html><body><div class='widget'>{}<div id='comments'><p>" + "me too I say " * 90 + "</p></div></div><div class='related'><article><p>Read this</p></article></div></body></html>",
+    ],
+)
+@pytest.mark.parametrize("part", ["article", "main", "div"])
+def test_wrappers_of_a_page_shut_nothing_in(page, part):
+    if part == "div" and "<article>" in page:
+        pytest.skip("teasers are this page's only article")
+    text = " ".join(["words of content " * 20, "and more of it " * 20, "and the end of it " * 20])
+    got = htmltext.main_text(page.format(f"<{part}>" + "".join(f"<p>{x}</p>" for x in text.split("  ")) + f"</{part}>"))
+    assert got == " ".join(text.split())
+
+
 def test_main_text_of_whole_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = {r.page_id: r for r in htmltext.extract_text(pages).collect()}

@@ -10,7 +10,10 @@ larger part of its content, else the deepest element that holds nearly all of it
 a region every line is text, short ones as well, but for what is marked as something
 else: navigation, headers and footers of the page, sidebars, notices, adverts, forms,
 reader comments, and what a browser doesn't show. Elements that HTML lets stand open
-(p, li, td and the like) end where HTML ends them.
+(p, li, td and the like) end where HTML ends them, and the head at the first that isn't
+of it. A form, or a part marked by a word alone, that holds most of the article or
+nearly all of the content is a wrapper of the page and not such a mark; what starts with
+"comment" is never one. `main` is content within any of these.
 
 Pages are independent: no shuffle, and a page is as much as its one row. Defined
 results: a null, empty or textless page has the empty text with 0 characters; null ids
@@ -42,7 +45,7 @@ MOST = 0.9
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img label".split())
 NOT_SHOWN = frozenset("head title script style noscript template iframe object embed svg canvas audio video map datalist".split())
-NOT_CONTENT = frozenset("nav footer aside form button select textarea option input dialog menu".split())
+NOT_CONTENT = frozenset("nav footer aside button select textarea option input dialog menu".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 HOLDS_SAME = frozenset("ul ol dl table tbody thead tfoot select menu".split())
@@ -52,24 +55,36 @@ MARKS = frozenset(
     "comment comments commentlist disqus cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget pagination pager".split()
 )
 PAGE_MARKS = frozenset("header footer".split())
+OF_HEAD = frozenset("html head title meta link base script style noscript template".split())
 KEPT = frozenset("html body article main".split())
 COMMENT_MARKS = frozenset("comment comments commentlist".split())
 MARK_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+COMMENT_START = re.compile(r"(?:^|\s)(?:comment|disqus)", re.I)
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def _marked(attrs: dict[str, str | None]) -> str:
+    return f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
+
+
+def _words(marked: str) -> set[str]:
+    return {w.lower() for w in MARK_WORD.findall(marked)}
+
+
 class Element:
-    __slots__ = ("tag", "number", "shut", "article")
+    """wraps: the elements from here up that shut their lines unless they turn out to be wrappers."""
+
+    __slots__ = ("tag", "number", "shut", "article", "wraps")
 
-    def __init__(self, tag: str, number: int, shut: bool, article: bool):
-        self.tag, self.number, self.shut, self.article = tag, number, shut, article
+    def __init__(self, tag: str, number: int, shut: bool, article: bool, wraps: tuple[int, ...] = ()):
+        self.tag, self.number, self.shut, self.article, self.wraps = tag, number, shut, article, wraps
 
 
 class Line:
-    __slots__ = ("text", "tags", "within", "shut", "article")
+    __slots__ = ("text", "tags", "within", "shut", "article", "wraps")
 
-    def __init__(self, text: str, tags: int, within: tuple[int, ...], shut: bool, article: bool):
-        self.text, self.tags, self.within, self.shut, self.article = text, tags, within, shut, article
+    def __init__(self, text: str, tags: int, within: tuple[int, ...], shut: bool, article: bool, wraps: tuple[int, ...]):
+        self.text, self.tags, self.within, self.shut, self.article, self.wraps = text, tags, within, shut, article, wraps
 
 
 class Lines(HTMLParser):
@@ -93,13 +108,15 @@ class Lines(HTMLParser):
         self.parts.clear()
         if text:
             top = self.stack[-1]
-            self.lines.append(Line(text, self.tags, tuple(e.number for e in self.stack), top.shut, top.article))
+            self.lines.append(Line(text, self.tags, tuple(e.number for e in self.stack), top.shut, top.article, top.wraps))
             self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag not in INLINE:
             self.line()
+        if tag not in OF_HEAD:
+            self._end_head(tag == "body")
         if tag in ENDS_PARAGRAPH:
             self._end_open({"p"}, INLINE)
         if tag in ENDS_SAME:
@@ -113,7 +130,20 @@ class Lines(HTMLParser):
         above = self.stack[-1]
         self.count += 1
         article = above.article or tag in ("article", "main")
-        self.stack.append(Element(tag, self.count, above.shut or self._is_shut(tag, dict(attrs), above.article), article))
+        own = dict(attrs)
+        wraps = () if tag == "main" else above.wraps
+        shut = above.shut or self._is_shut(tag, own, above.article)
+        if not shut and self._is_marked(tag, own, above.article):
+            if COMMENT_START.search(_marked(own)):
+                shut = True
+            else:
+                wraps = (*wraps, self.count)
+        self.stack.append(Element(tag, self.count, shut, article, wraps))
+
+    def _end_head(self, anywhere: bool) -> None:
+        at = next((i for i, e in enumerate(self.stack) if e.tag == "head"), None)
+        if at is not None and (anywhere or at == len(self.stack) - 1):
+            del self.stack[at:]
 
     def _is_shut(self, tag: str, attrs: dict[str, str | None], in_article: bool) -> bool:
         if tag in NOT_SHOWN or tag in NOT_CONTENT or (tag == "header" and not in_article):
@@ -122,10 +152,14 @@ class Lines(HTMLParser):
             return False
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN_STYLE.search(attrs.get("style") or "") or (attrs.get("role") or "").lower() in ROLES:
             return True
-        marked = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        words = {w.lower() for w in MARK_WORD.findall(marked)}
-        if tag in KEPT:
-            return bool(words & COMMENT_MARKS) and tag == "article"
+        return tag == "article" and not COMMENT_MARKS.isdisjoint(_words(_marked(attrs)))
+
+    def _is_marked(self, tag: str, attrs: dict[str, str | None], in_article: bool) -> bool:
+        if tag == "form":
+            return True
+        if tag in KEPT or not attrs:
+            return False
+        words = _words(_marked(attrs))
         return bool(words & MARKS) or (not in_article and bool(words & PAGE_MARKS))
 
     def _end_open(self, tags: set[str], across: frozenset[str] | None) -> None:
@@ -155,6 +189,8 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.stack[-1].tag == "head" and not data.isspace():
+            self._end_head(False)
         if self.stack[-1].tag not in NOT_SHOWN:
             self.parts.append(data)
 
@@ -182,6 +218,20 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def wrappers(content: list[Line]) -> set[int]:
+    """Marked elements round most of the article or, where there is none, nearly all of the content. content: lines not shut for good."""
+    articles = [x for x in content if x.article]
+    free = sum(len(x.text) for x in content if not x.wraps and not (articles and x.article))
+    total = sum(len(x.text) for x in articles)
+    held: dict[int, int] = {}
+    for line in articles or content:
+        for element in line.wraps:
+            held[element] = held.get(element, 0) + len(line.text)
+    if articles:
+        return {e for e, n in held.items() if 2 * n > total and n >= free}
+    return {e for e, n in held.items() if n >= MOST * (n + free)}
+
+
 def main_text(html: str | None) -> str:
     parser = Lines()
     for at in range(0, len(html or ""), FEED):
@@ -189,11 +239,18 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.line()
     lines = parser.lines
-    own = [line for line in lines if not line.shut]
-    if not own:
+    if all(line.shut for line in lines):
         return ""
     ratios = smoothed([math.log1p(len(x.text) / max(1, x.tags)) for x in lines])
     least = threshold(ratios)
+    if any(line.wraps for line in lines):
+        shown = [line for line in lines if not line.shut]
+        open_ones = wrappers([x for x, r in zip(lines, ratios, strict=True) if r >= least and not x.shut] or shown)
+        for line in shown:
+            line.shut = not open_ones.issuperset(line.wraps)
+    own = [line for line in lines if not line.shut]
+    if not own:
+        return ""
     content = [x for x, r in zip(lines, ratios, strict=True) if r >= least and not x.shut] or own
     total = sum(len(x.text) for x in content)
     if 2 * sum(len(x.text) for x in content if x.article) >= total:
