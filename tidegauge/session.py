@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
 _folders: dict[str, str] = {}
+#: Bytes of a batch of rows that goes to a Python worker; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def local_session(cores: str = "8", **conf: str) -> SparkSession:
@@ -34,7 +36,10 @@ def local_session(cores: str = "8", **conf: str) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application, however the driver came to import it."""
+    """Give the Python workers this package, once per application, however the driver came to import it, and batches of bounded size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if str(spark.conf.get(key)).rstrip("b") == str(64 << 20):  # Spark's default: nobody chose another
+        spark.conf.set(key, BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
