@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import statistics
 
 import numpy as np
 import pytest
@@ -197,7 +198,7 @@ def test_top_k(spark, query_bytes):
 
 def plain_model(texts):
     """Interpolated modified Kneser-Ney over the symbols of quality.grams(), by its definition."""
-    size, grams = 1 << quality.BITS, collections.Counter(g for t in texts for g in quality.grams(t).tolist())
+    size, grams = quality.SYMBOLS, collections.Counter(g for t in texts for g in quality.grams(t).tolist())
     counts = {4: grams}
     for n in (3, 2, 1):
         counts[n] = collections.Counter(g % size**n for g in counts[n + 1])
@@ -220,6 +221,25 @@ def plain_model(texts):
     return lambda text: -sum(math.log2(p(4, g)) for g in quality.grams(text).tolist())
 
 
+def plain_limits(known, quantile):
+    """Limits by language, and that of other languages, from (lang, symbols, bits) of held-out rows."""
+    mean = round(sum(b for _, _, b in known) / sum(n for _, n, _ in known), 9)
+    drawn = [(lang, (b + quality.PRIOR_SYMBOLS * mean) / (n + quality.PRIOR_SYMBOLS)) for lang, n, b in known]
+
+    def at(values):
+        return math.ceil(round(sorted(values)[math.ceil(round(len(values) * quantile, 6)) - 1] * quality.BINS, 6)) / quality.BINS
+
+    by_lang = collections.defaultdict(list)
+    for lang, x in drawn:
+        by_lang[lang].append(x)
+    apart = [x - (sum(own) - x) / (len(own) - 1) for own in by_lang.values() if len(own) > 1 for x in own]
+    beyond = at(apart) if apart else 0
+    if len(apart) > 1 and len(apart) * (1 - quantile) < 1:
+        beyond = max(beyond, quality.DEVIATIONS * statistics.stdev(apart))
+    limits = {lang: at(own) if len(own) * (1 - quantile) >= 1 else sum(own) / len(own) + beyond for lang, own in by_lang.items()}
+    return mean, limits, at([x for _, x in drawn])
+
+
 def quality_rows(n=120):
     rng = random.Random(6)
     syllables = {"aa": ["ka", "lo", "mi", "ta"], "bb": ["ster", "ung", "ich", "ver"]}
@@ -233,24 +253,34 @@ def quality_rows(n=120):
     return rows, labels
 
 
-def test_quality(spark, monkeypatch):
+@pytest.mark.parametrize("quantile", [0.995, 0.8])
+def test_quality(spark, monkeypatch, quantile):
     rows, labels = quality_rows()
     rows += [(1000, None, "aa", 1, "d", 1, "r"), (1001, "", None, 1, "d", 1, "r"), (None, "kalo mita", "aa", 1, "d", 1, "r"), (1002, "kalo mita", "zz", 1, "d", 1, "r"), (3, rows[3][1], "bb", 1, "d", 1, "r")]
     docs, marks = docs_of(spark, rows), spark.createDataFrame([*labels, (None, 1), (7, None), (0, 1)], "doc_id long, quality int")
-    got = {r.doc_id: r for r in quality.classify(docs, marks).collect()}
-    assert quality.classify(docs, marks).count() == len(rows)
-    bits = plain_model([t for (i, t, *_), (_, q) in zip(rows, labels, strict=False) if q == 1] + [rows[3][1]])
-    for i, t, *_ in rows[:40]:
-        assert got[i].perplexity == pytest.approx(2 ** (bits(t) / len(t)), rel=1e-4)
-    assert all(got[i].kept == (q == 1) for i, q in labels)
-    assert got[1000].perplexity is None and not got[1000].kept and not got[1001].kept and got[None].kept and got[1002].kept
-    kept = quality.keep_good(docs, marks)
+    got = {r.doc_id: r for r in quality.classify(docs, marks, quantile=quantile).collect()}
+    held_out = {r.text for r in docs.filter(quality.is_held_out(F.xxhash64("text"))).collect()}
+    trusted = {i for i, q in labels if q == 1}
+    bits = plain_model([t for i, t, *_ in rows if i in trusted and t not in held_out])
+    mean, limits, pooled = plain_limits([(lang, len(t), bits(t)) for i, t, lang, *_ in rows if i in trusted and t in held_out], quantile)
+    for i, t, lang, *_ in rows:
+        assert got[i].n_chars == len(t or "") and got[i].threshold == pytest.approx(2 ** limits.get(lang, pooled), rel=1e-6)
+        if t:
+            assert got[i].perplexity == pytest.approx(2 ** (bits(t) / len(t)), rel=1e-4)
+            drawn = (bits(t) + quality.PRIOR_SYMBOLS * mean) / (len(t) + quality.PRIOR_SYMBOLS)
+            assert got[i].kept == (drawn <= limits.get(lang, pooled)) or abs(drawn - limits.get(lang, pooled)) < 1e-5
+        else:
+            assert got[i].perplexity is None and not got[i].kept
+    assert not any(got[i].kept for i, q in labels if q == 0)
+    kept = quality.keep_good(docs, marks, quantile=quantile)
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in rows if got[r[0]].kept) and kept.columns == docs.columns
     assert quality.classify(docs_of(spark, []), marks).count() == 0
-    before = quality.classify(docs, marks).collect()
+    before = quality.classify(docs, marks, quantile=quantile).collect()
+    assert len(before) == len(rows)
     monkeypatch.setattr(quality, "BROADCAST_IDS", 0)
-    monkeypatch.setattr(quality, "BROADCAST_BYTES", 0)
-    shuffled = quality.classify(docs, marks).collect()
+    monkeypatch.setattr(quality, "BROADCAST_LANGS", 0)
+    monkeypatch.setattr(quality, "BLOCK_DOCS", 7)
+    shuffled = quality.classify(docs, marks, quantile=quantile).collect()
     assert collections.Counter((r.doc_id, r.kept, r.threshold) for r in shuffled) == collections.Counter((r.doc_id, r.kept, r.threshold) for r in before)
     untaught = quality.classify(docs, marks.limit(0)).collect()
     assert all(r.kept == bool(r.n_chars) for r in untaught)
@@ -266,12 +296,19 @@ def test_clean_documents_pass_where_few_are_trusted(spark):
     assert sum(r.kept for r in got if 20 <= r.doc_id < 100) >= 72 and not any(r.kept for r in got if r.doc_id >= 100)
 
 
-def test_no_two_characters_share_their_symbols():
-    chars = [chr(i) for i in [*range(33, 0x3000), *range(0x4E00, 0x5200), *range(0x10FF00, 0x110000)] if not (i < quality.TABLE_LIMIT and (chr(i).isupper() or chr(i).isdigit() or chr(i).isspace()))]
-    assert len({tuple(quality.symbols_of(c).tolist()) for c in chars}) == len(chars)
-    text = "".join(chars)
-    assert quality.symbols_of(text).tolist() == [s for c in chars for s in quality.symbols_of(c).tolist()]
-    assert quality.symbols_of(text).max() < 1 << quality.BITS
+def test_grams_are_code_units():
+    size = quality.SYMBOLS
+    assert quality.grams("aЖ").tolist() == [97, 97 * size + 0x416]
+    assert quality.grams("x🙂").tolist() == [120, 120 * size + 0xD83D, (120 * size + 0xD83D) * size + 0xDE42]
+    assert quality.grams("abcde").tolist()[-1] == int.from_bytes(b"\0b\0c\0d\0e", "big") and not len(quality.grams(""))
+
+
+def test_long_texts_are_counted_by_slices(monkeypatch):
+    text = "".join(random.Random(1).choice("ab 日🙂\ud800") for _ in range(1000))
+    whole = quality.gram_counts(text)
+    for size in (1, 2, 7, 64):
+        monkeypatch.setattr(quality, "SLICE_CHARS", size)
+        assert all(np.array_equal(a, b) for a, b in zip(quality.gram_counts(text), whole, strict=True))
 
 
 @pytest.mark.parametrize("syllables", [["при", "вет", "мир", "дом", "ста"], ["λόγ", "ος", "καί", "θεά"], ["مرح", "با", "سلا", "كتب"], ["日本", "東京", "学生", "天気"]])
@@ -286,22 +323,23 @@ def test_shuffled_letters_of_other_scripts_cost_more(syllables):
 
 def test_model_is_a_probability(spark):
     rows, labels = quality_rows(20)
-    model, table = quality.train(docs_of(spark, rows), "text")
-    packed = model.repartition(quality.SHARDS, "shard").sortWithinPartitions("shard", "kind", "key").mapInArrow(quality._pack_model, "shard int, model array<binary>")
-    shards = {r.shard: quality.Shard(r.model, np.log2(table.ravel())) for r in packed.collect()}
-    for context in quality.grams("kalo")[1:].tolist():
-        every = np.array([(context << quality.BITS & (1 << 28) - 1) | s for s in range(128)], np.uint32)
-        shard = int(quality.shard_of((every[:1] >> np.uint32(7)) & np.uint32((1 << 14) - 1))[0])
-        assert np.exp2(shards[shard].log2p(every)).sum() == pytest.approx(1.0, rel=1e-4)
+    model = quality.train(docs_of(spark, rows).select("text"))
+    shards = {r.shard: quality.Shard(r.model, model.unigrams) for r in model.shards.collect()}
+    for context in [*quality.grams("kalo ")[1:].tolist(), *quality.grams("日本")[1:].tolist()]:
+        every = np.uint64(context << quality.BITS & (1 << 64) - 1) | np.arange(quality.SYMBOLS, dtype=np.uint64)
+        shard = int(quality.shard_of(quality._symbol(every[:1], 2), quality._symbol(every[:1], 1))[0])
+        own = shards.get(shard) or quality.Shard(None, model.unigrams)
+        assert np.exp2(own.log2p(every)).sum() == pytest.approx(1.0, rel=1e-4)
 
 
 def test_packed_blocks_round_trip():
-    every = [np.unique(quality.grams(t), return_counts=True) for t in ("", "abc abc", "z" * 100_000, "Ünï ¡日本!")]
+    every = [quality.gram_counts(t) for t in ("", "abc abc", "z" * 100_000, "Ünï ¡日本!", "abc", "")]
     got = [collections.Counter() for _ in every]
     for shard, packed in quality.pack_block(every):
-        distinct, sizes, place, counts = quality.unpack_block(packed)
-        for doc, gram, n in zip(np.repeat(np.arange(len(sizes)), sizes).tolist(), distinct[place].tolist(), counts.tolist(), strict=True):
-            assert int(quality.shard_of(np.array([gram >> 7 & (1 << 14) - 1]))[0]) == shard
+        distinct, sizes, docs, counts = quality.unpack_block(packed)
+        for doc, gram, n in zip(docs.tolist(), np.repeat(distinct, sizes).tolist(), counts.tolist(), strict=True):
+            one = np.array([gram], np.uint64)
+            assert int(quality.shard_of(quality._symbol(one, 2), quality._symbol(one, 1))[0]) == shard
             got[doc][gram] += n
     assert got == [collections.Counter(dict(zip(g.tolist(), n.tolist(), strict=True))) for g, n in every]
 

@@ -1,135 +1,148 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of character n-grams, trained on trusted text.
 
-Characters are written in 128 symbols, so a 4-gram is 28 bits. Letters of Latin-1, each
-mark of ASCII, the capitals and the digits of Latin, and white space take one; all other
-characters take two to four, no two the same, the first of which says how many follow.
-
-Training. Trusted ids meet the documents in a join: broadcast up to BROADCAST_IDS of
-them, else shuffled behind a Bloom filter that lets only their rows, and a few others, in. The 4-grams of all trusted text are counted per
-block, then per gram; lower orders hold continuation counts, the number of different
-symbols seen before a gram. Discounts D1, D2 and D3+ come from the counts of counts of
-each order. Each order's probabilities are joins of its counts with its contexts'
-totals and with the next lower order.
-
-Scoring. The two middle symbols of a 4-gram decide its shard: its own entry, its
-context, the trigram it backs off to and that one's context all lie there; entries of
-bigrams, at most 128 x 128, go to every shard. A block of documents becomes one packed
-row a shard: the distinct grams, and per document which of them and how often. These
-rows join the model's shards (broadcast up to BROADCAST_BYTES; beyond that shuffled, and
-salted so that there are more tasks than shards); each join row gives the block's documents a partial sum, and the sums of a block meet again.
-
-A document is judged by its mean code length, drawn to the trusted mean by
-PRIOR_SYMBOLS symbols so that a short one is not judged by a few characters, against
-the quantile of the trusted documents of its language. Those are scored out of sample
-for this, like any other document: they fall into FOLDS folds by a hash of their text,
-and each is scored by a model of the other folds' counts. Where a language has too few
-for its own quantile, the limit is its mean and the quantile of how far the trusted
-documents of all languages are from the mean of the others of their language; where it
-has none, the quantile of all of them.
+A symbol is a UTF-16 code unit, so each letter, mark and digit of every script in common
+use has its own (rarer characters take two), and a 4-gram is 64 bits.
+
+Training. A hashed share of the trusted texts, one in FOLDS, is held out. The 4-grams of
+the others are counted per task, then per gram; lower orders hold continuation counts, the
+number of different symbols seen before a gram. Discounts D1, D2 and D3+ come from the
+counts of counts of each order. The two middle symbols of a 4-gram decide its shard, where
+its context, the trigram it backs off to and that one's context lie as well; bigrams, which
+are few, go to every shard that may ask for them. So a shard has all that its
+probabilities need, and they are computed there, one shuffle for all orders.
+
+Scoring is a join of counts, shard by shard, at every size. A block of documents becomes
+one packed row a shard: its distinct grams, which documents have each, and how often.
+These rows meet the model's shards sorted by shard, the model's row first, so a task holds
+one shard and streams the blocks past it; shards are salted, so there are more tasks than
+shards. Each row gives the block's documents a partial sum, and the sums of a block meet again.
+
+A document is judged by its mean code length, drawn to the held-out mean by
+PRIOR_SYMBOLS characters so that a short one is not judged by a few, against the quantile
+of the held-out documents of its language, exact to a bin of 1/BINS bit. Where a language
+has too few for its own quantile, the limit is its mean and the quantile of how far the
+held-out documents of all languages are from the mean of the others of their language;
+where it has none, the quantile of all of them. Where all of them are too few for that
+quantile, DEVIATIONS standard deviations stand in for it if they reach further.
 
 Defined results: without text there is no perplexity and the document is rejected; if
-no trusted text exists nothing else is; a null lang is a language of its own; labels
-without id or quality play no part, repeated ones count once, and of conflicting ones
-any 1 makes a document trusted; repeated documents are judged each; an empty table
-gives an empty result; further columns pass through keep_good() unchanged.
+no trusted text exists, or none is held out, nothing else is; a null lang is a language of
+its own; labels without id or quality play no part, repeated ones count once, and of
+conflicting ones any 1 makes a document trusted; repeated documents are judged each; an
+empty table gives an empty result; further columns pass through keep_good() unchanged.
 """
 
 from __future__ import annotations
 
 import zlib
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.session import broadcast_up_to, materialise, ship
 
 ORDER = 4
-BITS = 7
-SHARDS = 16
+BITS = 16
+SYMBOLS = 1 << BITS
+#: Shards are one of LAST_PARTS by the last symbol but one, and of these one of BEFORE_PARTS by the one before it.
+LAST_PARTS = BEFORE_PARTS = 4
+SHARDS = LAST_PARTS * BEFORE_PARTS
 QUANTILE = 0.995
 PRIOR_SYMBOLS = 200
 FOLDS = 4
-BLOCK_DOCS = 512
-BLOCK_CHARS = 4_000_000
+BINS = 1000
+DEVIATIONS = 3
+BLOCK_DOCS = 1024
+BLOCK_CHARS = 2_000_000
+#: Characters of one text whose grams are held at once.
+SLICE_CHARS = 1 << 20
 MAX_FILTER_BITS = 1 << 28
-#: Up to so many trusted or rejected ids, or so many bytes of model, go to every executor; beyond that both joins shuffle.
+#: Up to so many trusted or rejected ids, or languages, go to every executor; beyond that the joins shuffle.
 BROADCAST_IDS = 2_000_000
-BROADCAST_BYTES = 64 << 20
-PAIRS = 1 << 2 * BITS
-#: Below this, code points may have a symbol of their own or share one by kind.
-TABLE_LIMIT = 0x250
-#: First symbols of longer forms: of two (blocks of 128 code points from the second on), three and four symbols.
-TWO, THREE, FOUR = 97, 123, 127
-
-
-def _symbols() -> np.ndarray:
-    out = np.full(TABLE_LIMIT, FOUR, np.uint32)
-    marks = 31
-    for i in range(TABLE_LIMIT):
-        char = chr(i)
-        if char in "\n\v\f\r":
-            out[i] = 2
-        elif char.isspace() or i < 32:
-            out[i] = 1
-        elif "a" <= char <= "z":
-            out[i] = 3 + i - ord("a")
-        elif char.isupper():
-            out[i] = 29
-        elif char.isdigit():
-            out[i] = 30
-        elif i < 128:
-            out[i] = marks
-            marks += 1
-        elif 0xDF <= i <= 0xFF:
-            out[i] = 64 + i - 0xDF
-    return out
-
-
-SYMBOL = _symbols()
-
-
-def symbols_of(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    own = SYMBOL[np.minimum(points, TABLE_LIMIT - 1)]
-    single = (points < TABLE_LIMIT) & (own < TWO)
-    if single.all():
-        return own
-    block = points >> np.uint32(7)
-    sizes = np.where(single, 1, np.where(block <= THREE - TWO, 2, np.where(points < 1 << 16, 3, 4)))
-    last = np.cumsum(sizes) - 1
-    out = np.zeros(int(sizes.sum()), np.uint32)
-    out[last] = np.where(single, own, points & np.uint32(127))
-    for size, before in (
-        (2, [TWO - 1 + block]),
-        (3, [block & np.uint32(127), THREE + (points >> np.uint32(14))]),
-        (4, [block & np.uint32(127), points >> np.uint32(14), np.full_like(points, FOUR)]),
-    ):
-        at = sizes == size
-        for back, value in enumerate(before, 1):
-            out[last[at] - back] = value[at]
-    return out
+BROADCAST_LANGS = 100_000
 
 
 def grams(text: str) -> np.ndarray:
     """The n-gram that ends at each symbol, symbol 0 standing before the first."""
-    symbols = symbols_of(text)
-    padded = np.concatenate([np.zeros(ORDER - 1, np.uint32), symbols])
-    out = np.zeros(len(symbols), np.uint32)
+    symbols = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), "<u2").astype(np.uint64)
+    padded = np.concatenate([np.zeros(ORDER - 1, np.uint64), symbols])
+    out = np.zeros(len(symbols), np.uint64)
     for k in range(ORDER):
-        out = out << np.uint32(BITS) | padded[k : k + len(symbols)]
+        out = out << np.uint64(BITS) | padded[k : k + len(symbols)]
     return out
 
 
-def shard_of(middle):
-    """Of the two middle symbols: the same in numpy and as a Spark column."""
-    if isinstance(middle, Column):
-        return F.shiftright((middle * 40503) % 65536, 12).cast("int")
-    return (middle.astype(np.int64) * 40503 % 65536 >> 12).astype(np.int32)
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams in order, and how often each occurs; long texts are counted by slices."""
+    if len(text) <= SLICE_CHARS:
+        return np.unique(grams(text), return_counts=True)
+    found, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for at in range(0, len(text), SLICE_CHARS):
+        before = text[max(0, at - ORDER + 1) : at]
+        own, n = np.unique(grams(before + text[at : at + SLICE_CHARS])[len(before.encode("utf-16-le", "surrogatepass")) // 2 :], return_counts=True)
+        found, counts = united([found, own], [counts, n])
+    return found, counts
+
+
+def united(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(back, weights=np.concatenate(counts), minlength=len(found)).astype(np.int64)
+
+
+def _part(symbol, parts: int):
+    """One of so many parts by a symbol: the same in numpy and as a Spark column."""
+    if isinstance(symbol, Column):
+        return F.shiftright(((symbol * 40503) % SYMBOLS) * parts, BITS).cast("int")
+    return ((symbol.astype(np.int64) * 40503 % SYMBOLS) * parts >> BITS).astype(np.int32)
+
+
+def shard_of(before, last):
+    """Of the two symbols before the last one of a gram."""
+    return _part(last, LAST_PARTS) * BEFORE_PARTS + _part(before, BEFORE_PARTS)
+
+
+def _symbol(gram, back: int):
+    """The symbol so many places before the last."""
+    if isinstance(gram, Column):
+        return F.shiftrightunsigned(gram, BITS * back).bitwiseAND(SYMBOLS - 1)
+    return (gram >> np.uint64(BITS * back)) & np.uint64(SYMBOLS - 1)
+
+
+# --- packed keys -----------------------------------------------------------------------------
+
+
+def planes(values: np.ndarray) -> bytes:
+    """The bytes of integers, first bytes together, then second ones, and so on: they compress better so."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def from_planes(raw: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def pack(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of little-endian numbers as bytes; sorted uint64 keys as their steps."""
+    parts, heads = [], []
+    for x in arrays:
+        x = np.ascontiguousarray(x)
+        steps = x if x.dtype != np.uint64 else np.diff(x, prepend=np.uint64(0))
+        part = zlib.compress(planes(steps), 1)
+        parts.append(part)
+        heads.append(len(part))
+    return np.array(heads, "<u4").tobytes() + b"".join(parts)
+
+
+def unpack(packed: bytes, kinds: list[str]) -> list[np.ndarray]:
+    at, out = 4 * len(kinds), []
+    for kind, size in zip(kinds, np.frombuffer(packed, "<u4", len(kinds)).tolist(), strict=True):
+        own = from_planes(zlib.decompress(packed[at : at + size]), kind)
+        out.append(np.cumsum(own, dtype=np.uint64) if kind == "<u8" else own)
+        at += size
+    return out
 
 
 # --- trusted rows ----------------------------------------------------------------------------
@@ -153,13 +166,28 @@ def _filter_rows(cells: int):
     return run
 
 
-def trusted_rows(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
-    """The rows of docs with a trusted id. Labels: doc_id and quality."""
-    trusted = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
-    trusted = materialise(trusted, "trusted")
+def _maybe_trusted(shared, cells: int):
+    def run(batches):
+        table = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            at = _filter_cells(batch.column(0).to_numpy(), cells)
+            yield batch.filter(pa.array(((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1), pa.bool_()))
+
+    return run
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Labels: doc_id and quality."""
+    own = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
+    return materialise(own, "trusted")
+
+
+def trusted_texts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The texts of docs with a trusted id, as a column `text`."""
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     n = trusted.count()
     if n <= BROADCAST_IDS:
-        return docs.join(F.broadcast(trusted), docs[id_col].cast("long") == trusted["trusted_id"], "left_semi")
+        return rows.join(F.broadcast(trusted), rows["id"] == trusted["trusted_id"], "left_semi").select("text")
     cells = 1 << 16
     while cells < 8 * n and cells < MAX_FILTER_BITS:
         cells *= 2
@@ -168,15 +196,13 @@ def trusted_rows(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
         at = np.frombuffer(own, "<u2").astype(np.int64) + (segment << 16)
         np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
     shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+    own = rows.mapInArrow(_maybe_trusted(shared, cells), "id long, text string")
+    return own.join(trusted, own["id"] == trusted["trusted_id"], "left_semi").select("text")
 
-    @F.pandas_udf("boolean")
-    def may_be_trusted(ids: pd.Series) -> pd.Series:
-        table = np.frombuffer(shared.value, np.uint8)
-        at = _filter_cells(ids.to_numpy(np.int64), cells)
-        return pd.Series(((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1))
 
-    own = docs.filter(F.col(id_col).isNotNull()).filter(may_be_trusted(F.col(id_col).cast("long")))
-    return own.join(trusted, own[id_col].cast("long") == trusted["trusted_id"], "left_semi")
+def is_held_out(text_key: Column) -> Column:
+    """Equal texts share a fold."""
+    return F.pmod(text_key, F.lit(FOLDS)) == 0
 
 
 # --- model -----------------------------------------------------------------------------------
@@ -184,33 +210,21 @@ def trusted_rows(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
 
 def _count_grams(batches):
     for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            folds, texts = (c.to_pylist() for c in batch.slice(at, 1024).columns)
-            every = [grams(t).astype(np.int64) | f << ORDER * BITS for f, t in zip(folds, texts, strict=True) if t]
-            if every:
-                found, n = np.unique(np.concatenate(every), return_counts=True)
-                own = found & (1 << ORDER * BITS) - 1
-                yield pa.RecordBatch.from_arrays([pa.array((found >> ORDER * BITS).astype(np.int32)), pa.array(own.astype(np.int32)), pa.array(n, pa.int64())], names=["fold", "gram", "n"])
-
-
-def fold_of(text_col: str) -> Column:
-    """Equal texts share a fold."""
-    return F.coalesce(F.pmod(F.xxhash64(F.col(text_col).cast("string")), F.lit(FOLDS)), F.lit(0)).cast("int")
-
-
-def count_grams(trusted: DataFrame, text_col: str) -> DataFrame:
-    """(fold, gram, n) of the trusted text."""
-    raw = trusted.select(fold_of(text_col), F.col(text_col).cast("string")).mapInArrow(_count_grams, "fold int, gram int, n long")
-    return materialise(raw.groupBy("fold", "gram").agg(F.sum("n").alias("n")), "grams_of_folds")
-
-
-def discounts(counts: DataFrame) -> list[float]:
-    """D1, D2 and D3+ of modified Kneser-Ney; where the counts of counts don't allow an estimate, an absolute discount."""
-    row = counts.agg(*(F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4))).first()
-    return discounts_from([row[f"n{i}"] or 0 for i in (1, 2, 3, 4)])
+        held, size = [], 0
+        texts = batch.column(0)
+        for i in range(batch.num_rows):
+            text = texts[i].as_py()
+            if text:
+                held.append(gram_counts(text))
+                size += len(held[-1][0])
+            if held and (size > SLICE_CHARS or i == batch.num_rows - 1):
+                found, n = united([g for g, _ in held], [c for _, c in held])
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["gram", "n"])
+                held, size = [], 0
 
 
 def discounts_from(n: list[int]) -> list[float]:
+    """D1, D2 and D3+ of modified Kneser-Ney from the counts of the counts 1 to 4; where these don't allow an estimate, an absolute discount."""
     if not n[0] or not n[1]:
         return [0.5, 0.75, 0.9]
     y = n[0] / (n[0] + 2 * n[1])
@@ -218,128 +232,128 @@ def discounts_from(n: list[int]) -> list[float]:
     return [min(max(d, 0.05), 0.95 * i) for i, d in enumerate(found, 1)]
 
 
-def _discounted(counts: DataFrame) -> DataFrame:
-    """(gram, context, share, rest): the discounted share of a gram in its context, and what the context leaves to the lower order."""
-    d = discounts(counts)
-    less = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-    own = counts.withColumn("less", less).withColumn("context", F.shiftright("gram", BITS))
-    totals = own.groupBy("context").agg(F.sum("n").alias("total"), F.sum("less").alias("freed"))
-    return own.join(totals, "context").select("gram", "context", ((F.col("n") - F.col("less")) / F.col("total")).alias("share"), (F.col("freed") / F.col("total")).alias("rest"))
-
-
-def bigram_table(pairs: list[tuple[int, int]]) -> np.ndarray:
-    """Probability of the second symbol after the first, for all 128 x 128, from the continuation counts of the pairs seen."""
-    size = 1 << BITS
-    seen = np.zeros((size, size))
-    for gram, n in pairs:
-        seen[gram >> BITS, gram & (size - 1)] = n
-
-    def interpolate(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        d = np.array([0.0, *discounts_from([int((counts == i).sum()) for i in (1, 2, 3, 4)])])
-        less = d[np.minimum(counts, 3).astype(int)]
-        total = counts.sum(axis=-1, keepdims=True)
-        share = np.divide(counts - less, total, out=np.zeros_like(counts), where=total > 0)
-        rest = np.divide(less.sum(axis=-1, keepdims=True), total, out=np.ones_like(total), where=total > 0)
-        return share + rest * lower
-
-    unigrams = interpolate((seen > 0).sum(axis=0).astype(np.float64), np.full(size, 1 / size))
-    return interpolate(seen, unigrams)
-
-
-def train(trusted: DataFrame, text_col: str) -> tuple[DataFrame, np.ndarray]:
-    return model_of(count_grams(trusted, text_col))
-
-
-def model_of(counts: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """The model as rows (shard, kind, key, value), and the bigram table. Kinds: 4 and 3 hold log2 probabilities of grams, 40 and 30 log2 of what a context leaves."""
-    four = materialise(counts.groupBy("gram").agg(F.sum("n").alias("n")), "grams4")
-
-    def shorter(counts: DataFrame, bits: int) -> DataFrame:
-        return counts.groupBy((F.col("gram").bitwiseAND((1 << bits) - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-
-    three = materialise(shorter(four, 3 * BITS), "grams3")
-    table = bigram_table([(r["gram"], r["n"]) for r in shorter(three, 2 * BITS).collect()])  # at most 128 x 128 rows
-    lowest = counts.sparkSession.createDataFrame(pd.DataFrame({"pair": np.arange(PAIRS, dtype=np.int32), "lower": table.ravel()}))
-    level3 = _discounted(three).withColumn("pair", F.col("gram").bitwiseAND(PAIRS - 1)).join(F.broadcast(lowest), "pair")  # 128 x 128 rows
-    level3 = materialise(level3.select("gram", "context", "rest", (F.col("share") + F.col("rest") * F.col("lower")).alias("p")), "level3")
-    below = level3.select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
-    level4 = _discounted(four).withColumn("suffix", F.col("gram").bitwiseAND((1 << 3 * BITS) - 1)).join(below, "suffix")
-    level4 = materialise(level4.select("gram", "context", "rest", (F.col("share") + F.col("rest") * F.col("lower")).alias("p")), "level4")
-
-    def rows(df: DataFrame, kind: int, key: str, value: str, middle: Column) -> DataFrame:
-        return df.select(shard_of(middle).alias("shard"), F.lit(kind).alias("kind"), F.col(key).alias("key"), F.log2(value).cast("float").alias("value"))
-
-    def contexts(df: DataFrame) -> DataFrame:
-        return df.groupBy("context").agg(F.first("rest").alias("rest"))
-
-    middle = F.col("context").bitwiseAND(PAIRS - 1)
-    model = rows(level4, 4, "gram", "p", F.shiftright("gram", BITS).bitwiseAND(PAIRS - 1))
-    model = model.union(rows(level3, 3, "gram", "p", F.shiftright("gram", BITS)))
-    return model.union(rows(contexts(level4), 40, "context", "rest", middle)).union(rows(contexts(level3), 30, "context", "rest", middle)), table
-
-
-KINDS = (4, 40, 3, 30)
+def unigram_probabilities(seen: dict[int, int]) -> np.ndarray:
+    """By symbol, from the number of different symbols seen before each; what the discount frees is shared by all."""
+    counts = np.zeros(SYMBOLS)
+    counts[list(seen)] = list(seen.values())
+    d = np.array([0.0, *discounts_from([int((counts == i).sum()) for i in (1, 2, 3, 4)])])
+    less = d[np.minimum(counts, 3).astype(int)]
+    return (counts - less) / counts.sum() + less.sum() / counts.sum() / SYMBOLS
+
+
+class Model:
+    """Rows (shard, model), and log2 probabilities of the symbols alone; None where nothing was learnt."""
+
+    def __init__(self, shards: DataFrame, unigrams: np.ndarray):
+        self.shards, self.unigrams = shards, unigrams
+
+
+def train(texts: DataFrame) -> Model | None:
+    """texts: a column `text`."""
+    raw = texts.mapInArrow(_count_grams, "gram long, n long")
+    four = materialise(raw.groupBy("gram").agg(F.sum("n").alias("n")), "grams4")
+
+    def shorter(counts: DataFrame, order: int) -> DataFrame:
+        return counts.groupBy(F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+
+    three = materialise(shorter(four, 3), "grams3")
+    two = materialise(shorter(three, 2), "grams2")
+    ones = {r["gram"]: r["n"] for r in shorter(two, 1).collect()}  # at most SYMBOLS rows
+    if not ones:
+        return None
+    unigrams = unigram_probabilities(ones)
+    levels = {4: four, 3: three, 2: two}
+    few = [df.filter("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("of")).select(F.lit(k).alias("order"), "n", "of") for k, df in levels.items()]
+    of = {(r["order"], r["n"]): r["of"] for r in few[0].union(few[1]).union(few[2]).collect()}  # 12 rows
+    discounts = {k: discounts_from([of.get((k, i), 0) for i in (1, 2, 3, 4)]) for k in levels}
+    gram = F.col("gram")
+    own = [levels[k].select(shard_of(_symbol(gram, 2), _symbol(gram, 1)).alias("shard"), F.lit(k).alias("order"), "gram", "n") for k in (4, 3)]
+    every = F.explode(F.array(*(_part(_symbol(gram, 1), LAST_PARTS) * BEFORE_PARTS + i for i in range(BEFORE_PARTS))))
+    own.append(two.select(every.alias("shard"), F.lit(2).alias("order"), "gram", "n"))
+    shared = texts.sparkSession.sparkContext.broadcast(unigrams)
+    dealt = own[0].union(own[1]).union(own[2]).repartition(SHARDS, "shard").sortWithinPartitions("shard")
+    return Model(materialise(dealt.mapInArrow(_build_shards(shared, discounts), "shard int, model binary"), "model"), np.log2(unigrams))
+
+
+def _build_shards(shared, discounts: dict[int, list[float]]):
+    """One row a shard, from rows sorted by shard."""
+
+    def row(shard: int, held: dict[int, list]):
+        levels = {}
+        for order, parts in held.items():
+            keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            at = np.argsort(keys)
+            levels[order] = (keys[at], n[at])
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([pack(shard_arrays(levels, discounts, shared.value))], pa.binary())], names=["shard", "model"])
 
+    def run(batches):
+        current, held = None, {}
+        for batch in batches:
+            shards, orders, keys, n = (c.to_numpy() for c in batch.columns)
+            for shard in np.unique(shards).tolist():
+                if shard != current:
+                    if current is not None:
+                        yield row(current, held)
+                    current, held = shard, {}
+                for order in (4, 3, 2):
+                    mine = (shards == shard) & (orders == order)
+                    if mine.any():
+                        held.setdefault(order, []).append((keys[mine].view(np.uint64), n[mine]))
+        if current is not None:
+            yield row(current, held)
 
-def _pack_model(batches):
-    """One row a shard, from rows sorted by shard, kind and key."""
-    held: dict[int, tuple[list, list]] = {}
-    current = None
+    return run
 
-    def row():
-        arrays = []
-        for kind in KINDS:
-            keys, values = held.get(kind, ([], []))
-            arrays += [np.concatenate(keys or [np.zeros(0, np.int32)]).astype("<i4").tobytes(), np.concatenate(values or [np.zeros(0, np.float32)]).astype("<f4").tobytes()]
-        return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([arrays], pa.list_(pa.binary()))], names=["shard", "model"])
 
-    for batch in batches:
-        shards, kinds, keys, values = (c.to_numpy() for c in batch.columns)
-        for shard in np.unique(shards).tolist():
-            if shard != current:
-                if current is not None:
-                    yield row()
-                current, held = shard, {}
-            for kind in KINDS:
-                own = (shards == shard) & (kinds == kind)
-                if own.any():
-                    k, v = held.setdefault(kind, ([], []))
-                    k.append(keys[own])
-                    v.append(values[own])
-    if current is not None:
-        yield row()
+#: For orders 4, 3 and 2: grams, log2 of their probabilities, contexts, and log2 of what a context leaves to the lower order.
+KINDS = ["<u8", "<f4", "<u8", "<f4"] * 3
+
+
+def shard_arrays(levels: dict[int, tuple[np.ndarray, np.ndarray]], discounts: dict[int, list[float]], unigrams: np.ndarray) -> list[np.ndarray]:
+    """levels: by order, sorted grams of a shard and their counts."""
+    out, below = [], None
+    for order in (2, 3, 4):
+        keys, n = levels.get(order, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+        less = np.array([0.0, *discounts[order]])[np.minimum(n, 3)]
+        contexts, own = np.unique(keys >> np.uint64(BITS), return_inverse=True)
+        total = np.bincount(own, weights=n, minlength=len(contexts))
+        rest = np.bincount(own, weights=less, minlength=len(contexts)) / total
+        suffix = keys & np.uint64((1 << BITS * (order - 1)) - 1)
+        lower = unigrams[suffix.astype(np.int64)] if below is None else below[1][np.searchsorted(below[0], suffix)]
+        p = (n - less) / total[own] + rest[own] * lower
+        below = (keys, p)
+        out = [keys, np.log2(p).astype("<f4"), contexts, np.log2(rest).astype("<f4"), *out]
+    return out
 
 
 class Shard:
-    def __init__(self, arrays: list[bytes], bigrams: np.ndarray):
-        self.bigrams = bigrams
-        self.tables = {kind: (np.frombuffer(arrays[2 * i], "<i4"), np.frombuffer(arrays[2 * i + 1], "<f4")) for i, kind in enumerate(KINDS)}
-
-    def _look(self, kind: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, values = self.tables[kind]
-        if not len(keys):
-            return np.zeros(len(wanted), bool), np.zeros(len(wanted))
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return keys[at] == wanted, values[at].astype(np.float64)
+    def __init__(self, packed: bytes | None, unigrams: np.ndarray):
+        arrays = unpack(packed, KINDS) if packed else [np.zeros(0, kind) for kind in KINDS]
+        self.tables = {order: arrays[4 * i : 4 * i + 4] for i, order in enumerate((4, 3, 2))}
+        self.unigrams = unigrams
 
     def log2p(self, wanted: np.ndarray) -> np.ndarray:
-        wanted = wanted.astype(np.int32)
-        seen4, p4 = self._look(4, wanted)
-        seen3, p3 = self._look(3, wanted & np.int32((1 << 3 * BITS) - 1))
-        known4, rest4 = self._look(40, wanted >> BITS)
-        known3, rest3 = self._look(30, (wanted >> BITS) & np.int32(PAIRS - 1))
-        low = np.where(seen3, p3, np.where(known3, rest3, 0.0) + self.bigrams[wanted & np.int32(PAIRS - 1)])
-        return np.where(seen4, p4, np.where(known4, rest4, 0.0) + low)
+        out = self.unigrams[(wanted & np.uint64(SYMBOLS - 1)).astype(np.int64)]
+        for order in (2, 3, 4):
+            keys, p, contexts, rest = self.tables[order]
+            if not len(keys):
+                continue
+            gram = wanted & np.uint64((1 << BITS * order) - 1)
+            at = np.minimum(np.searchsorted(contexts, gram >> np.uint64(BITS)), len(contexts) - 1)
+            out = out + np.where(contexts[at] == gram >> np.uint64(BITS), rest[at].astype(np.float64), 0.0)
+            at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
+            out = np.where(keys[at] == gram, p[at].astype(np.float64), out)
+        return out
 
 
 # --- scoring ---------------------------------------------------------------------------------
 
 HEAD = -1
-NO_GRAMS = (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+NAMES = ["shard", "first", "block", "packed", "ids", "keys", "langs", "lengths"]
 
 
 def _blocks(kind: pa.DataType):
-    """Per block of documents: a head row with ids, keys, languages and lengths, and a packed row for each shard of each model that scores some of them."""
+    """Per block of documents: a head row with ids, keys, languages and lengths, and a packed row a shard."""
 
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
@@ -351,88 +365,79 @@ def _blocks(kind: pa.DataType):
                     text = batch.column(3)[at].as_py() or ""
                     size += len(text)
                     lengths.append(len(text))
-                    every.append(np.unique(grams(text), return_counts=True))
+                    every.append(gram_counts(text))
                     at += 1
                 first = at - len(every)
-                block = part << 32 | number
-                number += 1
-                own = [batch.column(i).slice(first, len(every)).to_pylist() for i in range(3)]
-                owners = np.array(batch.column(4).slice(first, len(every)).to_pylist())
-                packed = []
-                for m in np.unique(owners).tolist():
-                    scored = [x if o == m else NO_GRAMS for x, o in zip(every, owners.tolist(), strict=True)]
-                    packed += [(m * SHARDS + s, p) for s, p in pack_block(scored)]
+                packed = list(pack_block(every))
                 n = len(packed)
+                own = [batch.column(i).slice(first, len(every)).to_pylist() for i in range(3)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([block] * (n + 1), pa.int64()),
                         pa.array([HEAD, *(s for s, _ in packed)], pa.int32()),
+                        pa.array([False] * (n + 1)),
+                        pa.array([part << 32 | number] * (n + 1), pa.int64()),
                         pa.array([None, *(p for _, p in packed)], pa.binary()),
                         *(pa.array([values, *[None] * n], pa.list_(t)) for values, t in zip([*own, lengths], [kind, pa.int64(), pa.string(), pa.int64()], strict=True)),
                     ],
-                    names=["block", "shard", "packed", "ids", "keys", "langs", "lengths"],
+                    names=NAMES,
                 )
+                number += 1
 
     return run
 
 
 def pack_block(every: list[tuple[np.ndarray, np.ndarray]]):
-    """(shard, bytes): distinct grams; then for each document, how many of them, which, and how often."""
-    all_grams = np.concatenate([g for g, _ in every])
-    all_counts = np.concatenate([n for _, n in every])
-    doc = np.repeat(np.arange(len(every)), [len(g) for g, _ in every])
-    shards = shard_of((all_grams >> np.uint32(BITS)) & np.uint32(PAIRS - 1))
+    """(shard, bytes): distinct grams, how many documents have each, which, and how often."""
+    keys = np.concatenate([g for g, _ in every])
+    counts = np.concatenate([n for _, n in every])
+    docs = np.repeat(np.arange(len(every), dtype=np.uint16), [len(g) for g, _ in every])
+    shards = shard_of(_symbol(keys, 2), _symbol(keys, 1)).astype(np.int8)
     for shard in range(SHARDS):
-        own = shards == shard
-        if not own.any():
+        own = np.flatnonzero(shards == shard)
+        if not len(own):
             continue
-        distinct, place = np.unique(all_grams[own], return_inverse=True)
-        sizes = np.bincount(doc[own], minlength=len(every))
-        counts = all_counts[own]
-        many = np.flatnonzero(counts > 255)
-        steps = np.diff(place, prepend=0) % (1 << 24)
-        planes = [(steps >> s & 255).astype(np.uint8).tobytes() for s in (0, 8, 16)]
-        parts = [distinct.astype("<u4").tobytes(), sizes.astype("<u4").tobytes(), *planes, np.minimum(counts, 255).astype(np.uint8).tobytes(), many.astype("<u4").tobytes(), counts[many].astype("<u8").tobytes()]
-        head = np.array([len(distinct), len(sizes), len(place), len(many)], "<u4").tobytes()
-        yield shard, zlib.compress(head + b"".join(parts), 1)
+        own = own[np.argsort(keys[own], kind="stable")]  # documents stay in order within a gram
+        mine, doc, n = keys[own], docs[own], counts[own]
+        new = np.r_[True, mine[1:] != mine[:-1]]
+        starts = np.flatnonzero(new)
+        steps = np.where(new, doc, np.diff(doc, prepend=np.uint16(0))).astype("<u2")
+        many = np.flatnonzero(n > 255)
+        yield shard, pack([mine[starts], np.diff(np.r_[starts, len(own)]).astype("<u2"), steps, np.minimum(n, 255).astype("u1"), many.astype("<u4"), n[many].astype("<i8")])
 
 
 def unpack_block(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct grams, entries of each document, place of each entry among the grams, count of each entry)."""
-    raw = zlib.decompress(packed)
-    n_distinct, n_docs, n, n_many = np.frombuffer(raw, "<u4", 4).tolist()
-    at = 16
-
-    def take(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(raw, kind, count, at)
-        at += out.nbytes
-        return out
-
-    distinct, sizes = take("<u4", n_distinct), take("<u4", n_docs)
-    steps = sum(take("u1", n).astype(np.int64) << s for s in (0, 8, 16))
-    counts = take("u1", n).astype(np.int64)
-    many = take("<u4", n_many)
-    counts[many] = take("<u8", n_many)
-    return distinct, sizes, np.cumsum(steps) % (1 << 24), counts
+    """(distinct grams, documents that have each, these documents, count of the gram in each)."""
+    distinct, sizes, steps, counts, many, large = unpack(packed, ["<u8", "<u2", "<u2", "u1", "<u4", "<i8"])
+    sizes, steps = sizes.astype(np.int64), steps.astype(np.int64)
+    along = np.cumsum(steps)
+    starts = np.cumsum(sizes) - sizes
+    docs = along - np.repeat(along[starts] - steps[starts], sizes)
+    counts = counts.astype(np.int64)
+    counts[many] = large
+    return distinct, sizes, docs, counts
 
 
-def _score(shared, models):
-    """models: a broadcast of the model's shards; None if each row brings its own."""
+def _score(shared):
+    """Rows sorted by shard and salt, that of the model first; sums as little-endian doubles, one for each document of the block."""
 
     def run(batches):
+        current, shard = None, None
         for batch in batches:
-            sums: list = []
-            own = batch.column("model") if models is None else [None] * batch.num_rows
-            for shard, packed, model in zip(batch.column("shard").to_pylist(), batch.column("packed").to_pylist(), own, strict=True):
-                if shard == HEAD:
+            sums: list[bytes | None] = []
+            shards, firsts, packs = batch.column("shard").to_pylist(), batch.column("first").to_pylist(), batch.column("packed")
+            for i, (number, is_model) in enumerate(zip(shards, firsts, strict=True)):
+                if number == HEAD:
                     sums.append(None)
                     continue
-                arrays = (models.value.get(shard) if models is not None else model.as_py()) or [b""] * (2 * len(KINDS))
-                distinct, sizes, place, counts = unpack_block(packed)
-                bits = -Shard(arrays, shared.value[shard // SHARDS]).log2p(distinct)[place] * counts
-                sums.append(np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=bits, minlength=len(sizes)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "shard", "ids", "keys", "langs", "lengths")), pa.array(sums, pa.list_(pa.float64()))], names=["block", "shard", "ids", "keys", "langs", "lengths", "bits"])
+                if is_model or number != current:
+                    current, shard = number, Shard(packs[i].as_py() if is_model else None, shared.value)
+                if is_model:
+                    sums.append(None)
+                    continue
+                distinct, sizes, docs, counts = unpack_block(packs[i].as_py())
+                sums.append(np.bincount(docs, weights=np.repeat(-shard.log2p(distinct), sizes) * counts).astype("<f8").tobytes())
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "shard", "ids", "keys", "langs", "lengths")), pa.array(sums, pa.binary())], names=["block", "shard", "ids", "keys", "langs", "lengths", "bits"])
+            yield out.filter(pa.array([not x for x in firsts], pa.bool_()))
 
     return run
 
@@ -454,75 +459,82 @@ def _unite(kind: pa.DataType):
                         yield rows()
                     head, total = (row["ids"], row["keys"], row["langs"], row["lengths"]), np.zeros(len(row["ids"]))
                 else:
-                    total += row["bits"]
+                    own = np.frombuffer(row["bits"], "<f8")
+                    total[: len(own)] += own
         if head is not None:
             yield rows()
 
     return run
 
 
-def code_lengths(docs: DataFrame, trained: list[tuple[DataFrame, np.ndarray]], which: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """Per row of docs: id, text_key, lang, symbols (its characters) and the bits they take under the model that which names."""
+def code_lengths(docs: DataFrame, model: Model, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """Per row of docs: id, text_key, lang, symbols (its characters) and the bits they take under the model."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), which.alias("which"))
-    sql_kind = docs.schema[id_col].dataType.simpleString()
-    kind = _arrow_kind(docs, id_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    sql_kind, kind = docs.schema[id_col].dataType.simpleString(), to_arrow_type(docs.schema[id_col].dataType)
     lists = f"ids array<{sql_kind}>, keys array<long>, langs array<string>, lengths array<long>"
-    blocks = rows.mapInArrow(_blocks(kind), f"block long, shard int, packed binary, {lists}")
-    model = reduce(DataFrame.union, (m.withColumn("shard", F.col("shard") + i * SHARDS) for i, (m, _) in enumerate(trained)))
-    packed = model.repartition(SHARDS * len(trained), "shard").sortWithinPartitions("shard", "kind", "key").mapInArrow(_pack_model, "shard int, model array<binary>")
-    packed = materialise(packed, "model")
-    size = packed.agg(F.sum(F.aggregate("model", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))).first()[0] or 0
-    shared = spark.sparkContext.broadcast([np.log2(table.ravel()) for _, table in trained])
-    if size <= BROADCAST_BYTES:
-        models = spark.sparkContext.broadcast({r["shard"]: [bytes(x) for x in r["model"]] for r in packed.toLocalIterator()})
-        joined = blocks
-    else:
-        models = None
-        salts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
-        salted = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = blocks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int")).join(salted, ["shard", "salt"], "left")
-    scored = joined.mapInArrow(_score(shared, models), f"block long, shard int, {lists}, bits array<double>")
+    salts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // SHARDS)
+    blocks = rows.mapInArrow(_blocks(kind), f"shard int, first boolean, block long, packed binary, {lists}").withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
+    shards = model.shards.select("shard", F.lit(True).alias("first"), F.lit(None).cast("long").alias("block"), F.col("model").alias("packed"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    met = blocks.unionByName(shards, allowMissingColumns=True).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.desc("first"))
+    scored = met.drop("salt").mapInArrow(_score(spark.sparkContext.broadcast(model.unigrams)), f"block long, shard int, {lists}, bits binary")
     dealt = scored.repartition("block").sortWithinPartitions("block", "shard")
     return dealt.mapInArrow(_unite(kind), f"id {sql_kind}, text_key long, lang string, symbols long, bits double")
 
 
-def _arrow_kind(docs: DataFrame, id_col: str) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
+# --- limits ----------------------------------------------------------------------------------
 
-    return to_arrow_type(docs.schema[id_col].dataType)
+
+def quantile_by(values: DataFrame, key: str, value: str, quantile: float) -> DataFrame:
+    """(key, q): the least multiple of 1/BINS that at least this share of the key's values doesn't exceed. A key has as many bins as its values' range."""
+    bins = values.groupBy(key, F.ceil(F.round(F.col(value) * BINS, 6)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    of_key = Window.partitionBy(key)
+    counted = bins.withColumn("upto", F.sum("n").over(of_key.orderBy("bin"))).withColumn("all", F.sum("n").over(of_key))
+    return counted.filter(F.col("upto") >= F.ceil(F.round(F.col("all") * quantile, 6))).groupBy(key).agg((F.min("bin") / BINS).alias("q"))
+
+
+def limits_of(known: DataFrame, quantile: float) -> tuple[DataFrame, float | None]:
+    """(lang, n, limit) and the limit of languages not among these, from held-out rows (lang, drawn)."""
+    centres = materialise(known.groupBy("lang").agg(F.round(F.avg("drawn"), 9).alias("centre"), F.count(F.lit(1)).alias("n")), "centres")  # a row a language
+    apart = known.join(broadcast_up_to(centres, BROADCAST_LANGS), "lang").filter("n > 1")
+    apart = apart.select(F.lit(0).alias("all"), ((F.col("drawn") - F.col("centre")) * F.col("n") / (F.col("n") - 1)).alias("apart"))
+    spread = quantile_by(apart, "all", "apart", quantile).first()
+    wide = apart.agg(F.count(F.lit(1)).alias("n"), F.round(DEVIATIONS * F.stddev_samp("apart"), 9).alias("w")).first()
+    beyond = max(spread["q"], wide["w"] if wide["n"] * (1 - quantile) < 1 and wide["w"] is not None else -np.inf) if spread else 0.0
+    pooled = quantile_by(known.select(F.lit(0).alias("all"), "drawn"), "all", "drawn", quantile).first()
+    limit = F.when(F.col("n") * (1 - quantile) >= 1, F.col("q")).otherwise(F.col("centre") + F.lit(float(beyond)))
+    limits = centres.join(quantile_by(known, "lang", "drawn", quantile), "lang").select("lang", "n", limit.alias("limit"))
+    return materialise(limits, "limits"), pooled["q"] if pooled else None
 
 
 def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, quantile: float) -> DataFrame:
-    ship(docs.sparkSession)
-    own = trusted_rows(docs, labels, id_col)
-    counts = count_grams(own, text_col)
-    scores = materialise(code_lengths(docs, [model_of(counts)], F.lit(0), id_col, text_col, lang_col).withColumn("lang", F.coalesce("lang", F.lit(""))), "scores")
-    if counts.isEmpty():
-        return scores.select("id", "text_key", "symbols", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (F.col("symbols") > 0).alias("kept"))
-    others = [model_of(counts.filter(F.col("fold") != f)) for f in range(FOLDS)]
-    known = materialise(code_lengths(own, others, fold_of(text_col), id_col, text_col, lang_col).withColumn("lang", F.coalesce("lang", F.lit(""))).filter("symbols > 0"), "held_out")
+    spark = docs.sparkSession
+    ship(spark)
+    trusted = trusted_ids(labels)
+    model = train(trusted_texts(docs, trusted, id_col, text_col).filter(~is_held_out(F.xxhash64("text"))))
+    if model is None:
+        text = F.col(text_col).cast("string")
+        none = F.lit(None).cast("double")
+        bare = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("symbols"))
+        return bare.select("*", none.alias("perplexity"), none.alias("threshold"), (F.col("symbols") > 0).alias("kept"))
+    scores = materialise(code_lengths(docs, model, id_col, text_col, lang_col).withColumn("lang", F.coalesce("lang", F.lit(""))), "scores")
+    ids = broadcast_up_to(trusted, BROADCAST_IDS)
+    own = scores.filter((F.col("symbols") > 0) & is_held_out(F.col("text_key")))
+    known = materialise(own.join(ids, own["id"].cast("long") == ids["trusted_id"], "left_semi").select("lang", "symbols", "bits"), "held_out")
     # rounded, so that the order of summing shows nowhere
     mean = known.agg(F.round(F.sum("bits") / F.sum("symbols"), 9).alias("m")).first()["m"]
-    drawn = (F.col("bits") + PRIOR_SYMBOLS * mean) / (F.col("symbols") + PRIOR_SYMBOLS)
-    known = known.withColumn("drawn", drawn)
-
-    def level(of: str) -> Column:
-        return F.percentile_approx(of, quantile, 10000)
-
-    limits = materialise(known.groupBy("lang").agg(level("drawn").alias("own_limit"), F.round(F.avg("drawn"), 9).alias("centre"), F.count(F.lit(1)).alias("n")), "limits")  # a row a language
-    apart = known.join(limits, "lang").filter("n > 1").withColumn("apart", F.round((F.col("drawn") - F.col("centre")) * F.col("n") / (F.col("n") - 1), 9))
-    spread = apart.agg(level("apart").alias("m")).first()["m"]
-    pooled = known.agg(level("drawn").alias("m")).first()["m"]
-    limit = F.when(F.col("n") * (1 - quantile) >= 1, F.col("own_limit")).otherwise(F.col("centre") + F.lit(spread).cast("double"))
-    judged = scores.join(limits, "lang", "left").withColumn("limit", F.coalesce(limit, F.lit(pooled))).withColumn("drawn", drawn)
+    drawn = F.round((F.col("bits") + PRIOR_SYMBOLS * F.lit(mean).cast("double")) / (F.col("symbols") + PRIOR_SYMBOLS), 9)
+    limits, pooled = limits_of(known.select("lang", drawn.alias("drawn")), quantile)
+    judged = scores.join(broadcast_up_to(limits, BROADCAST_LANGS), "lang", "left").withColumn("limit", F.coalesce("limit", F.lit(pooled).cast("double")))
     return judged.select(
         "id",
         "text_key",
         "symbols",
         F.when(F.col("symbols") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("symbols"))).alias("perplexity"),
         F.pow(F.lit(2.0), "limit").alias("threshold"),
-        ((F.col("symbols") > 0) & (F.col("drawn") <= F.col("limit"))).alias("kept"),
+        ((F.col("symbols") > 0) & (F.col("limit").isNull() | (drawn <= F.col("limit")))).alias("kept"),
     )
 
 
