@@ -34,14 +34,13 @@ empty table gives an empty result; further columns pass through keep_good() unch
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.packed import pack, unpack
 from tidegauge.session import broadcast_up_to, materialise, ship
 
 ORDER = 4
@@ -111,40 +110,6 @@ def _symbol(gram, back: int):
     return (gram >> np.uint64(BITS * back)) & np.uint64(SYMBOLS - 1)
 
 
-# --- packed keys -----------------------------------------------------------------------------
-
-
-def planes(values: np.ndarray) -> bytes:
-    """The bytes of integers, first bytes together, then second ones, and so on: they compress better so."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
-
-
-def from_planes(raw: bytes, kind: str) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
-
-
-def pack(arrays: list[np.ndarray]) -> bytes:
-    """Arrays of little-endian numbers as bytes; sorted uint64 keys as their steps."""
-    parts, heads = [], []
-    for x in arrays:
-        x = np.ascontiguousarray(x)
-        steps = x if x.dtype != np.uint64 else np.diff(x, prepend=np.uint64(0))
-        part = zlib.compress(planes(steps), 1)
-        parts.append(part)
-        heads.append(len(part))
-    return np.array(heads, "<u4").tobytes() + b"".join(parts)
-
-
-def unpack(packed: bytes, kinds: list[str]) -> list[np.ndarray]:
-    at, out = 4 * len(kinds), []
-    for kind, size in zip(kinds, np.frombuffer(packed, "<u4", len(kinds)).tolist(), strict=True):
-        own = from_planes(zlib.decompress(packed[at : at + size]), kind)
-        out.append(np.cumsum(own, dtype=np.uint64) if kind == "<u8" else own)
-        at += size
-    return out
-
-
 # --- trusted rows ----------------------------------------------------------------------------
 
 
@@ -488,11 +453,9 @@ def code_lengths(docs: DataFrame, model: Model, id_col: str, text_col: str, lang
 
 
 def quantile_by(values: DataFrame, key: str, value: str, quantile: float) -> DataFrame:
-    """(key, q): the least multiple of 1/BINS that at least this share of the key's values doesn't exceed. A key has as many bins as its values' range."""
-    bins = values.groupBy(key, F.ceil(F.round(F.col(value) * BINS, 6)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    of_key = Window.partitionBy(key)
-    counted = bins.withColumn("upto", F.sum("n").over(of_key.orderBy("bin"))).withColumn("all", F.sum("n").over(of_key))
-    return counted.filter(F.col("upto") >= F.ceil(F.round(F.col("all") * quantile, 6))).groupBy(key).agg((F.min("bin") / BINS).alias("q"))
+    """(key, q): the least multiple of 1/BINS that at least this share of the key's values doesn't exceed. What is merged of a key is as long as its values' range."""
+    bins = values.select(key, F.ceil(F.round(F.col(value) * BINS, 6)).alias("bin"))
+    return bins.groupBy(key).agg((F.expr(f"percentile_disc({quantile}) WITHIN GROUP (ORDER BY bin)") / BINS).alias("q"))
 
 
 def limits_of(known: DataFrame, quantile: float) -> tuple[DataFrame, float | None]:

@@ -23,6 +23,11 @@ Defined results: a null, empty or white text has fingerprint zero and is linked
 like any other; repeated rows each get a row; a null id never names a component
 unless all ids in it are null; an empty table gives an empty result; columns other
 than id and text are not read (keep_one() passes them through).
+
+keep_one() looks at each link again by the exact similarity of the two texts. A large bucket
+returns its nearest links first and of those only what connects, so links to look at grow
+with nodes as well; of links that hold, none is lost unless nearer ones between the same
+groups fail.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.packed import pack, unpack
 from tidegauge.session import broadcast_up_to, materialise, ship
 
 SHINGLE_WORDS = 4
@@ -52,6 +58,12 @@ MOST_PARTS = 32
 #: Keys of rows to drop that go to every executor at most; more meet the rows in a shuffle.
 BROADCAST_KEYS = 2_000_000
 WIDEST_RADIUS = 2
+#: Steps of distance in which a large bucket's links are taken.
+BANDS = 3
+#: Links of a node that are looked at in one task; a node of more is copied to several.
+LINKS_A_TASK = 500
+#: Bits kept of a shingle's hash for exact similarities.
+HASH_BITS = 40
 
 
 def shingle_hashes(text: str | None, words_each: int = SHINGLE_WORDS) -> np.ndarray:
@@ -343,25 +355,53 @@ def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = shorter
 
 
+def spanning(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(label, chosen): which of the links (a[i], b[i]), the first ones first, join components; no others are needed. Each round takes the first link out of each component."""
+    chosen = []
+    left = np.arange(len(a))
+    while True:
+        left = left[label[a[left]] != label[b[left]]]
+        if not len(left):
+            return label, np.concatenate(chosen) if chosen else left
+        first = np.full(len(label), len(a))
+        np.minimum.at(first, label[a[left]], left)
+        np.minimum.at(first, label[b[left]], left)
+        chosen.append(np.unique(first[first < len(a)]))
+        label = merge(label, a[chosen[-1]], b[chosen[-1]])
+
+
 def forest(data: np.ndarray, probes: np.ndarray, data_words: np.ndarray, probe_words: np.ndarray, table: int, distance: int, total: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """(node, least node of its component) over the links between data and probes; least nodes are left out. Words: [node, table]."""
+    """What connects as the links between data and probes do. Words: [node, table].
+
+    Without a total: (node, least node of its component), least nodes left out. With one, links themselves, nearer ones
+    first (by BANDS of distance), as they may be looked at again.
+    """
     nodes = np.unique(np.concatenate([data, probes]))
     label = np.arange(len(nodes))
     d, p = np.searchsorted(nodes, data), np.searchsorted(nodes, probes)
     own = np.ascontiguousarray(data_words[:, table])
     step = max(1, 1_000_000 // max(1, len(data)))
-    for at in range(0, len(probes), step):
-        i, j = np.nonzero(np.bitwise_count(probe_words[at : at + step, table][:, None] ^ own[None, :]) <= distance)
-        i += at
-        new = label[p[i]] != label[d[j]]
-        i, j = i[new], j[new]
-        if total is not None and len(i):
-            near = np.bitwise_count(probe_words[i] ^ data_words[j]).sum(axis=1, dtype=np.int64) <= total
-            i, j = i[near], j[near]
-        if len(i):
-            label = merge(label, p[i], d[j])
-    moved = label != np.arange(len(nodes))
-    return nodes[moved], nodes[label[moved]]
+    taken = []
+    for band in range(1, BANDS + 1 if total is not None else 2):
+        for at in range(0, len(probes), step):
+            i, j = np.nonzero(np.bitwise_count(probe_words[at : at + step, table][:, None] ^ own[None, :]) <= distance)
+            i += at
+            new = label[p[i]] != label[d[j]]
+            i, j = i[new], j[new]
+            if total is None:
+                if len(i):
+                    label = merge(label, p[i], d[j])
+                continue
+            apart = np.bitwise_count(probe_words[i] ^ data_words[j]).sum(axis=1, dtype=np.int64)
+            near = np.flatnonzero(apart <= total * band // BANDS)
+            near = near[np.argsort(apart[near], kind="stable")]
+            label, chosen = spanning(label, p[i[near]], d[j[near]])
+            taken.append(np.stack([p[i[near[chosen]]], d[j[near[chosen]]]]))
+    if total is None:
+        moved = label != np.arange(len(nodes))
+        return nodes[moved], nodes[label[moved]]
+    a, b = np.concatenate(taken, axis=1)
+    return nodes[a], nodes[b]
 
 
 def _links_of(bucket: np.ndarray, block: np.ndarray, role: np.ndarray, node: np.ndarray, fps: np.ndarray, distance: int, total: int | None):
@@ -460,51 +500,121 @@ def components(pairs: DataFrame) -> DataFrame:
     return mapping.withColumnRenamed("to", "root")
 
 
-def radius(similarity: float, bits: int) -> int:
-    """Bits in which texts of this Jaccard similarity (of shingle sets of like size) differ, and a standard deviation more."""
+# --- exact similarity ------------------------------------------------------------------------
+
+
+def shingle_set(text: str | None, words_each: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, words_each) >> np.uint64(64 - HASH_BITS))
+
+
+def _sets(words_each: int):
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                packed = [pack([shingle_set(t, words_each)]) for t in batch.column(1).slice(at, 256).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(packed, pa.binary())], names=["node", "shingles"])
+
+    return run
+
+
+def _similar(similarity: float):
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                (one,), (other,) = unpack(a.as_py(), ["<u8"]), unpack(b.as_py(), ["<u8"])
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(both >= similarity * (len(one) + len(other) - both))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+
+    return run
+
+
+def similar_links(pairs: DataFrame, texts: DataFrame, words_each: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts have at least this Jaccard similarity of their sets of shingles. texts: (node, text) for all nodes of the pairs, one or more alike for each.
+
+    A node of many links is copied, so that no task has them all.
+    """
+    sets = materialise(texts.mapInArrow(_sets(words_each), "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+    met = pairs.select("a", "b")
+    for side, other in (("a", "b"), ("b", "a")):
+        hubs = pairs.groupBy(F.col(side).alias("node")).agg(F.ceil(F.count(F.lit(1)) / LINKS_A_TASK).alias("copies")).filter("copies > 1")
+        hubs = broadcast_up_to(materialise(hubs, "hubs"), BROADCAST_KEYS)
+        copied = sets.join(hubs, "node", "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1)) - 1)))
+        dealt = met.join(hubs.withColumnRenamed("node", side), side, "left").withColumn("copy", F.pmod(F.xxhash64(other), F.coalesce("copies", F.lit(1)))).drop("copies")
+        met = dealt.join(copied.select(F.col("node").alias(side), "copy", F.col("shingles").alias(f"of_{side}")), [side, "copy"]).drop("copy")
+    return met.select("a", "b", "of_a", "of_b").mapInArrow(_similar(similarity), "a long, b long")
+
+
+def bits_apart(similarity: float, bits: int, deviations: float) -> int:
+    """Bits in which texts of this Jaccard similarity (of shingle sets of like size) differ, and so many standard deviations more."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + math.sqrt(bits * share * (1 - share)))
+    return int(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
+
+
+# --- over a table ----------------------------------------------------------------------------
+
+
+def _with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
 
+def _among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows joined with keys (id, text_key, and more), broadcast up to BROADCAST_KEYS of them."""
+    other = broadcast_up_to(keys.withColumnsRenamed({"id": "other_id", "text_key": "other_key"}), BROADCAST_KEYS)
+    return rows.join(other, rows["id"].eqNullSafe(other["other_id"]) & (rows["text_key"] == other["other_key"]), how)
 
-def _named(docs: DataFrame, id_col: str, text_col: str, words_each: int, tables: int, distance: int, total: int | None, parts: int | None) -> tuple[DataFrame, DataFrame]:
-    """The table (id, text_key, words) of all rows, and (words, component_id) of all fingerprints."""
+
+def _nodes(docs: DataFrame, id_col: str, text_col: str, words_each: int, tables: int) -> tuple[DataFrame, DataFrame]:
+    """The table (id, text_key, words) of all rows; and (words, node) of all fingerprints, with the least id, the rows, and the key of one of them."""
     ship(docs.sparkSession)
-    own = words(tables)
     prints = materialise(fingerprint_table(docs, id_col, text_col, words_each, tables), "fingerprints")
-    nodes = materialise(prints.groupBy(*own).agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    roots = materialise(components(links(nodes, tables, distance, total, parts)), "roots")
+    grouped = prints.groupBy(*words(tables)).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows"), F.min(F.struct("id", "text_key")).alias("one"))
+    return prints, materialise(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+
+def _named(prints: DataFrame, nodes: DataFrame, pairs: DataFrame, tables: int) -> DataFrame:
+    """prints with component_id: the least id a row is linked with over any number of the pairs.
+
+    Only fingerprints of several rows or with links have to be looked up, by a broadcast up to BROADCAST_KEYS of them.
+    """
+    own = words(tables)
+    roots = materialise(components(pairs), "roots")
     rooted = roots.join(nodes.select("node", "least"), "node")
     least = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    linked = materialise(roots.join(least, "root").select("node", "component_id"), "linked")
-    named = nodes.join(linked, "node", "left").select(*own, F.coalesce("component_id", "least").alias("component_id"))
-    return prints, materialise(named, "components")
+    linked = roots.join(least, "root").select("node", "component_id", F.lit(True).alias("is_linked"))
+    named = nodes.join(linked, "node", "left").filter("is_linked or rows > 1").select(*own, F.coalesce("component_id", "least").alias("component_id"))
+    named = broadcast_up_to(materialise(named, "components"), BROADCAST_KEYS)
+    return prints.join(named, own, "left").withColumn("component_id", F.coalesce("component_id", "id"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = SHINGLE_WORDS, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits) and component_id, the least id it is linked with over any number of links."""
-    prints, named = _named(docs, id_col, text_col, words_each, 1, distance, None, parts)
-    return prints.join(named, "w0").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id")
+    prints, nodes = _nodes(docs, id_col, text_col, words_each, 1)
+    named = _named(prints, nodes, links(nodes, 1, distance, None, parts), 1)
+    return named.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words_each: int = 5, tables: int = 4, distance: int = 8, parts: int | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words_each: int = 5, tables: int = 4, distance: int = 9, parts: int | None = None) -> DataFrame:
     """docs with one document, that of least id, of each group of near duplicates; all columns as they were.
 
-    Texts are near duplicates from a Jaccard similarity of their shingles on. One table of 64 bits would either miss
-    many or link too much, so there are several independent ones: a pair is found by the pigeonhole search if any table
-    is within `distance`, and linked if all tables together are within radius(similarity).
+    Texts are near duplicates from a Jaccard similarity of their sets of shingles on. One table of 64 bits would miss
+    many, so there are several independent ones: a pair is found by the pigeonhole search if any table is within
+    `distance` and all together are within bits_apart(similarity) of two and a half deviations, and linked if its exact
+    similarity reaches the bound. Equal fingerprints of all tables are one text.
     A row is known by its id and text; of rows equal in both, one stays. Where no row of a group has an id, all stay.
     """
-    own = words(tables)
-    prints, named = _named(docs, id_col, text_col, words_each, tables, distance, radius(similarity, 64 * tables), parts)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"))
-
-    def among(keys: DataFrame, how: str, left: DataFrame) -> DataFrame:
-        other = broadcast_up_to(keys.select(F.col("id").alias("other_id"), F.col("text_key").alias("other_key")), BROADCAST_KEYS)
-        return left.join(other, left["id"].eqNullSafe(other["other_id"]) & (left["text_key"] == other["other_key"]), how)
-
-    gone = materialise(prints.join(named, own).filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "text_key"), "gone")
-    kept = among(gone, "left_anti", rows)
+    prints, nodes = _nodes(docs, id_col, text_col, words_each, tables)
+    pairs = materialise(links(nodes, tables, distance, bits_apart(similarity, 64 * tables, 2.5), parts), "pairs")
+    rows = _with_key(docs, id_col, text_col)
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    keys = materialise(nodes.join(asked, "node").select("one.id", "one.text_key", "node"), "candidates")
+    texts = _among(rows.drop("row"), keys, "inner").select("node", "text")
+    named = _named(prints, nodes, similar_links(pairs, texts, words_each, similarity), tables)
+    gone = materialise(named.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "text_key"), "gone")
+    kept = _among(rows.drop("text"), gone, "left_anti")
     again = materialise(prints.filter("id is not null").groupBy("id", "text_key").count().filter("count > 1").select("id", "text_key"), "again")
     if not again.isEmpty():
-        kept = among(again, "left_anti", kept).union(among(again, "left_semi", kept).dropDuplicates(["id", "text_key"]))
+        kept = _among(kept, again, "left_anti").union(_among(kept, again, "left_semi").dropDuplicates(["id", "text_key"]))
     return kept.select("row.*")
