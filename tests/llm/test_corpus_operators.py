@@ -30,15 +30,16 @@ def copies(seed=1, n=300):
     return [*rows, (None, "null id"), (None, "c"), (3, rows[3][1]), (500, "\xa0"), (501, " \xa0")]
 
 
-@pytest.mark.parametrize("max_cells", [1 << 16, dedup.MAX_CELLS])
-def test_group_members(spark, max_cells):
+@pytest.mark.parametrize("max_cells,groups", [(1 << 16, 0), (dedup.MAX_CELLS, dedup.BROADCAST_GROUPS)])
+def test_group_members(spark, monkeypatch, max_cells, groups):
+    monkeypatch.setattr(dedup, "BROADCAST_GROUPS", groups)
     rows = copies()
     got = dedup.group_members(docs_of(spark, rows), max_cells=max_cells).collect()
-    groups = collections.defaultdict(list)
+    members = collections.defaultdict(list)
     for i, t in rows:
-        groups[hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", " ", t or "").encode()).hexdigest()].append(i)
+        members[hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", " ", t or "").encode()).hexdigest()].append(i)
     expected = collections.Counter()
-    for digest, ids in groups.items():
+    for digest, ids in members.items():
         keep = min((i is None, i or 0) for i in ids)
         first = None if keep[0] else keep[1]
         for k, i in enumerate(sorted(ids, key=lambda i: (i is None, i or 0))):
@@ -47,7 +48,9 @@ def test_group_members(spark, max_cells):
     assert dedup.group_members(docs_of(spark, [])).count() == 0
 
 
-def test_keep_first(spark):
+@pytest.mark.parametrize("groups", [0, dedup.BROADCAST_GROUPS])
+def test_keep_first(spark, monkeypatch, groups):
+    monkeypatch.setattr(dedup, "BROADCAST_GROUPS", groups)
     rows = copies()
     kept = dedup.keep_first(docs_of(spark, rows))
     assert kept.columns == docs_of(spark, rows).columns
@@ -60,10 +63,10 @@ def test_the_filter_passes_no_repeated_digest(spark):
     rng = np.random.default_rng(0)
     digests = [rng.bytes(32) for _ in range(3000)]
     table = spark.createDataFrame([(bytearray(d),) for d in digests + digests[:500]], "digest binary").repartition(5)
-    cells, bits = dedup.repeated_cells(table, 3500)
-    test = dedup.maybe_repeated(table, cells, bits)
-    suspects = {bytes(r.digest) for r in table.filter(test("digest")).collect()}
+    found = dedup.repeated_cells(table, 3500)
+    suspects = {bytes(r.digest) for r in dedup.maybe_repeated(table, *found).collect()}
     assert set(digests[:500]) <= suspects and len(suspects) < 700
+    assert {bytes(r.digest) for r in dedup.maybe_repeated(table, *found, repeated=False).collect()} == set(digests) - suspects
 
 
 # --- near duplicates -------------------------------------------------------------------------

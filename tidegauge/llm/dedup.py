@@ -20,7 +20,6 @@ through keep_first() unchanged and play no part in group_members().
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,44 +113,43 @@ def repeated_cells(digests: DataFrame, rows: int, max_cells: int = MAX_CELLS) ->
     return cells, bits.tobytes()
 
 
-def maybe_repeated(digests: DataFrame, cells: int, bits: bytes):
-    """Pass two: a function of a digest column that is false only if the digest occurs once."""
+def maybe_repeated(digests: DataFrame, cells: int, bits: bytes, repeated: bool = True) -> DataFrame:
+    """Pass two: the rows whose digest may occur twice; or the others, which occur once for certain."""
     shared = digests.sparkSession.sparkContext.broadcast(bits)
 
-    @F.pandas_udf("boolean")
-    def test(digest: pd.Series) -> pd.Series:
+    def run(batches):
         table = np.frombuffer(shared.value, np.uint8)
-        if not len(digest):
-            return pd.Series([], dtype=bool)
-        at = _cells(pa.array(digest, pa.binary()), cells)
-        return pd.Series(((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1))
+        for batch in batches:
+            at = _cells(batch.column("digest"), cells)
+            hit = ((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
+            yield batch.filter(pa.array(hit if repeated else ~hit, pa.bool_()))
 
-    return test
+    return digests.mapInArrow(run, digests.schema)
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, max_cells: int):
-    """The digest table, the Bloom test, and the groups of two or more rows."""
+    """Rows (id, digest, row_key) that occur once, those that may be repeated, and the groups of two or more rows."""
     ship(docs.sparkSession)
     table = materialise(
         docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest")).withColumn("row_key", F.monotonically_increasing_id()),
         "digests",
     )
-    test = maybe_repeated(table, *repeated_cells(table, table.count(), max_cells))
-    suspects = table.filter(test("digest"))
+    found = repeated_cells(table, table.count(), max_cells)
+    suspects = maybe_repeated(table, *found)
     groups = suspects.groupBy("digest").agg(
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row_key"))).alias("first"),
     )
     groups = groups.filter("group_size > 1").select("digest", "group_size", F.col("first.id").alias("keep_id"), F.col("first.row_key").alias("keep_key"))
     # written, so that the join below shuffles both its sides itself and the adaptive planner can split a hot group
-    return table, test, materialise(groups, "groups")
+    return maybe_repeated(table, *found, repeated=False), suspects, materialise(groups, "groups")
 
 
 def group_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_cells: int = MAX_CELLS) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    table, test, groups = _grouped(docs, id_col, text_col, max_cells)
-    alone = table.filter(~test("digest")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
-    joined = table.filter(test("digest")).join(broadcast_up_to(groups, BROADCAST_GROUPS), "digest", "left")
+    single, suspects, groups = _grouped(docs, id_col, text_col, max_cells)
+    alone = single.select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
+    joined = suspects.join(broadcast_up_to(groups, BROADCAST_GROUPS), "digest", "left")
     rest = joined.select(
         "id",
         F.when(F.col("keep_key").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
@@ -163,15 +161,19 @@ def group_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_cells: int = MAX_CELLS) -> DataFrame:
-    """docs without the later copies of any text, all columns as they were."""
-    table, test, groups = _grouped(docs, id_col, text_col, max_cells)
-    tagged = docs.select(F.struct(*docs.columns).alias("row"), text_digest(F.col(text_col)).alias("digest"))
-    alone = tagged.filter(~test("digest"))
-    suspects = tagged.filter(test("digest")).withColumn("id", F.col("row")[id_col])
-    joined = suspects.join(broadcast_up_to(groups, BROADCAST_GROUPS), "digest", "left")
-    kept = joined.filter(F.col("keep_key").isNull() | F.col("id").eqNullSafe(F.col("keep_id")))
-    several = table.filter(test("digest")).join(groups, "digest").filter(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("row_key") != F.col("keep_key")))
-    if not several.isEmpty():  # rows equal in text and smallest id, of which one stays
-        single, first = kept.filter("keep_key is null"), kept.filter("keep_key is not null").dropDuplicates(["digest", "id"])
-        kept = single.unionByName(first)
-    return alone.select("row.*").union(kept.select("row.*"))
+    """docs without the later copies of any text, all columns as they were. Rows to drop are known by id and digest, and broadcast up to BROADCAST_GROUPS of them."""
+    _, suspects, groups = _grouped(docs, id_col, text_col, max_cells)
+    members = materialise(suspects.join(broadcast_up_to(groups, BROADCAST_GROUPS), "digest").select("id", "digest", "row_key", "keep_id", "keep_key"), "members")
+    is_first = F.col("id").eqNullSafe(F.col("keep_id"))
+    gone = materialise(members.filter(~is_first).select("id", "digest").distinct(), "gone")
+    again = materialise(members.filter(is_first & (F.col("row_key") != F.col("keep_key"))).select("id", "digest").distinct(), "again")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest"))
+
+    def among(keys: DataFrame, how: str, left: DataFrame) -> DataFrame:
+        other = broadcast_up_to(keys.withColumnsRenamed({"id": "other_id", "digest": "other_digest"}), BROADCAST_GROUPS)
+        return left.join(other, left["id"].eqNullSafe(other["other_id"]) & (left["digest"] == other["other_digest"]), how)
+
+    kept = among(gone, "left_anti", rows)
+    if not again.isEmpty():  # rows equal in text and smallest id, of which one stays
+        kept = among(again, "left_anti", kept).union(among(again, "left_semi", kept).dropDuplicates(["id", "digest"]))
+    return kept.select("row.*")
