@@ -10,7 +10,7 @@ from tidegauge.functions import vocab
 from tidegauge.operators import derive, events, logic, meta, parse, route, sinks, threshold
 from tidegauge.plans import jobs
 from tidegauge.sources import registry as reg
-from tidegauge.sources.streams import lines_of, logger_file
+from tidegauge.sources.streams import lines_of, logger_file, queued, text_lines
 
 
 @pytest.fixture(scope="module")
@@ -158,3 +158,83 @@ def test_logger_file(spark, tmp_path):
     (tmp_path / "x.dat").write_text('"SBAS","log","c","","","","",""\n"TIMESTAMP","A","B"\n"TS","C","C"\n"","Avg","Avg"\n"2016-01-01 00:00:00",1.5,2\n"2016-01-01 01:00:00",3,"NAN"\n')
     rows = logger_file(spark, str(tmp_path / "x.dat")).collect()
     assert [(r.site, r.sensor, r.value) for r in rows] == [("SBAS", "A", "1.5"), ("SBAS", "B", "2"), ("SBAS", "A", "3"), ("SBAS", "B", "NAN")]
+    (tmp_path / "y.dat").write_text('"NBAS","log"\n"TIMESTAMP","Q"\n"TS","C"\n"","Avg"\n"2016-01-01 00:00:00",7\n')
+    rows = logger_file(spark, str(tmp_path / "*.dat")).filter("site = 'NBAS'").collect()
+    assert [(r.sensor, r.time, r.value) for r in rows] == [("Q", "2016-01-01 00:00:00", "7")]
+
+
+def test_lines_keep_the_order_of_files_and_places(spark, tmp_path):
+    """Of two files the larger one comes last by name, and is read in several splits."""
+    (tmp_path / "a.txt").write_text("a0\n\na1\n")
+    (tmp_path / "b.txt").write_text("".join(f"b{i}\n" for i in range(2000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        rows = sorted(map(tuple, text_lines(spark, str(tmp_path)).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert rows == [(0, "a0"), (2, "a1"), *((3 + i, f"b{i}") for i in range(2000))]
+
+
+def test_queue_numbers_are_unique_and_in_order(spark):
+    messages = spark.createDataFrame([(p, o, b"x") for p in range(3) for o in range(4)], "partition int, offset long, value binary")
+    seqs = [r.seq for r in queued(messages).collect()]
+    assert len(set(seqs)) == 12 and all(sorted(own) == own for own in (seqs[i : i + 4] for i in (0, 4, 8)))
+
+
+def test_consecutive_nulls_by_parts_equal_the_fold(spark, registry):
+    """Random gaps, against the rules one null at a time."""
+    import random
+
+    rng = random.Random(4)
+    t, times = 1372424400000, []
+    for _ in range(400):
+        t += rng.choice([-300_000, 0, 60_000, 240_000, 240_000, 240_000, 350_000, 370_000, 900_000])
+        times.append(t)
+    last, n, alerted, expected = None, 0, False, []
+    for t in times:
+        if last is None:
+            last, n = t, 0
+        elif t - last > 360_000:
+            last, n, alerted = t, 1, False
+        elif not alerted:
+            last, n, alerted = t, n + 1, n + 1 >= 3
+            expected += [t] * alerted
+    outcomes = logic.null_check(observed(spark, registry, [f"SBAS,PRT1,{t},NotAValue" for t in times]))
+    for chunk in (7, 1_000_000):
+        assert sorted(r.start_ms for r in events.null_consecutive(outcomes, registry.series_meta, registry.null_limit, chunk=chunk).collect()) == sorted(expected)
+
+
+def test_intervals_that_overlap_fail_an_outcome_once(spark):
+    day = 86_400_000
+    key = ("f", "p", "o")
+    outcomes = spark.createDataFrame([(i, *key, t, "q", vocab.PASS) for i, t in enumerate([0, 5, 10, 11, day - 1, day, day + 7, 3 * day])], "seq long, feature string, procedure string, observableproperty string, t_ms long, qualifier string, qualitative string")
+    intervals = spark.createDataFrame([(*key, a, b, "q") for a, b in [(5, 10), (6, 8), (7, 9), (5, 5), (day - 1, day + 7), (9, 10)]] + [(*key, 0, 4 * day, "other")], "feature string, procedure string, observableproperty string, start_ms long, end_ms long, qualifier string")
+    got = meta.apply_intervals(outcomes, intervals)
+    assert got.columns == outcomes.columns and sorted((r.seq, r.qualitative == vocab.FAIL) for r in got.collect()) == [(0, False), (1, True), (2, True), (3, False), (4, True), (5, True), (6, True), (7, False)]
+
+
+def test_chunks_of_running_sums_change_nothing(spark):
+    from tidegauge.operators import analysis
+
+    rows = [(i, "f", "p", "o", i * 1000, float((i * 37) % 23)) for i in range(200)]
+    obs = spark.createDataFrame(rows, "seq long, feature string, procedure string, observableproperty string, t_ms long, value double")
+    for f in (analysis.teda_2016, analysis.teda_2014):
+        whole, cut = ({r.seq: (r.k, r.eccentricity) for r in f(obs, chunk_ms=c).collect()} for c in (10**9, 7000))
+        assert all(whole[i][0] == cut[i][0] == i + 1 and (whole[i][1] is None) == (cut[i][1] is None) == (i == 0) and (i == 0 or whole[i][1] == pytest.approx(cut[i][1], rel=1e-9)) for i in whole)
+
+
+def test_a_prepared_registry_moves_no_observations(spark, registry):
+    own = reg.prepared(registry)
+    obs = observed(spark, own, fx.RANGE)
+    plan = threshold.range_check(obs, own.qc_test, own.qc_bound)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_text_of_observations_and_events(spark, registry):
+    rows = [r.line for r in parse.observation_text(observed(spark, registry, ["SBAS,PRT1,1471219200000,22.45,a=1::b=2", "SBAS,PRT1,1471219200000,NotAValue"])).collect()]
+    assert rows == ["southbasin::prtone::temperature::2016::8::1471219200000::1471219200000::22.45::0::0.0::Raw::SemanticStamp::NA::::NA::a -> 1,b -> 2", "southbasin::prtone::temperature::2016::8::1471219200000::1471219200000::NotAValue::0::0.0::Raw::SemanticStamp::NA::::NA::NA"]
+    found = events.order_events(logic.order_check(observed(spark, registry, fx.ORDER)))
+    assert all(r.line.split(",")[3:] == [vocab.EVENT_ORDER, str(t), str(t)] for r in parse.event_text(found).collect() for t in [r.line.split(",")[4]])

@@ -21,12 +21,12 @@ def _by_time() -> Window:
 # --- bounds ----------------------------------------------------------------------------------
 
 
-def series_statistics(obs: DataFrame, digits: int = 2) -> DataFrame:
+def series_statistics(obs: DataFrame, digits: int = 0) -> DataFrame:
     return obs.filter("value is not null").groupBy(*SERIES).agg(F.round(F.avg("value"), digits).alias("mean"), F.round(F.stddev_samp("value"), digits).alias("sd"))
 
 
-def bounds_from_data(obs: DataFrame, test: str = "static", digits: int = 2) -> DataFrame:
-    """Rows like those of the registry's bounds: range, step, spike and sigma, from mean and standard deviation."""
+def bounds_from_data(obs: DataFrame, test: str = "static", digits: int = 0) -> DataFrame:
+    """Rows like those of the registry's bounds: range, step, spike and sigma, from mean and standard deviation, which are rounded first."""
     m, s = F.col("mean"), F.col("sd")
 
     def rows(check: str, window: str, low: Column, high: Column) -> list[Column]:
@@ -39,6 +39,11 @@ def bounds_from_data(obs: DataFrame, test: str = "static", digits: int = 2) -> D
     return out.select(F.lit("obs").alias("scope"), *SERIES, "o.check", "o.window", F.lit(test).alias("test"), "o.bound", F.lit("").alias("time_key"), "o.threshold")
 
 
+def sensors(obs: DataFrame) -> DataFrame:
+    """The sensors of each site that have observations."""
+    return obs.select("feature", "procedure").distinct()
+
+
 # --- rolling ---------------------------------------------------------------------------------
 
 
@@ -69,12 +74,15 @@ def step_at(obs: DataFrame, distance: int) -> DataFrame:
 def weighted_forecast(history: DataFrame, targets: DataFrame, hours: int = 2, days: int = 7, year_width: float = 1.0, day_width: float = 3.0, hour_width: float = 1.0) -> DataFrame:
     """The mean of a series' values near the same hour and day of year (both wrap around), weighted by exp(-(distance / width)^2) of year, day and hour.
 
-    Near means in reach of hours and days, so a target meets the history of its slots only: both sides meet in an
-    equi-join on series, day and hour, for which each target asks every day and hour in reach.
+    Weights depend on year, day and hour alone, so the history is summed by these slots before anything meets, and of
+    the targets only the distinct slots ask: both sides meet in an equi-join on series, day and hour, for which each slot
+    asks every day and hour in reach.
     """
-    own = clean(history).select(*SERIES, F.col("year").alias("h_year"), (F.col("day") - 1).alias("d"), F.col("hour").alias("h"), "value")
+    own = clean(history).groupBy(*SERIES, F.col("year").alias("h_year"), (F.col("day") - 1).alias("d"), F.col("hour").alias("h")).agg(F.sum("value").alias("sum"), F.count("value").alias("n"))
     at = utc(F.col("t_ms"))
-    asked = targets.select(*SERIES, "t_ms", F.year(at).alias("year"), (F.dayofyear(at) - 1).alias("day"), F.hour(at).alias("hour")).distinct()
+    slot = ["year", "day", "hour"]
+    wanted = targets.select(*SERIES, "t_ms", F.year(at).alias("year"), (F.dayofyear(at) - 1).alias("day"), F.hour(at).alias("hour")).distinct()
+    asked = wanted.select(*SERIES, *slot).distinct()
     asked = asked.withColumn("dd", F.explode(F.sequence(F.lit(-days), F.lit(days)))).withColumn("dh", F.explode(F.sequence(F.lit(-hours), F.lit(hours))))
     asked = asked.withColumns({"d": F.pmod(F.col("day") + F.col("dd"), F.lit(366)).cast("int"), "h": F.pmod(F.col("hour") + F.col("dh"), F.lit(24)).cast("int")})
     near = asked.join(own, [*SERIES, "d", "h"])
@@ -83,48 +91,77 @@ def weighted_forecast(history: DataFrame, targets: DataFrame, hours: int = 2, da
         return F.exp(-F.pow(distance / width, F.lit(2.0)))
 
     w = weight(F.col("year") - F.col("h_year"), year_width) * weight(F.col("dd"), day_width) * weight(F.col("dh"), hour_width)
-    return near.withColumn("w", w).groupBy(*SERIES, "t_ms").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("forecast"), F.count(F.lit(1)).alias("neighbours"))
+    summed = near.withColumn("w", w).groupBy(*SERIES, *slot).agg((F.sum(F.col("w") * F.col("sum")) / F.sum(F.col("w") * F.col("n"))).alias("forecast"), F.sum("n").alias("neighbours"))
+    return wanted.join(summed, [*SERIES, *slot]).select(*SERIES, "t_ms", "forecast", "neighbours")
 
 
 # --- eccentricity ----------------------------------------------------------------------------
 
 
+#: Milliseconds of a series that one window adds up; values between which one window ranks.
+CHUNK_MS = 30 * 24 * HOUR
+SPLITS = 64
+
+
+def so_far(rows: DataFrame, sums: dict[str, Column], chunk: Column, order: list[str]) -> DataFrame:
+    """Adds running sums, the row's own included, of the series in an order that chunks follow.
+
+    Each chunk is a window of its own, and the totals of the chunks before make up for the rest: no series is one task's work.
+    """
+    own = rows.withColumns({"chunk": chunk} | {f"one_{n}": c for n, c in sums.items()})
+    within = Window.partitionBy(*SERIES, "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*SERIES).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = own.groupBy(*SERIES, "chunk").agg(*(F.sum(f"one_{n}").alias(f"all_{n}") for n in sums))
+    offsets = totals.select(*SERIES, "chunk", *(F.coalesce(F.sum(f"all_{n}").over(before), F.lit(0)).alias(f"upto_{n}") for n in sums))
+    joined = own.withColumns({n: F.sum(f"one_{n}").over(within) for n in sums}).join(offsets, [*SERIES, "chunk"])
+    return joined.withColumns({n: F.col(n) + F.col(f"upto_{n}") for n in sums}).drop("chunk", *(f"one_{n}" for n in sums), *(f"upto_{n}" for n in sums))
+
+
 def teda_batch(obs: DataFrame) -> DataFrame:
     """Of each value among all of its series: eccentricity 2 * sum |x - y| / sum of all such sums, typicality, their normal forms, and the threshold 1 / k.
 
-    Sums of distances come from sorted prefix sums, so no pair is formed.
+    Sums of distances come from sorted prefix sums, so no pair is formed; approximate quantiles of a series cut it for
+    these, and have no part in the result.
     """
-    by_value = Window.partitionBy(*SERIES).orderBy("value", "t_ms", "seq")
-    every = Window.partitionBy(*SERIES)
     rows = obs.filter("value is not null")
-    ranked = rows.withColumns({"i": F.row_number().over(by_value), "below": F.sum("value").over(by_value.rowsBetween(Window.unboundedPreceding, 0)), "k": F.count("value").over(every), "all": F.sum("value").over(every)})
+    series = rows.groupBy(*SERIES).agg(F.count("value").alias("k"), F.sum("value").alias("all"), F.percentile_approx("value", [i / SPLITS for i in range(1, SPLITS)], 1000).alias("cuts"))
+    placed = rows.join(series, SERIES)
+    chunk = F.size(F.filter("cuts", lambda c: c < F.col("value")))
+    ranked = so_far(placed, {"i": F.lit(1), "below": F.col("value")}, chunk, ["value", "t_ms", "seq"]).drop("cuts")
     x, i, k = F.col("value"), F.col("i"), F.col("k")
-    distance = (2 * i - k) * x + F.col("all") - 2 * F.col("below")
-    summed = ranked.withColumn("distance", distance).withColumn("total", F.sum("distance").over(every))
+    summed = ranked.withColumn("distance", (2 * i - k) * x + F.col("all") - 2 * F.col("below"))
+    totals = summed.groupBy(*SERIES).agg(F.sum("distance").alias("total"))
+    summed = summed.join(totals, SERIES)
     ecc = F.when((k > 1) & (F.col("total") > 0), 2 * F.col("distance") / F.nullif("total", F.lit(0.0)))
     return summed.select("seq", *SERIES, "t_ms", "value", ecc.alias("eccentricity"), (1 - ecc).alias("typicality"), (ecc / 2).alias("norm_eccentricity"), F.when(k > 2, (1 - ecc) / F.nullif(k - 2, F.lit(0))).alias("norm_typicality"), (F.lit(1.0) / k).alias("threshold"))
 
 
-def _so_far() -> Window:
-    return _by_time().rowsBetween(Window.unboundedPreceding, 0)
+def _moments(rows: DataFrame, value: str, chunk_ms: int) -> DataFrame:
+    """Adds k, mu and var: number, mean and variance of the values so far, by time; summed as distances from the mean of the series, which loses no digits."""
+    centre = rows.groupBy(*SERIES).agg(F.avg(value).alias("centre"))
+    own = rows.join(centre, SERIES).withColumn("off", F.col(value) - F.col("centre"))
+    summed = so_far(own, {"k": F.lit(1).cast("long"), "s": F.col("off"), "ss": F.col("off") * F.col("off")}, F.floor(F.col("t_ms") / chunk_ms), ["t_ms", "seq"])
+    off_mu = F.col("s") / F.col("k")
+    return summed.withColumns({"mu": F.col("centre") + off_mu, "var": F.greatest(F.lit(0.0), F.col("ss") / F.col("k") - off_mu * off_mu)}).drop("centre", "off", "s", "ss")
 
 
-def teda_2016(obs: DataFrame, value: str = "value", m: float = 2.0) -> DataFrame:
+def teda_2016(obs: DataFrame, value: str = "value", m: float = 2.0, chunk_ms: int = CHUNK_MS) -> DataFrame:
     """Recursive eccentricity 1/k + (mean - x)^2 / (k * variance) over the values so far, in closed form; null for the first and where all are equal. outlier: half of it is over (m^2 + 1) / (2k)."""
-    rows = obs.filter(F.col(value).isNotNull())
-    seen = rows.withColumns({"k": F.count(value).over(_so_far()), "mu": F.avg(value).over(_so_far()), "var": F.var_pop(value).over(_so_far())})
+    seen = _moments(obs.filter(F.col(value).isNotNull()), value, chunk_ms=chunk_ms)
     k = F.col("k")
-    ecc = F.when((k > 1) & (F.col("var") > 0), 1.0 / k + F.pow(F.col("mu") - F.col(value), F.lit(2.0)) / F.nullif(k * F.col("var"), F.lit(0.0)))
+    ecc = F.when((k > 1) & (F.col("var") > TINY), 1.0 / k + F.pow(F.col("mu") - F.col(value), F.lit(2.0)) / F.nullif(k * F.col("var"), F.lit(0.0)))
     return seen.select("seq", *SERIES, "t_ms", F.col(value).alias("value"), k, ecc.alias("eccentricity"), (ecc / 2 > (m * m + 1) / (2 * k)).alias("outlier"))
 
 
-def teda_2014(obs: DataFrame) -> DataFrame:
-    """Recursive eccentricity by accumulated proximity: pi = (x - mu)^2 + X - mu^2, 2 * pi / sum of pi so far; null for the first."""
-    rows = obs.filter("value is not null")
-    seen = rows.withColumns({"k": F.count("value").over(_so_far()), "mu": F.avg("value").over(_so_far()), "sq": F.avg(F.col("value") * F.col("value")).over(_so_far())})
-    near = F.pow(F.col("value") - F.col("mu"), F.lit(2.0)) + F.col("sq") - F.col("mu") * F.col("mu")
-    summed = seen.withColumn("pi", near).withColumn("sum_pi", F.sum("pi").over(_so_far()))
-    ecc = F.when((F.col("k") > 1) & (F.col("sum_pi") > 0), 2 * F.col("pi") / F.nullif("sum_pi", F.lit(0.0)))
+#: A variance of so little is that of equal values, but for rounding.
+TINY = 1e-12
+
+
+def teda_2014(obs: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
+    """Recursive eccentricity by accumulated proximity: pi = (x - mu)^2 + X - mu^2 = (x - mu)^2 + variance, 2 * pi / sum of pi so far; null for the first."""
+    seen = _moments(obs.filter("value is not null"), "value", chunk_ms=chunk_ms).withColumn("pi", F.pow(F.col("value") - F.col("mu"), F.lit(2.0)) + F.col("var"))
+    summed = so_far(seen, {"sum_pi": F.col("pi")}, F.floor(F.col("t_ms") / chunk_ms), ["t_ms", "seq"])
+    ecc = F.when((F.col("k") > 1) & (F.col("sum_pi") > TINY), 2 * F.col("pi") / F.nullif("sum_pi", F.lit(0.0)))
     return summed.select("seq", *SERIES, "t_ms", "value", "k", ecc.alias("eccentricity"))
 
 

@@ -24,7 +24,23 @@ def _at_slope(points: Column, slope: float) -> Column:
     return a["z"] + (b["z"] - a["z"]) * (slope - a["g"]) / (b["g"] - a["g"])
 
 
+def layers(obs: DataFrame, series_meta: DataFrame) -> DataFrame:
+    """Values with the depth of their series."""
+    depths = series_meta.filter("depth is not null").select(*SERIES, "depth")
+    return obs.filter("value is not null").join(depths, SERIES)
+
+
+def profiles(rows: DataFrame, *instant: str | Column) -> DataFrame:
+    """Of layers, all values of a feature at an instant in order of depth. instant: what tells instants apart, t_ms among it."""
+    points = F.struct(F.col("depth").cast("double").alias("z"), F.col("value").alias("t"))
+    return rows.groupBy("feature", *instant).agg(F.array_sort(F.collect_list(points)).alias("p")).filter(F.size("p") >= 2)
+
+
 def lake_products(obs: DataFrame, series_meta: DataFrame, slope: float = META_SLOPE) -> DataFrame:
+    return products_of(profiles(layers(obs, series_meta), "t_ms"), slope)
+
+
+def products_of(profile: DataFrame, slope: float = META_SLOPE) -> DataFrame:
     """(feature, product, t_ms, value) for each profile of a feature at an instant.
 
     BUOYFREQ: squared buoyancy frequency of the steepest interval. THERMODEPTH: the middle of that interval.
@@ -34,9 +50,6 @@ def lake_products(obs: DataFrame, series_meta: DataFrame, slope: float = META_SL
     under it, the first middle (the last depth). CENTREBUOY isn't here: what is published of it doesn't determine its
     values.
     """
-    depths = series_meta.filter("depth is not null").select(*SERIES, "depth")
-    layers = obs.filter("value is not null").join(depths, SERIES)
-    profile = layers.groupBy("feature", "t_ms").agg(F.array_sort(F.collect_list(F.struct(F.col("depth").cast("double").alias("z"), F.col("value").alias("t")))).alias("p")).filter(F.size("p") >= 2)
     dense = profile.select("feature", "t_ms", F.transform("p", lambda x: F.struct(x["z"].alias("z"), water_density(x["t"]).alias("rho"))).alias("p"))
     interval = F.zip_with(
         F.slice("p", 1, F.size("p") - 1),

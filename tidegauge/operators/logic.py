@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,27 +17,27 @@ def verdict(passes: Column) -> Column:
     return F.when(passes, vocab.PASS).otherwise(vocab.FAIL)
 
 
-def null_check(obs: DataFrame) -> DataFrame:
-    """One outcome an observation: has it a value of its kind?"""
+def null_check(obs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One outcome an observation: has it a value of its kind? keep: further columns that stay."""
     has = F.when(F.col("obs_type") == "category", F.col("category_value").isNotNull()).otherwise(F.col("value").isNotNull())
-    return obs.select(*KEEP, F.lit(vocab.NULL_CHECK).alias("qualifier"), verdict(has).alias("qualitative"))
+    return obs.select(*KEEP, *keep, F.lit(vocab.NULL_CHECK).alias("qualifier"), verdict(has).alias("qualitative"))
 
 
-def _latest_before(obs: DataFrame, chunk: int) -> DataFrame:
-    """Adds `latest`, the latest time that arrived earlier in the series.
+def running_max(rows: DataFrame, what: str, name: str, chunk: int = 1_000_000) -> DataFrame:
+    """Adds `name`, the greatest `what` among the rows of the series that arrived earlier, by seq and arrival; null if there is none.
 
-    Time never goes back in that, so it is a running maximum in order of arrival. A series is cut into chunks of arrival
-    numbers, each a window of its own, and the maxima of whole chunks make up for the rest: no series is one task's work.
+    A series is cut into chunks of arrival numbers, each a window of its own, and the maxima of whole chunks make up for
+    the rest: no series is one task's work.
     """
     by_arrival = Window.partitionBy(*SERIES, "chunk").orderBy("seq", "arrival").rowsBetween(Window.unboundedPreceding, -1)
-    own = obs.withColumn("chunk", F.floor(F.col("seq") / chunk))
-    ends = own.groupBy(*SERIES, "chunk").agg(F.max("t_ms").alias("end"))
+    own = rows.withColumn("chunk", F.floor(F.col("seq") / chunk))
+    ends = own.groupBy(*SERIES, "chunk").agg(F.max(what).alias("end"))
     before = ends.select(*SERIES, "chunk", F.max("end").over(Window.partitionBy(*SERIES).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
-    return own.withColumn("here", F.max("t_ms").over(by_arrival)).join(before, [*SERIES, "chunk"]).withColumn("latest", F.greatest("here", "before")).drop("chunk", "here", "before")
+    return own.withColumn("here", F.max(what).over(by_arrival)).join(before, [*SERIES, "chunk"]).withColumn(name, F.greatest("here", "before")).drop("chunk", "here", "before")
 
 
 def _with_latest(obs: DataFrame, tie: str | None, chunk: int) -> DataFrame:
-    return _latest_before(obs.withColumn("arrival", F.col(tie) if tie else F.col("t_ms")), chunk)
+    return running_max(obs.withColumn("arrival", F.col(tie) if tie else F.col("t_ms")), "t_ms", "latest", chunk)
 
 
 def order_outcomes(seen: DataFrame) -> DataFrame:
@@ -73,7 +75,7 @@ def default_identity(obs: DataFrame, meta_check: DataFrame) -> DataFrame:
 def default_value(obs: DataFrame, meta_check: DataFrame, qc_test: DataFrame) -> DataFrame:
     """A pass for both bounds of each test of each kind of metadata value of the feature."""
     tests = qc_test.filter("scope = 'meta' and check = 'range'").select("feature", F.col("observableproperty").alias("name"), "test")
-    tests = meta_check.filter("kind = 'value'").select("feature", "name").join(tests, ["feature", "name"])
-    tests = tests.select("feature", "name", "test", F.explode(F.array(F.lit("min"), F.lit("max"))).alias("bound"))
+    kinds = meta_check.filter("kind = 'value'").select("feature", "name")
+    rows = obs.join(kinds, "feature").join(tests, ["feature", "name"]).withColumn("bound", F.explode(F.array(F.lit("min"), F.lit("max"))))
     qualifier = F.concat(F.lit(vocab.META_VALUE), "name", F.lit("/"), "test", F.lit("/"), "bound")
-    return obs.join(tests, "feature").select(*KEEP, qualifier.alias("qualifier"), F.lit(vocab.PASS).alias("qualitative"), F.lit(0.0).alias("quantitative"))
+    return rows.select(*KEEP, qualifier.alias("qualifier"), F.lit(vocab.PASS).alias("qualitative"), F.lit(0.0).alias("quantitative"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions import vocab
@@ -35,16 +35,21 @@ def value_outcomes(records: DataFrame, meta_affected: DataFrame, qc_test: DataFr
     return failed.select("seq", *series, "start_ms", "end_ms", "qualifier", "qualitative", "quantitative")
 
 
+DAY = 86_400_000
+
+
 def apply_intervals(outcomes: DataFrame, intervals: DataFrame) -> DataFrame:
     """Stored outcomes, failed where an interval outcome of the same series and qualifier covers their time.
 
-    A range join: intervals are dealt to the days they touch, so it is an equi-join on series, qualifier and day.
+    Intervals are cut at midnight and united where they overlap, so each outcome meets one at most in a single left join
+    on series, qualifier and day.
     """
-    day = 86_400_000
-    days = intervals.select(*SERIES, "qualifier", "start_ms", "end_ms", F.explode(F.sequence(F.floor(F.col("start_ms") / day), F.floor(F.col("end_ms") / day))).alias("day"))
-    rows = outcomes.withColumn("day", F.floor(F.col("t_ms") / day))
-    condition = [rows[c] == days[c] for c in [*SERIES, "qualifier", "day"]]
-    covered = rows["t_ms"].between(days["start_ms"], days["end_ms"])
-    hit = rows.join(days, [*condition, covered], "left_semi").withColumn("qualitative", F.lit(vocab.FAIL))
-    missed = rows.join(days, [*condition, covered], "left_anti")
-    return hit.unionByName(missed).drop("day")
+    own = intervals.select(*SERIES, "qualifier", "start_ms", "end_ms", F.explode(F.sequence(F.floor(F.col("start_ms") / DAY), F.floor(F.col("end_ms") / DAY))).alias("day"))
+    cut = own.select(*SERIES, "qualifier", "day", F.greatest("start_ms", F.col("day") * DAY).alias("start_ms"), F.least("end_ms", F.col("day") * DAY + DAY - 1).alias("end_ms"))
+    in_order = Window.partitionBy(*SERIES, "qualifier", "day").orderBy("start_ms", "end_ms")
+    apart = cut.withColumn("new", F.coalesce(F.col("start_ms") > F.max("end_ms").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).cast("int"))
+    united = apart.withColumn("part", F.sum("new").over(in_order)).groupBy(*SERIES, "qualifier", "day", "part").agg(F.min("start_ms").alias("from_ms"), F.max("end_ms").alias("to_ms"))
+    rows = outcomes.withColumn("day", F.floor(F.col("t_ms") / DAY))
+    same = [rows[c].eqNullSafe(united[c]) for c in [*SERIES, "qualifier", "day"]]
+    met = rows.join(united.withColumn("covers", F.lit(True)), [*same, rows["t_ms"].between(united["from_ms"], united["to_ms"])], "left")
+    return met.select(*(F.when(F.col("covers"), vocab.FAIL).otherwise(rows[c]).alias(c) if c == "qualitative" else rows[c] for c in outcomes.columns))

@@ -120,6 +120,21 @@ def outcome_text(outcomes: DataFrame) -> DataFrame:
     return outcomes.select(F.concat_ws("::", *(F.col(c).cast("string") for c in OUTCOME_FIELDS if c in outcomes.columns)).alias("line"))
 
 
+def observation_text(obs: DataFrame) -> DataFrame:
+    """Observations as one text column, fields joined by `::`; what is missing reads NA, a missing value as the mark for it."""
+    value = F.when(F.col("obs_type") == "category", F.col("category_value")).otherwise(F.col("value").cast("string"))
+    pairs = F.concat_ws(",", F.transform(F.map_entries("parameters"), lambda x: F.concat(x["key"], F.lit(" -> "), x["value"])))
+    or_na = lambda c: F.coalesce(F.col(c), F.lit("NA"))
+    texts = ["feature", "procedure", "observableproperty", F.col("year").cast("string"), F.col("month").cast("string"), F.col("t_ms").cast("string"), F.col("t_end_ms").cast("string"), F.coalesce(value, F.lit(NOT_A_VALUE))]
+    texts += [F.col("quality").cast("string"), F.col("accuracy").cast("string"), "status", "processing", or_na("uncertml"), F.coalesce("comment", F.lit("")), or_na("location"), F.when(F.col("parameters").isNull(), "NA").otherwise(pairs)]
+    return obs.select("seq", F.concat_ws("::", *texts).alias("line"))
+
+
+def event_text(found: DataFrame) -> DataFrame:
+    """Events as one text column, fields joined by commas."""
+    return found.select(F.concat_ws(",", "feature", "procedure", "observableproperty", "event", F.col("start_ms").cast("string"), F.col("end_ms").cast("string")).alias("line"))
+
+
 def parse_outcomes(lines: DataFrame) -> DataFrame:
     """The reverse; quantitative is null for eight fields."""
     p = F.split("line", "::")

@@ -7,6 +7,7 @@ from the fifth have no value; every eleventh event arrives 40 places late.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from tidegauge.functions import vocab
 from tidegauge.functions.vocab import SERIES
 from tidegauge.operators import analysis, derive, events, logic, meta, parse, route, sinks, threshold
-from tidegauge.sources.registry import SCHEMAS, WINDOWS, Registry
+from tidegauge.sources.registry import SCHEMAS, WINDOWS, Registry, from_entries, prepared, read_protocol
+from tidegauge.session import materialise, scratch_folder
 
 TYPES = {"click": (0.78, 154.20), "error": (0.73, 142.00), "purchase": (0.51, 133.68), "signup": (0.66, 148.33), "view": (0.37, 143.56)}
 SITES = [f"site{i}" for i in range(10)]
@@ -35,7 +37,7 @@ TESTS = [
 ]
 CHECKS = ["maintenance", "cleaning"]
 KINDS = ["battery", "wifi"]
-#: Metadata records: every 500th event is one of its site, an hour long.
+#: Tests of metadata records.
 META_TESTS = [("battery", "static", "single", "", 10.0, 80.0), ("battery", "daily", "day", "2024-01-03", 20.0, 60.0), ("wifi", "static", "single", "", 5.0, 120.0)]
 
 
@@ -70,8 +72,50 @@ def registry_rows() -> dict[str, list[tuple]]:
 ROWS = registry_rows()
 
 
+def registry_entries() -> list[tuple[str, str]]:
+    """ROWS as the keys and values of a registry's text."""
+    joined: dict[str, list[str]] = {}
+    single: dict[str, str] = {}
+
+    def add(key: str, item: str) -> None:
+        if item not in joined.setdefault(key, []):
+            joined[key].append(item)
+
+    for site, sensor, *ids in ROWS["sensor_map"]:
+        single |= {f"{site}::{sensor}::{n}": x for n, x in zip(("feature", "procedure", "observableproperty", "observationtype"), ids, strict=True)}
+    for f, p, o, spacing, _ in ROWS["series_meta"]:
+        single[f"{f}::{p}::{o}::intendedspacing"] = str(spacing)
+    for f, p, o, *hop in ROWS["route"]:
+        add(f"{f}::{p}::{o}::routing", ",".join(hop))
+    for site, kind, name in ROWS["meta_check"]:
+        add(f"{site}::meta::{kind}", name)
+    for site, kind, name, *series in ROWS["meta_affected"]:
+        add(f"{site}::meta::{kind}::{name}", ",".join(series))
+
+    def base(scope: str, f: str, p: str, o: str, check: str) -> str:
+        head = f"{f}::meta::value::{o}" if scope == "meta" else f"{f}::{p}::{o}"
+        return f"{head}::thresholds::{'delta::' if check in ('step', 'spike') else ''}{check}"
+
+    for *series, window, test, _, resolution in ROWS["qc_test"]:
+        add(base(*series), test)
+        single["::".join(x for x in (base(*series), window, test) if x)] = resolution
+    for *series, window, test, bound, key, limit in ROWS["qc_bound"]:
+        single["::".join(x for x in (base(*series), window, test, bound, key) if x)] = repr(limit)
+    for f, p, o, kind, window, n in ROWS["null_limit"]:
+        single["::".join(x for x in (f"{f}::{p}::{o}::thresholds::null::{kind}", window) if x)] = str(n)
+    return [*single.items(), *((k, "::".join(v)) for k, v in joined.items())]
+
+
+_registries: dict[str, Registry] = {}
+
+
 def registry(spark: SparkSession) -> Registry:
-    return Registry(**{name: spark.createDataFrame(rows, SCHEMAS[name]) for name, rows in ROWS.items()})
+    """Read from its entries and written once for each application."""
+    app = spark.sparkContext.applicationId
+    if app not in _registries:
+        entries = materialise(spark.createDataFrame(registry_entries(), "key string, value string").coalesce(1), "entries")
+        _registries[app] = prepared(from_entries(entries))
+    return _registries[app]
 
 
 def _sql_value(x: object) -> str:
@@ -373,21 +417,26 @@ def delta_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- metadata --------------------------------------------------------------------------------
 
 
+#: How long a metadata record holds.
+HOLDS = 600_000
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir).filter("event_id % 50 = 0")
+    """Every event is a record of its site as well."""
+    e = _events(spark, sf_dir)
     site = F.concat(F.lit("site"), (F.col("user_id") % 10).cast("string"))
-    kind = F.when(F.col("event_id") % 100 == 0, "battery").otherwise("wifi")
-    return e.select(F.col("event_id").alias("seq"), site.alias("feature"), kind.alias("data_type"), F.col("t_ms").alias("start_ms"), (F.col("t_ms") + 3 * 3_600_000).alias("end_ms"), "value")
+    kind = F.when(F.col("event_id") % 2 == 0, "battery").otherwise("wifi")
+    return e.select(F.col("event_id").alias("seq"), site.alias("feature"), kind.alias("data_type"), F.col("t_ms").alias("start_ms"), (F.col("t_ms") + HOLDS).alias("end_ms"), "value")
 
 
-RECORDS_SQL = """records AS (SELECT event_id AS seq, 'site' || CAST(user_id % 10 AS VARCHAR) AS feature, CASE WHEN event_id % 100 = 0 THEN 'battery' ELSE 'wifi' END AS data_type,
-    t_ms AS start_ms, t_ms + 10800000 AS end_ms, value FROM raw_events WHERE event_id % 50 = 0)"""
+RECORDS_SQL = f"""records AS (SELECT event_id AS seq, 'site' || CAST(user_id % 10 AS VARCHAR) AS feature, CASE WHEN event_id % 2 = 0 THEN 'battery' ELSE 'wifi' END AS data_type,
+    t_ms AS start_ms, t_ms + {HOLDS} AS end_ms, value FROM raw_events)"""
 IDENTITY_SQL = f"""identities AS (SELECT r.seq, a_feature AS feature, a_procedure AS procedure, a_observableproperty AS observableproperty, start_ms, end_ms, '{vocab.META_IDENTITY}' || name AS qualifier, '{vocab.FAIL}' AS qualitative
-    FROM records r JOIN meta_affected m ON m.feature = r.feature AND m.kind = 'identity')"""
+    FROM records r JOIN meta_affected m ON m.feature = r.feature AND m.kind = 'identity' AND m.name = CASE WHEN r.data_type = 'battery' THEN 'maintenance' ELSE 'cleaning' END)"""
 
 
 def _identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return meta.identity_outcomes(records(spark, sf_dir).withColumn("data_type", F.lit("maintenance")), registry(spark).meta_affected)
+    return meta.identity_outcomes(records(spark, sf_dir).withColumn("data_type", F.when(F.col("data_type") == "battery", "maintenance").otherwise("cleaning")), registry(spark).meta_affected)
 
 
 @query("meta_identity", _with("SELECT * FROM identities", "meta_affected", more=f"{RECORDS_SQL}, {IDENTITY_SQL}"))
@@ -464,9 +513,7 @@ fold AS (
 @query("consecutive_nulls", _with(f"SELECT {KEY}, '{vocab.EVENT_NULL_CONSECUTIVE}' AS event, t_ms AS start_ms, t_ms AS end_ms FROM fold WHERE fired", more=FOLD_SQL).replace("WITH ", "WITH RECURSIVE ", 1))
 def consecutive_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = registry(spark)
-    nulls = logic.null_check(observations(spark, sf_dir).withColumn("t_ms", F.col("t_ms")))
-    tied = nulls.join(observations(spark, sf_dir).select("seq", "tie", *SERIES, "t_ms"), ["seq", *SERIES, "t_ms"])
-    return events.null_consecutive(tied, r.series_meta, r.null_limit, tie="tie")
+    return events.null_consecutive(logic.null_check(observations(spark, sf_dir), keep=["tie"]), r.series_meta, r.null_limit, tie="tie")
 
 
 RUNS_SQL = f"""nulls AS (SELECT *, coalesce(t_ms - lag(t_ms) OVER ({ARRIVAL}) > 1.5 * {SPACING}, true) AS breaks FROM obs WHERE value IS NULL),
@@ -476,8 +523,7 @@ runs AS (SELECT *, sum(CAST(breaks AS INTEGER)) OVER ({ARRIVAL}) AS run FROM nul
 @query("consecutive_null_runs", _with(f"SELECT {KEY}, '{vocab.EVENT_NULL_CONSECUTIVE}' AS event, t_ms AS start_ms, t_ms AS end_ms FROM placed WHERE place = 3", more=RUNS_SQL))
 def consecutive_null_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = registry(spark)
-    tied = logic.null_check(observations(spark, sf_dir)).join(observations(spark, sf_dir).select("seq", "tie", *SERIES, "t_ms"), ["seq", *SERIES, "t_ms"])
-    return events.null_consecutive(tied, r.series_meta, r.null_limit, mode="per_run", tie="tie")
+    return events.null_consecutive(logic.null_check(observations(spark, sf_dir), keep=["tie"]), r.series_meta, r.null_limit, mode="per_run", tie="tie")
 
 
 @query("order_events", _with(f"SELECT {KEY}, '{vocab.EVENT_ORDER}' AS event, t_ms AS start_ms, t_ms AS end_ms FROM ({ORDER_SQL}) WHERE qualitative = '{vocab.FAIL}'", more=LATEST_SQL))
@@ -490,6 +536,143 @@ def spacing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.spacing_events(spacing_check(spark, sf_dir))
 
 
+# --- registry, texts, queues ------------------------------------------------------------------
+
+
+def _registry(name: str) -> None:
+    columns = [c.split()[0] for c in SCHEMAS[name].split(", ") if c != "test_seq int"]  # ROWS numbers tests over all checks
+    key = ", ".join(f'"{c}"' for c in columns)
+
+    @query(f"registry_{name}", f"WITH {_table_sql(name)} SELECT DISTINCT {key} FROM {name}")
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return getattr(registry(spark), name).select(*columns)
+
+
+for _name in ("sensor_map", "route", "qc_test", "qc_bound", "null_limit"):
+    _registry(_name)
+
+
+@query("registry_protocol", f"WITH {', '.join(map(_table_sql, ('meta_check', 'meta_affected')))} SELECT 'check' AS part, feature, kind, name, '' AS a_procedure FROM meta_check UNION ALL SELECT 'affected', feature, kind, name, a_procedure FROM meta_affected")
+def registry_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "".join(f"*3\n$3\nSET\n${len(k)}\n{k}\n${len(v)}\n{v}\n" for k, v in registry_entries())
+    path = f"{scratch_folder(spark)}/protocol-{uuid.uuid4().hex}"
+    spark.createDataFrame([(text,)], "value string").write.text(path)
+    r = from_entries(read_protocol(spark, path))
+    checks = r.meta_check.select(F.lit("check").alias("part"), "feature", "kind", "name", F.lit("").alias("a_procedure"))
+    return checks.union(r.meta_affected.select(F.lit("affected"), "feature", "kind", "name", "a_procedure"))
+
+
+@query(
+    "observation_text",
+    _with(
+        """SELECT seq, concat_ws('::', feature, procedure, observableproperty, CAST(year(moment) AS VARCHAR), CAST(month(moment) AS VARCHAR), p[3], p[3], CASE WHEN p[4] = 'NotAValue' THEN p[4] ELSE CAST(CAST(p[4] AS DOUBLE) AS VARCHAR) END,
+        '0', '0.0', 'Raw', 'SemanticStamp', 'NA', '', 'NA', CASE WHEN len(p) = 5 THEN replace(replace(p[5], '::', ','), '=', ' -> ') ELSE 'NA' END) AS line FROM (SELECT *, make_timestamp(CAST(p[3] AS BIGINT) * 1000) AS moment FROM parsed WHERE parse_ok)""",
+        "sensor_map",
+        more=PARSED_SQL,
+    ),
+)
+def observation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse.observation_text(parse.stamp(parse_raw(spark, sf_dir)))
+
+
+@query("event_text", _with(f"SELECT concat_ws(',', {KEY}, '{vocab.EVENT_ORDER}', CAST(t_ms AS VARCHAR), CAST(t_ms AS VARCHAR)) AS line FROM ({ORDER_SQL}) WHERE qualitative = '{vocab.FAIL}'", more=LATEST_SQL))
+def event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse.event_text(order_events(spark, sf_dir))
+
+
+@query("outcome_text", _with(f"SELECT {KEY}, year, month, t_ms, qualifier, qualitative, quantitative FROM ({SPACING_SQL})", more=LATEST_SQL))
+def outcome_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To text and back."""
+    return parse.parse_outcomes(parse.outcome_text(spacing_check(spark, sf_dir)))
+
+
+QUEUES_SQL = f"""SELECT 'raw-observations-malformed' AS queue, count(*) AS n, sum(seq) AS seqs FROM parsed WHERE NOT parse_ok UNION ALL SELECT 'observation-persist', count(*), sum(seq) FROM parsed WHERE parse_ok
+    UNION ALL SELECT 'observation-routing', count(*), sum(seq) FROM parsed WHERE parse_ok AND p[4] <> 'NotAValue'"""
+
+
+@query("queues", _with(QUEUES_SQL, "sensor_map", more=PARSED_SQL))
+def queues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table for each queue that a batch of raw lines feeds, written and read again."""
+    folder = f"{scratch_folder(spark)}/queues-{uuid.uuid4().hex}"
+    good = lambda parsed: parse.stamp(parsed)
+    sinks.fan_out(
+        {
+            "raw-observations-malformed": lambda parsed: parse.split_parsed(parsed)[1],
+            "observation-persist": good,
+            "observation-routing": lambda parsed: good(parsed).filter("value is not null"),
+        },
+        folder,
+    )(parse_raw(spark, sf_dir), 0)
+    names = ["raw-observations-malformed", "observation-persist", "observation-routing"]
+    parts = [spark.read.parquet(f"{folder}/{n}").agg(F.lit(n).alias("queue"), F.count(F.lit(1)).alias("n"), F.sum("seq").cast("decimal(38,0)").alias("seqs")) for n in names]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("json_field", "SELECT event_id AS seq, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events_table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events_table.select(F.col("event_id").alias("seq"), F.get_json_object("props", "$.k").try_cast("long").alias("k"))
+
+
+@query("sensors", _with("SELECT DISTINCT feature, procedure FROM obs"))
+def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.sensors(observations(spark, sf_dir))
+
+
+# --- lake --------------------------------------------------------------------------------------
+
+DEPTHS = [1, 2, 4, 7, 10, 13, 16, 19, 22, 25, 30, 35]
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Observations of a thermistor for each depth and site, colder with depth but for some noise, every two hours; and their depths."""
+    e = _events(spark, sf_dir)
+    site = F.concat(F.lit("site"), (F.col("user_id") % 10).cast("string"))
+    size = 2 * 3_600_000
+    place = (F.col("event_id") % len(DEPTHS)).cast("int")
+    own = e.select(site.alias("feature"), (F.col("t_ms") - F.pmod("t_ms", F.lit(size))).alias("t_ms"), place.alias("place"), F.col("value"))
+    means = own.groupBy("feature", "t_ms", "place").agg(F.round(22 - 1.4 * F.col("place") + F.avg("value") % 3, 3).alias("value"))
+    sensor = F.concat(F.lit("t"), F.col("place").cast("string"))
+    obs = means.select("feature", sensor.alias("procedure"), F.lit("temperature").alias("observableproperty"), "t_ms", "value")
+    series = [(s, f"t{i}", "temperature", None, d) for s in SITES for i, d in enumerate(DEPTHS)]
+    return obs, spark.createDataFrame(series, SCHEMAS["series_meta"])
+
+
+PROFILE_SQL = f"""layers AS (SELECT 'site' || CAST(user_id % 10 AS VARCHAR) AS feature, t_ms - t_ms % 7200000 AS t_ms, event_id % 12 AS place, avg(value) AS v FROM raw_events GROUP BY ALL),
+deep AS (SELECT feature, t_ms, CAST({DEPTHS}[place + 1] AS DOUBLE) AS z, round(22 - 1.4 * place + v % 3, 3) AS t FROM layers),
+dense AS (SELECT feature, t_ms, z, 1000 * (1 - (t + 288.9414) * (t - 3.9863) * (t - 3.9863) / (508929.2 * (t + 68.12963))) AS rho FROM deep),
+next AS (SELECT *, lead(z) OVER w AS below, lead(rho) OVER w AS rho_below, max(z) OVER (PARTITION BY feature, t_ms) AS deepest FROM dense WINDOW w AS (PARTITION BY feature, t_ms ORDER BY z)),
+steps AS (SELECT *, (rho_below - rho) / (below - z) AS g, (z + below) / 2 AS mid, row_number() OVER (PARTITION BY feature, t_ms ORDER BY z) AS i FROM next WHERE below IS NOT NULL),
+near AS (SELECT *, lag(g) OVER w AS up_g, lag(z) OVER w AS up_z, lag(mid) OVER w AS up_mid, lead(g) OVER w AS down_g, lead(mid) OVER w AS down_mid, row_number() OVER (PARTITION BY feature, t_ms ORDER BY g DESC, i) AS place FROM steps WINDOW w AS (PARTITION BY feature, t_ms ORDER BY i)),
+peak AS (SELECT *, CASE WHEN g - up_g > 0 THEN (z - up_z) / (g - up_g) END AS upper, CASE WHEN g - down_g > 0 THEN (below - z) / (g - down_g) END AS lower FROM near WHERE place = 1),
+line AS (SELECT *, coalesce((below * lower + z * upper) / (lower + upper), mid) AS thermo FROM peak),
+marked AS (SELECT *, thermo >= mid AS beyond, CASE WHEN thermo >= mid THEN down_g ELSE up_g END AS other_g, CASE WHEN thermo >= mid THEN down_mid ELSE up_mid END AS other_mid FROM line),
+center AS (SELECT feature, t_ms, i AS k, z, below, mid, rho, g, deepest, thermo, beyond, coalesce(g + (other_g - g) * (thermo - mid) / nullif(other_mid - mid, 0), g) AS thermo_g FROM marked),
+ways AS (SELECT c.feature, c.t_ms, c.thermo, c.thermo_g, c.deepest, s.g, s.mid, s.i, CASE WHEN s.i <= CASE WHEN c.beyond THEN c.k ELSE c.k - 1 END THEN 'up' ELSE 'down' END AS way FROM center c JOIN steps s USING (feature, t_ms)),
+walked AS (SELECT *, count(*) FILTER (g < 0.1) OVER (PARTITION BY feature, t_ms, way ORDER BY CASE way WHEN 'up' THEN -i ELSE i END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS under_before FROM ways),
+reached AS (SELECT feature, t_ms, way, bool_or(g < 0.1) AS found FROM ways GROUP BY ALL),
+points AS (SELECT feature, t_ms, way, g, mid AS z FROM walked WHERE coalesce(under_before, 0) = 0 UNION ALL SELECT c.feature, c.t_ms, w.way, c.thermo_g, c.thermo FROM center c CROSS JOIN (VALUES ('up'), ('down')) AS w(way)),
+sides AS (SELECT feature, t_ms, way, max({{'g': g, 'z': z}}) FILTER (g <= 0.1) AS a, min({{'g': g, 'z': z}}) FILTER (g > 0.1) AS b FROM points GROUP BY ALL),
+edges AS (SELECT c.feature, c.t_ms, w.way, CASE WHEN c.thermo_g <= 0.1 THEN c.thermo WHEN r.found THEN s.a.z + (s.b.z - s.a.z) * (0.1 - s.a.g) / (s.b.g - s.a.g) WHEN w.way = 'up' THEN f.mid ELSE c.deepest END AS z
+    FROM center c CROSS JOIN (VALUES ('up'), ('down')) AS w(way) LEFT JOIN reached r ON r.feature = c.feature AND r.t_ms = c.t_ms AND r.way = w.way LEFT JOIN sides s ON s.feature = c.feature AND s.t_ms = c.t_ms AND s.way = w.way
+    JOIN steps f ON f.feature = c.feature AND f.t_ms = c.t_ms AND f.i = 1),
+products AS (SELECT feature, 'BUOYFREQ' AS product, t_ms, 9.81 / rho * g AS value FROM center UNION ALL SELECT feature, 'THERMODEPTH', t_ms, mid FROM center
+    UNION ALL SELECT feature, CASE way WHEN 'up' THEN 'METADEPTHTOP' ELSE 'METADEPTHBOTTOM' END, t_ms, z FROM edges)"""
+
+
+@query("lake_products", _with("SELECT feature, product, t_ms, round(value, 6) AS value FROM products", more=PROFILE_SQL))
+def lake_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs, depths = profiles(spark, sf_dir)
+    return rounded(derive.lake_products(obs, depths), "value")
+
+
+@query("feedback", _with("SELECT feature, product, CAST(t_ms AS VARCHAR) AS t, round(value, 6) AS value FROM products", more=PROFILE_SQL))
+def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products as raw lines, and read again as such."""
+    p = F.split("line", ",")
+    return derive.feedback_lines(lake_products(spark, sf_dir)).select(p[0].alias("feature"), p[1].alias("product"), p[2].alias("t"), p[3].cast("double").alias("value"))
+
+
 # --- routes, products, sinks -----------------------------------------------------------------
 
 
@@ -509,6 +692,11 @@ for _job in ("threshold", "derived"):
     _route(_job)
 
 
+@query("route_model", _with(f"SELECT seq, {KEY}, t_ms, value FROM obs o WHERE EXISTS (SELECT 1 FROM route r WHERE r.job = 'threshold' AND r.model = 'model-click' AND r.feature = o.feature AND r.procedure = o.procedure)", "route"))
+def route_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return route.for_job(observations(spark, sf_dir), registry(spark).route, "threshold", "model-click").select("seq", *SERIES, "t_ms", "value")
+
+
 @query("latest_outcome", _with(f"SELECT {BASE_COLUMNS}, value FROM (SELECT *, row_number() OVER (PARTITION BY {KEY}, t_ms - t_ms % 86400000 ORDER BY seq DESC, tie DESC) AS place FROM obs) WHERE place = 1"))
 def latest_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = observations(spark, sf_dir).withColumn("day", F.col("t_ms") - F.pmod("t_ms", F.lit(86_400_000)))
@@ -536,7 +724,7 @@ _periodic("daily_mean", 24)
         f"""SELECT 'obs' AS scope, {KEY}, c AS "check", w AS "window", 'static' AS test, b AS bound, '' AS time_key,
         round(CASE WHEN c = 'range' AND b = 'min' THEN mean - 0.25 * sd WHEN c = 'range' THEN mean + sd WHEN c = 'sigma' AND b = 'min' THEN pow(0.2 * sd, 2) WHEN c = 'sigma' THEN pow(0.75 * sd, 2) WHEN b = 'min' THEN 0.25 * sd ELSE 0.75 * sd END, 6) AS threshold
         FROM stats CROSS JOIN (VALUES ('range', ''), ('step', ''), ('spike', ''), ('sigma', '1h'), ('sigma', '12h'), ('sigma', '24h')) AS cc(c, w) CROSS JOIN (VALUES ('min'), ('max')) AS bb(b)""",
-        more=f"stats AS (SELECT {KEY}, round(avg(value), 2) AS mean, round(stddev_samp(value), 2) AS sd FROM obs WHERE value IS NOT NULL GROUP BY ALL)",
+        more=f"stats AS (SELECT {KEY}, round(avg(value), 0) AS mean, round(stddev_samp(value), 0) AS sd FROM obs WHERE value IS NOT NULL GROUP BY ALL)",
     ),
 )
 def bounds_from_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -559,6 +747,14 @@ def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(analysis.rolling(observations(spark, sf_dir), [5, 14]), *(f"{n}_{w}" for n in ("min", "max", "sd") for w in (5, 14)))
 
 
+WIDTHS = [15, 30, 45, 60, 90, 120, 180]
+
+
+@query("rolling_widths", _with(f"SELECT seq, {KEY}, t_ms, value, {', '.join(map(_rolling_sql, WIDTHS))} FROM numbers", more=NUMBERS))
+def rolling_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(analysis.rolling(observations(spark, sf_dir), WIDTHS), *(f"{n}_{w}" for n in ("min", "max", "sd") for w in WIDTHS))
+
+
 @query("step_d", _with(f"SELECT seq, {KEY}, t_ms, round(lead(value, 3) OVER ({BY_TIME}) - value, 6) AS step FROM numbers", more=NUMBERS))
 def step_d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(analysis.step_at(observations(spark, sf_dir), 3), "step")

@@ -55,11 +55,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """This application's folder below spark.checkpoint.dir; only where that is unset, a local one (one machine, tests)."""
+    """This application's folder below spark.checkpoint.dir. Where that is unset, a local one, on one machine (tests); on a cluster that is an error."""
     app = spark.sparkContext.applicationId
     if app not in _folders:
         shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not shared:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             shared = "file://" + tempfile.mkdtemp(prefix="tidegauge-")
         _folders[app] = f"{shared.rstrip('/')}/tidegauge-{app}"
         atexit.register(clear_scratch, spark)

@@ -1,8 +1,8 @@
 """The registry of metadata and thresholds: key-value text, read once into typed tables.
 
 Every lookup of a record becomes an equi-join with one of these. They are as long as
-the list of sensors and thresholds, so whether one is broadcast is left to the planner,
-which knows its size.
+the list of sensors and thresholds; prepared() writes them once and marks those of a
+checked length for broadcast, so that a lookup moves no observation.
 """
 
 from __future__ import annotations
@@ -12,6 +12,10 @@ from dataclasses import dataclass, fields
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.session import broadcast_up_to, materialise
+
+#: Rows of a registry table that go to every executor at most.
+BROADCAST_ROWS = 1_000_000
 WINDOWS = ("1h", "12h", "24h")
 
 
@@ -44,6 +48,11 @@ def from_rows(spark: SparkSession, **rows: list[tuple]) -> Registry:
     return Registry(**{f.name: spark.createDataFrame(rows.get(f.name, []), SCHEMAS[f.name]) for f in fields(Registry)})
 
 
+def prepared(registry: Registry, rows: int = BROADCAST_ROWS) -> Registry:
+    """Each table written in the scratch folder and, if it has at most so many rows, marked for broadcast; a longer one is left to the planner, which then knows its size."""
+    return Registry(**{f.name: broadcast_up_to(materialise(getattr(registry, f.name).coalesce(1), f.name), rows) for f in fields(Registry)})
+
+
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """(key, value) from lines `SET key value`."""
     lines = spark.read.text(path)

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidegauge.functions import vocab
 from tidegauge.functions.text import utc
 from tidegauge.functions.vocab import SERIES
-from tidegauge.operators import events, logic, threshold
+from tidegauge.operators import derive, events, logic, threshold
 from tidegauge.sources.registry import Registry
 
 KEY = "feature string, procedure string, observableproperty string"
@@ -128,6 +128,12 @@ def sigma_check(obs: DataFrame, registry: Registry, window: str, watermark: str
     return each.select("one.seq", *SERIES, "one.year", "one.month", "one.t_ms", "qualifier", "qualitative", "quantitative")
 
 
+def lake_products(obs: DataFrame, registry: Registry, watermark: str = "4 hours", window: str = "2 hours") -> DataFrame:
+    """derive.lake_products() on a stream: an instant's profile is complete, and its products returned, when the window it lies in is older than all disorder allowed for; what is later than that is dropped."""
+    rows = derive.layers(obs, registry.series_meta).withColumn("at", utc(F.col("t_ms"))).withWatermark("at", watermark)
+    return derive.products_of(derive.profiles(rows, F.window("at", window), "t_ms"))
+
+
 def write_to(stream: DataFrame, path: str, checkpoint: str, once: bool = True):
     """Append to Parquet; once: all there is, then stop."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
