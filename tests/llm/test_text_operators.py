@@ -6,6 +6,7 @@ import html
 import math
 import random
 import re
+import time
 import zlib
 from functools import lru_cache
 
@@ -246,6 +247,60 @@ def test_wrappers_of_a_page_shut_nothing_in(page, part):
     assert got == " ".join(text.split())
 
 
+@pytest.mark.parametrize("opened", ["<div>", "<div class='ad'>", "<b>", "<li>", "<ul><li>", "<p>", "<table><tr><td>", "<article>", "</b><i>", "<nav><article>"])
+def test_deep_pages_take_linear_time(opened):
+    began = time.process_time()
+    text = htmltext.main_text(opened * 20_000 + "words of content " * 20 + "<p></p><li></li></u>" * 5_000)
+    assert time.process_time() - began < 3 and text in ("", ("words of content " * 20).strip())
+
+
+def test_names_of_parts_of_an_article_are_no_marks():
+    words = "words of content " * 20
+    for name in ("related-research", "social-history", "noticeBoardOfEvents"):
+        assert htmltext.main_text(f"<article><p>{words}</p><div class='{name}'>{words}</div></article>") == (words + words).strip()
+    for name in ("related-links", "social-share", "share-buttons", "box newsletter"):
+        assert htmltext.main_text(f"<article><p>{words}</p><div class='{name}'>{words}</div></article>") == words.strip()
+
+
+def test_a_page_that_marks_nothing_ends_with_content():
+    words = "words of content " * 20
+    page = f"<html><body><div>Home</div><h1>Heading</h1><p>{words}</p><p>Short.</p><p>{words}</p><p>Copyright 2024 Example</p></body></html>"
+    assert htmltext.main_text(page) == f"Heading {words}Short. {words}".strip()
+
+
+def test_smoothing_and_threshold():
+    rng = random.Random(2)
+    values = [rng.random() * 6 for _ in range(40)]
+    for n in (1, 2, 3, 4, 5, 40):
+        own = values[:n]
+        weights = [[math.exp(-((i - j) ** 2) / 2) if abs(i - j) <= htmltext.REACH else 0 for j in range(n)] for i in range(n)]
+        assert htmltext.smoothed(own) == pytest.approx([sum(w * v for w, v in zip(row, own, strict=True)) / sum(row) for row in weights])
+    assert htmltext.threshold([1.0, 1.2, 0.8, 5.0, 5.2, 4.8]) == pytest.approx(3.0) and htmltext.threshold([2.0]) == 2.0
+    cut = htmltext.threshold(values)
+    low, high = [v for v in values if v < cut], [v for v in values if v >= cut]
+    assert cut == pytest.approx((sum(low) / len(low) + sum(high) / len(high)) / 2)
+
+
+def test_the_region_is_the_deepest_element_of_nearly_all_content():
+    page = "<body><div><div><p>{0}</p><p>{0}</p></div><p>short</p></div><div><p>{1}</p></div></body>"
+    parser = htmltext.Lines()
+    parser.feed(page.format("a" * 100, "b" * 10))
+    parser.line()
+    held = {n: sum(len(x.text) for x in parser.lines if n in ancestors(parser.parents, x.element)) for n in range(len(parser.parents))}
+    region, last = htmltext.region_of(parser.lines, parser.parents)
+    assert held == {**held, **htmltext.up_the_tree({x.element: len(x.text) for x in parser.lines}, parser.parents)}
+    deep = [n for n in held if held[n] >= htmltext.MOST * held[0]]
+    assert region == max(deep, key=lambda n: len(ancestors(parser.parents, n))) and all((region <= n <= last) == (region in ancestors(parser.parents, n)) for n in held)
+
+
+def ancestors(parents, n):
+    out = []
+    while n >= 0:
+        out.append(n)
+        n = parents[n]
+    return out
+
+
 def test_main_text_of_whole_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = {r.page_id: r for r in htmltext.extract_text(pages).collect()}
