@@ -361,6 +361,78 @@ def test_surrogates_stay_distinct(spark, broadcast_rows):
     assert surrogate.replace_entities(empty(spark)).count() == 0
 
 
+def plain_attempts(texts):
+    """The attempt of each entity, settled round by round in one place."""
+
+    def form(kind, value):
+        group = "name" if kind in ("given", "surname") else "digits" if kind in ("phone", "number", "national") else kind
+        return group, value.lower() if group == "name" else value.replace("-", "") if group == "digits" else value
+
+    entities = {(k, surrogate.normal(k, t[a:b])) for t in texts for a, b, k in surrogate.find(t or "")}
+    reals = {}
+    for k, n in entities:
+        reals.setdefault(form(k, n), set()).add(k)
+    attempts, taken, going = {}, set(), dict.fromkeys(entities, 0)
+    while going:
+        wanted = {}
+        for (k, n), attempt in going.items():
+            wanted.setdefault(form(k, surrogate.surrogate(k, n, attempt)), []).append((k, n))
+        fresh, later = set(), {}
+        for f, owners in wanted.items():
+            for k, n in owners:
+                real = reals.get(f, set()) - ({"given"} if k == "given" else set())
+                if (k, n) != min(owners) or f in taken or (real and going[k, n] < 4 * surrogate.EASY_ATTEMPTS):
+                    later[k, n] = going[k, n] + 1
+                else:
+                    attempts[k, n] = going[k, n]
+                    fresh.add(f)
+        taken |= fresh
+        going = later
+    return attempts
+
+
+@pytest.mark.parametrize("broadcast_rows", [50_000, 0])
+def test_surrogates_of_a_table(spark, broadcast_rows):
+    rng = random.Random(12)
+    given, parts = [n for (script, _), names in surrogate.GIVEN.items() if script == "latin" for n in names], ["ba", "ke", "lo", "mi", "nu", "ra", "st"]
+
+    def surname():
+        return "".join(rng.choice(parts) for _ in range(rng.choice([1, 2]))).capitalize()
+
+    forms = [
+        lambda: f"{rng.choice(given)} {surname()} wrote to {surname()} {surname()}.",
+        lambda: f"Mr {surname()} and Ms {rng.choice(given)} came.",
+        lambda: f"Call {rng.randrange(20, 60)}{rng.randrange(10)}-{rng.randrange(200, 204)}-{rng.randrange(1000, 1006)} or {rng.randrange(10**15, 10**15 + 9)}.",
+        lambda: f"Mail {rng.choice('ab')}{rng.choice('cd')}@x.example, 078-05-11{rng.randrange(10, 30)}.",
+        lambda: "Nothing of the kind 12 times.",
+    ]
+    texts = [" ".join(rng.choice(forms)() for _ in range(rng.choice([1, 3]))) for _ in range(250)]
+    got = {r.doc_id: r for r in surrogate.replace_entities(spark.createDataFrame([(i, t, "en", "d", 1) for i, t in enumerate(texts)], SCHEMA).repartition(3), broadcast_rows=broadcast_rows).collect()}
+    attempts = plain_attempts(texts)
+    assert max(attempts.values()) > 0
+    for i, text in enumerate(texts):
+        assert (got[i].text, got[i].n_entities) == surrogate.replaced(text, attempts, surrogate.KEY)
+
+
+@pytest.mark.parametrize(
+    "text,words",
+    [
+        ("Mr Smith came. Later Smith said that Maria Jones left, and Maria wrote to Jones.", "Smith Smith Maria Jones Maria Jones"),
+        ("Priya Raghunathan and Kwame Mensah met Ahmed Hassan", "Priya Raghunathan Kwame Mensah Ahmed Hassan"),
+        ("Then Mr O'Neil came, and O’Neil's dog.", "O'Neil"),
+        ("MARIA JONES wrote. Then Jones left.", "MARIA JONES Jones"),
+        ("Anna-Maria Schmidt und Frau Schmidt", "Anna-Maria Schmidt Schmidt"),
+        ("call 2125550147 or 0171 555 0147", "2125550147 0171|555|0147"),
+        ("The Old Bridge was built. New York Times and Big Ben are old. It rained with High Winds.", ""),
+        ("At 1372424400 the file of 2024-01-02 had 12 345 678 rows", ""),
+    ],
+)
+def test_what_is_found(text, words):
+    assert [text[a:b].replace(" ", "|") for a, b, _ in surrogate.find(text)] == words.split()
+    new = surrogate.replaced(text, {}, surrogate.KEY)[0]
+    assert not any(re.search(rf"(?<!\w){re.escape(w)}(?!\w)", new) for w in words.replace("|", " ").split(" ") if len(w) > 4)
+
+
 @pytest.mark.parametrize("secret", ["AKIA" + "QWERTYUIOPASDFGH", "ASIA" + "QWERTYUIOPASDFGH", "ghp_" + "abcdefghij" * 3, "sk-" + "abcdefghij" * 2, "٠١٢-٣٤٥-٦٧٨٩"])
 def test_entities_without_ascii_digits_or_marks(secret):
     new, n = surrogate.replaced(f"Prose before, {secret} and prose after it.", {}, surrogate.KEY)

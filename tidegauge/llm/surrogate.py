@@ -3,9 +3,10 @@
 Entities are found by pattern: e-mail addresses, telephone numbers, IPv4 and IPv6
 addresses, long account and card numbers, IBANs, national ids of the form
 000-00-0000, secrets (assigned to a name such as token or password, or of a known
-form), and names of persons (a title or a known given name before capitalised words,
-with particles such as "van der" between, and each of these words alone wherever else
-the document has it).
+form), and names of persons (capitalised words, with particles such as "van der" between,
+after a title or a known given name, or two to four of them beside a word that says that
+they name someone, such as "met" or "wrote", or joined with such names; and each of these
+words alone wherever else the document has it).
 Each has a normal form in which spellings of one entity agree (case, separators), so
 an entity gets the same surrogate wherever it occurs.
 
@@ -20,7 +21,8 @@ title, and with it a gender, stays.
 Collision checks. All distinct entities of the table are gathered, once each. An
 entity whose first surrogate is that of another entity, or is itself an entity of the
 table, moves to the next attempt until none collides; the entity that sorts first
-keeps a surrogate two want. From the EASY_ATTEMPTS-th attempt on the form gives way
+keeps a surrogate two want. Given names and surnames are compared as one type here, and
+so are numbers of all types, without their marks. From the EASY_ATTEMPTS-th attempt on the form gives way
 (longer words, free octets), so this ends. What differs from the first attempt is a
 short list of exceptions, broadcast up to BROADCAST_ROWS rows; more than that reach
 their documents by a join on the mentions instead.
@@ -66,7 +68,7 @@ KIND_OF_NAME = {name: kind for kind, names in GIVEN.items() for name in names}
 CLASS_OF = {c: i for i, alphabet in enumerate(ALPHABETS) for c in alphabet} | ACCENTED
 
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
-_WORD = rf"(?!(?:{_TITLE})\b)[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:(?:-|['’](?!s\b))[^\W\d_]+)*"
+_WORD = rf"(?!(?:{_TITLE})\b)[^\W\d_a-zà-öø-ÿа-яα-ω](?:[^\W\d_]+|['’](?!s\b)[^\W\d_]+)(?:(?:-|['’](?!s\b))[^\W\d_]+)*"
 _PARTICLES = r"(?:(?:van|von|vom|der|den|des|de|del|della|di|da|dos|das|du|la|le|las|los|ter|ten|zu|zum|zur|bin|ibn|al|el)\s+)*"
 PATTERNS: list[tuple[str, str]] = [
     ("secret", r"(?i:\b(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd|pwd)\b[\"']?\s*[:=]\s*[\"']?)(?P<secret>[\w\-./+=]{6,})"),
@@ -77,7 +79,7 @@ PATTERNS: list[tuple[str, str]] = [
     ("ipv4", r"(?<![\w.])(?P<ipv4>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\w|\.\d)"),
     ("national", r"(?<![\w-])(?P<national>\d{3}-\d{2}-\d{4})(?![\w-])"),
     ("number", r"(?<![\w.])(?P<number>\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\w|\.\d)"),
-    ("phone", r"(?<![\w.])(?P<phone>\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w|\.\d)"),
+    ("phone", r"(?<![\w.])(?P<phone>\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}|[2-9]\d{2}[2-9]\d{6}|0\d{2,4}[ /-]\d{3,4}(?:[ .-]?\d{2,4}){1,2})(?!\w|\.\d)"),
 ]
 MARKED = re.compile("|".join(p for _, p in PATTERNS))
 #: No marked entity is without one of these or a prefix; patterns are tried this near to one, and to the end of the word there.
@@ -87,12 +89,25 @@ PREFIXES = ["AKIA", "ASIA", *(f"gh{c}_" for c in "pousr"), "sk-"]
 CLUES_AND_PREFIXES = re.compile("|".join([CLUES.pattern, *PREFIXES]))
 NEAR = 80
 LONGEST_WORD = 1000
-NAMED = re.compile(rf"\b(?P<title>{_TITLE})\b\.?(?P<gap>\s+)(?P<words>{_PARTICLES}{_WORD}(?:\s+{_PARTICLES}{_WORD})*)|\b(?P<given>{'|'.join(KIND_OF_NAME)})\b(?P<rest>(?:\s+{_PARTICLES}{_WORD})+)")
+_GIVEN = "|".join([*KIND_OF_NAME, *(n.upper() for n in KIND_OF_NAME)])
+NAMED = re.compile(rf"\b(?P<title>{_TITLE})\b\.?(?P<gap>\s+)(?P<words>{_PARTICLES}{_WORD}(?:\s+{_PARTICLES}{_WORD})*)|(?<![\w-])(?P<given>{_GIVEN})\b(?:-[^\W\d_]+)*(?P<rest>(?:\s+{_PARTICLES}{_WORD})+)")
+# Words before or after a full name that say that it is one, words between names, and words that begin a sentence but no name.
+_BEFORE = "met|written by|signed by|sent by|letter from|mail from|message from|spoke to|spoke with|talked to|talked with|married to|called|named|dear|hi|hello|regards|sincerely|contact|patient|client|customer|employee|author|name is|name was|i am|this is|signed|told|asked|married"
+_AFTER = "said|says|wrote|writes|met|told|asked|called|lives|lived|works|worked|was born|born|married|died|joined|signed|replied|answered|agreed|explained|reported|added"
+_BETWEEN = r"(?:\s*,\s*|\s+(?:and|or|und|et|y|e)\s+)"
+_STARTERS = "The|A|An|This|That|These|Those|In|On|At|By|For|From|With|To|And|But|Or|If|When|While|After|Before|Then|There|Here|Yesterday|Today|Tomorrow|Dear|Hi|Hello|I|It|We|You|He|She|They|My|Our|Your|His|Her|Their|Later"
+_FULL = rf"(?!(?:{_STARTERS})\b){_WORD}(?:[ \t]+{_PARTICLES}{_WORD}){{1,3}}(?!\w)"
+_FULLS = rf"{_FULL}(?:{_BETWEEN}{_FULL})*"
+#: A full name of any words, known by what stands beside it.
+IN_CONTEXT = re.compile(rf"(?<!\w)(?i:{_BEFORE})[ \t]*[,:]?[ \t]+(?P<after>{_FULLS})|(?<![\w-])(?P<before>{_FULLS})(?=,?[ \t]+(?:{_AFTER})(?!\w))")
+CONTEXT_WORDS = frozenset(w for cue in (_BEFORE, _AFTER) for x in cue.split("|") for w in x.split()[-1:])
+TWO_CAPITALS = re.compile(rf"(?<!\w){_WORD}[ \t]+{_PARTICLES}{_WORD}")
+FULL = re.compile(_FULL)
 WORD = re.compile(_WORD)
 ALONE = re.compile(rf"(?<!\w){_WORD}(?!\w)")
 PART = re.compile(r"[^-]+")
-CAPITALISED = re.compile(r"[^\W\d_a-zà-ÿ][a-zà-ÿа-я]+")
-NAME_WORDS = frozenset(KIND_OF_NAME) | {t for titles in TITLES.values() for t in titles}
+CAPITALISED = re.compile(r"[^\W\d_a-zà-ÿ][^\W\d_]+")
+NAME_WORDS = frozenset(KIND_OF_NAME) | {n.upper() for n in KIND_OF_NAME} | {t for titles in TITLES.values() for t in titles}
 
 
 class Keyed:
@@ -162,12 +177,14 @@ def find(text: str) -> list[tuple[int, int, str]]:
         for match in MARKED.finditer(text, a, b):
             name = match.lastgroup
             found.append((*match.span(name), name.rstrip("1")))
-    if not NAME_WORDS.isdisjoint(CAPITALISED.findall(text)):
-        found = sorted(found + _names(text, found))
+    listed = not NAME_WORDS.isdisjoint(CAPITALISED.findall(text))
+    in_context = TWO_CAPITALS.search(text) is not None and not CONTEXT_WORDS.isdisjoint(text.lower().split())
+    if listed or in_context:
+        found = sorted(found + _names(text, found, in_context))
     return found
 
 
-def _names(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+def _names(text: str, taken: list[tuple[int, int, str]], in_context: bool) -> list[tuple[int, int, str]]:
     """Words of full mentions of persons, then what else the text has of these words. taken: in order and apart."""
     starts = [a for a, _, _ in taken]
 
@@ -177,13 +194,15 @@ def _names(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int,
 
     names: dict[int, tuple[int, int, str]] = {}
     known: dict[str, str] = {}
-    for match in NAMED.finditer(text):
-        first, last = match.span("words") if match["title"] else match.span()
+    spans = [match.span("words") if match["title"] else match.span() for match in NAMED.finditer(text)]
+    if in_context:
+        spans += [span for match in IN_CONTEXT.finditer(text) for full in FULL.finditer(text, *match.span(match.lastgroup)) for span in [full.span()]]
+    for first, last in spans:
         leading = True
         for word in WORD.finditer(text, first, last):
-            leading = leading and word[0] in KIND_OF_NAME
+            leading = leading and word[0].capitalize() in KIND_OF_NAME
             kind = "given" if leading else "surname"
-            if is_free(*word.span()):
+            if is_free(*word.span()) and word.start() not in names:
                 names[word.start()] = (*word.span(), kind)
                 for part in {word[0], *word[0].split("-")}:
                     if len(part) > 1:
@@ -356,17 +375,25 @@ def exceptions_of(entities: DataFrame, key: bytes) -> DataFrame:
     def tried(df: DataFrame) -> DataFrame:
         return materialise(df.select("kind", "norm", "attempt").mapInArrow(_candidates(key), "kind string, norm string, attempt int, candidate string"), "candidates")
 
-    real = entities.select("kind", F.col("norm").alias("candidate"))
+    def compared(df: DataFrame, value: str) -> DataFrame:
+        """With what must differ: the group of kinds and the bare form."""
+        group = F.when(F.col("kind").isin("given", "surname"), "name").when(F.col("kind").isin("phone", "number", "national"), "digits").otherwise(F.col("kind"))
+        form = F.when(group == "name", F.lower(value)).when(group == "digits", F.regexp_replace(value, "-", "")).otherwise(F.col(value))
+        return df.withColumns({"group": group, "form": form})
+
+    reals = compared(entities, "norm").groupBy("group", "form").agg(F.max(F.lit(True)).alias("is_real"), F.max(F.col("kind") != "given").alias("is_other"))
     settled: DataFrame | None = None
     open_rows = tried(entities.withColumn("attempt", F.lit(0)))
     while True:
-        first = open_rows.groupBy("kind", "candidate").agg(F.min("norm").alias("first_norm"))
-        judged = open_rows.join(first, ["kind", "candidate"]).join(real.withColumn("is_real", F.lit(True)), ["kind", "candidate"], "left")
+        rows = compared(open_rows, "candidate")
+        first = rows.groupBy("group", "form").agg(F.min(F.struct("kind", "norm")).alias("first"))
+        judged = rows.join(first, ["group", "form"]).join(reals, ["group", "form"], "left")
         # given names are permuted among themselves; where nearly every form is taken, distinctness alone must do
-        judged = judged.withColumn("bad", (F.col("norm") != F.col("first_norm")) | (F.col("is_real").isNotNull() & (F.col("kind") != "given") & (F.col("attempt") < 4 * EASY_ATTEMPTS)))
+        taken_by_real = F.coalesce(F.when(F.col("kind") == "given", F.col("is_other")).otherwise(F.col("is_real")), F.lit(False))
+        judged = judged.withColumn("bad", (F.struct("kind", "norm") != F.col("first")) | (taken_by_real & (F.col("attempt") < 4 * EASY_ATTEMPTS)))
         if settled is not None:
-            judged = judged.join(settled.select("kind", "candidate", F.lit(True).alias("is_taken")), ["kind", "candidate"], "left").withColumn("bad", F.col("bad") | F.col("is_taken").isNotNull())
-        judged = materialise(judged.select("kind", "norm", "attempt", "candidate", "bad"), "judged")
+            judged = judged.join(settled.select("group", "form", F.lit(True).alias("is_taken")), ["group", "form"], "left").withColumn("bad", F.col("bad") | F.col("is_taken").isNotNull())
+        judged = materialise(judged.select("kind", "norm", "attempt", "candidate", "group", "form", "bad"), "judged")
         good = judged.filter(~F.col("bad")).drop("bad")
         settled = good if settled is None else materialise(settled.union(good), "settled")
         bad = judged.filter("bad")
