@@ -402,7 +402,7 @@ def test_surrogates_of_a_table(spark, broadcast_rows):
     forms = [
         lambda: f"{rng.choice(given)} {surname()} wrote to {surname()} {surname()}.",
         lambda: f"Mr {surname()} and Ms {rng.choice(given)} came.",
-        lambda: f"Call {rng.randrange(20, 60)}{rng.randrange(10)}-{rng.randrange(200, 204)}-{rng.randrange(1000, 1006)} or {rng.randrange(10**15, 10**15 + 9)}.",
+        lambda: f"Call {rng.randrange(20, 60)}{rng.randrange(10)}-{rng.randrange(200, 204)}-{rng.randrange(1000, 1006)} or 4111 1111 1111 {rng.choice([1111, 1129, 1137])}.",
         lambda: f"Mail {rng.choice('ab')}{rng.choice('cd')}@x.example, 078-05-11{rng.randrange(10, 30)}.",
         lambda: "Nothing of the kind 12 times.",
     ]
@@ -424,6 +424,7 @@ def test_surrogates_of_a_table(spark, broadcast_rows):
         ("Anna-Maria Schmidt und Frau Schmidt", "Anna-Maria Schmidt Schmidt"),
         ("call 2125550147 or 0171 555 0147", "2125550147 0171|555|0147"),
         ("The Old Bridge was built. New York Times and Big Ben are old. It rained with High Winds.", ""),
+        ("cards 4111111111111111, 4111-1111-1111-1111 and, of no card, 4111111111111112", "4111111111111111 4111-1111-1111-1111"),
         ("At 1372424400 the file of 2024-01-02 had 12 345 678 rows", ""),
     ],
 )

@@ -1,7 +1,7 @@
 """Surrogates for personal data: keyed, consistent, of the same type and form.
 
 Entities are found by pattern: e-mail addresses, telephone numbers, IPv4 and IPv6
-addresses, long account and card numbers, IBANs, national ids of the form
+addresses, card numbers (13 to 19 digits that pass the Luhn test), IBANs, national ids of the form
 000-00-0000, secrets (assigned to a name such as token or password, or of a known
 form), and names of persons (capitalised words, with particles such as "van der" between,
 after a title or a known given name, or two to four of them beside a word that says that
@@ -13,8 +13,8 @@ an entity gets the same surrogate wherever it occurs.
 A surrogate is drawn character by character from HMAC-SHA-256 of key, type, normal
 form and attempt: digits become digits, letters letters of the same script and case
 (vowels vowels in names), marks and lengths stay. The type holds as well: octets of
-an address stay octets, with as many digits, private ranges stay private; a number
-that passes the Luhn test still does; an IBAN keeps its country and valid check
+an address stay octets, with as many digits, private ranges stay private; a card number
+still passes the Luhn test; an IBAN keeps its country and valid check
 digits; known given names are permuted among those of their gender and script; a
 title, and with it a gender, stays.
 
@@ -176,6 +176,8 @@ def find(text: str) -> list[tuple[int, int, str]]:
     for a, b in _whole_words(text, _windows(text)):
         for match in MARKED.finditer(text, a, b):
             name = match.lastgroup
+            if name == "number" and luhn_sum(re.sub(r"\D", "", match[name])):
+                continue  # no card has it
             found.append((*match.span(name), name.rstrip("1")))
     listed = not NAME_WORDS.isdisjoint(CAPITALISED.findall(text))
     in_context = TWO_CAPITALS.search(text) is not None and not CONTEXT_WORDS.isdisjoint(text.lower().split())
@@ -248,11 +250,7 @@ def luhn_sum(digits: str) -> int:
 
 def _number(digits: str, keyed: Keyed) -> str:
     new = digits[0] + "".join(str(keyed.below(10)) for _ in digits[1:])
-    if luhn_sum(digits) == 0:
-        new = next(x for x in (new[:-1] + str(d) for d in range(10)) if luhn_sum(x) == 0)
-    elif luhn_sum(new) == 0:
-        new = new[:-1] + str((int(new[-1]) + 1) % 10)
-    return new
+    return next(x for x in (new[:-1] + str(d) for d in range(10)) if luhn_sum(x) == 0)
 
 
 def _octets(value: str, keyed: Keyed, free: bool) -> str:
