@@ -259,6 +259,21 @@ def test_top_k(spark, query_bytes):
     assert topk.top_k(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_bounds_hold_and_few_exact_vectors_are_read():
+    rng = np.random.default_rng(7)
+    for scale, kind in ((1, "<i2"), (1e3, "<i4"), (1e8, "<f8"), (1e20, "<f8")):
+        vectors = np.floor(rng.normal(size=(3000, 24)) * 1000 * scale)
+        file = topk.ApproximationFile.from_row(*topk.ApproximationFile.of(np.arange(3000), vectors).row())
+        assert file.exact.dtype.str == kind and np.array_equal(file.exact, vectors)
+        centre, reach = file.bounds(vectors[:50])
+        assert (np.abs(vectors[:50] @ vectors.T - centre) <= reach[:, None]).all()
+    vectors = np.floor(rng.normal(size=(20_000, 16)) * 1000)
+    asked = topk.Asked(np.arange(100), vectors[:100], 10)
+    for at in range(0, len(vectors), 4096):
+        asked.search(topk.ApproximationFile.of(np.arange(at, min(len(vectors), at + 4096)), vectors[at : at + 4096]))
+    assert asked.exact_reads < 0.02 * 100 * len(vectors)
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 
