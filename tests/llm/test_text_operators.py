@@ -8,7 +8,6 @@ import random
 import re
 import time
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -127,18 +126,15 @@ def test_encode_digests(spark, table, chunk):
 # --- unigram counts --------------------------------------------------------------------------
 
 
-def best(word, scores, byte_score):
-    @lru_cache(None)
-    def upto(n):
-        if n == 0:
-            return (0.0, 0)
-        options = [(upto(i)[0] + scores[word[i:n]], upto(i)[1] - 1) for i in range(max(0, n - 16), n) if word[i:n] in scores]
+def best(word, scores, byte_score, longest):
+    upto = [(0.0, 0)]
+    for n in range(1, len(word) + 1):
+        options = [(upto[i][0] + scores[word[i:n]], upto[i][1] - 1) for i in range(max(0, n - longest), n) if word[i:n] in scores]
         if word[n - 1] not in scores:
             k = len(word[n - 1].encode())
-            options.append((upto(n - 1)[0] + k * byte_score, upto(n - 1)[1] - k))
-        return max(options)
-
-    return upto(len(word))
+            options.append((upto[n - 1][0] + k * byte_score, upto[n - 1][1] - k))
+        upto.append(max(options))
+    return upto[-1]
 
 
 def test_token_counts(spark, table):
@@ -146,14 +142,57 @@ def test_token_counts(spark, table):
     rows = unigram.token_counts(table, PIECES).collect()
     expected = {}
     for r in table.collect():
-        found = [best("▁" + w, scores, byte_score) for w in unigram.PRE_TOKEN.findall(r.text or "") if len(w) < 500]
+        found = [best("▁" + w, scores, byte_score, max(map(len, scores))) for w in unigram.PRE_TOKEN.findall(r.text or "")]
         expected.setdefault(r.doc_id, []).append((sum(-n for _, n in found), len(found), sum(s for s, _ in found)))
     for r in rows:
-        if r.doc_id != ODD.index("x" * 3000):
-            assert any((r.n_tokens, r.n_pretokens) == e[:2] and math.isclose(r.score, e[2], abs_tol=1e-6) for e in expected[r.doc_id])
+        assert any((r.n_tokens, r.n_pretokens) == e[:2] and math.isclose(r.score, e[2], abs_tol=1e-6) for e in expected[r.doc_id])
     assert len(rows) == table.count() and unigram.token_counts(empty(spark), PIECES).count() == 0
 
 
+def test_the_trie_and_the_single_path_agree():
+    scores, byte_score = unigram.load_scores(PIECES)
+    pieces = unigram.vocabulary_trie(scores)
+    words = ["▁" + "".join(random.Random(i).choice("aeioutrnslé日") for _ in range(i % 90)) for i in range(300)]
+    assert unigram.Trie(words).counts(pieces, byte_score) == {w: unigram.long_count(w, pieces, byte_score) for w in words}
+
+
+# --- long texts ------------------------------------------------------------------------------
+
+
+LONG = {"words": "words of Content and 12 more, " * 340_000, "run": "x" * 3_000_000, "marks": "<p>" * 1_000_000}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_texts(kind):
+    """Ten million characters in time that grows with them, and memory that doesn't explode."""
+    text = LONG[kind]
+    pieces, byte_score, _ = unigram.vocabulary_of(PIECES)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+    (counted,) = unigram._counted([batch], pieces, byte_score, {})
+    assert counted.column(2)[0].as_py() == len(text.split())
+    v = bytebpe.vocabulary_of(RANKS, public_tokenizers.PATTERN)
+    chunks = [(s, t, *bytebpe.split_chunk(v, s, t)) for s, t in bytebpe.chunks_of(text, bytebpe.CHUNK, bytebpe.OVERLAP)]
+    assert v.decode(bytebpe.stitch(v, chunks)) == text.encode()
+    model = langid.Model({"aa": (np.array([1, 2], np.uint32), np.ones(2)), "bb": (np.array([3], np.uint32), np.ones(1))})
+    model.build()
+    assert model.score([text.encode()]).shape == (1, 2)
+    surrogate.find(text)
+    assert len(htmltext.main_text(text)) <= len(text)
+
+
+def test_slices_of_a_text_score_as_the_whole(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcde é日") for _ in range(n)).encode() for n in (1, 5, 3000, 20_000)]
+    grams, n = np.unique(langid.grams_of(texts[:3])[0], return_counts=True)
+    model = langid.Model({"aa": (grams, n.astype(float)), "bb": (grams[::2], n[::2].astype(float))})
+    model.build()
+    whole = model.score(texts)
+    monkeypatch.setattr(langid, "CELLS", 0)
+    assert np.concatenate([model.score([t]) for t in texts]) == pytest.approx(whole)
+
+
 # --- languages -------------------------------------------------------------------------------
 
 

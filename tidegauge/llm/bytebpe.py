@@ -7,7 +7,8 @@ looks ahead: two scans that share one boundary share all that follow. So the
 stitch walks the chunks of a document, enters each at the first boundary that is
 known to be right and that the chunk has as well, and takes the chunk's encoded
 pre-tokens from there. A run longer than the overlap, which leaves no common
-boundary, is split anew from the last right boundary over the joined chunks.
+boundary, is split anew from the last right boundary over the joined chunks, twice as
+many each time, so that the work stays in proportion to the run.
 Texts of one chunk take the same path without a shuffle.
 
 Decoding concatenates the bytes of the ids; they needn't be whole characters
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.packed import pack, unpack
 from tidegauge.llm.patterns import Splitter
 from tidegauge.session import ship
 
@@ -107,8 +109,9 @@ def split_chunk(vocabulary: Vocabulary, start: int, text: str) -> tuple[np.ndarr
 
 def stitch(vocabulary: Vocabulary, chunks: list[tuple]) -> bytes:
     """The ids of a text from its chunks in order: (start, text, ends, counts, ids)."""
-    out, at = [], 0
-    for i, (start, text, ends, counts, ids) in enumerate(chunks):
+    out, at, i, more = [], 0, 0, 1
+    while i < len(chunks):
+        start, text, ends, counts, ids = chunks[i]
         last = i + 1 == len(chunks)
         # bridge from the boundary that is right to the first that this chunk has too
         first = int(np.searchsorted(ends, at))
@@ -134,9 +137,16 @@ def stitch(vocabulary: Vocabulary, chunks: list[tuple]) -> bytes:
         if synced:
             out.append(ids[4 * int(counts[first]) : 4 * int(counts[np.searchsorted(ends, leave)])])
         at = leave
-        if leave < following[0]:  # a run longer than the overlap: split both chunks' text anew from here
-            joined = text[leave - start :] + following[1][start + len(text) - following[0] :]
-            chunks[i + 1] = (leave, joined, *split_chunk(vocabulary, leave, joined))
+        if leave < following[0]:  # a run longer than the overlap: split the text of this and further chunks anew from here
+            parts, end, j = [text[leave - start :]], start + len(text), min(i + more, len(chunks) - 1)
+            for next_start, next_text, *_ in chunks[i + 1 : j + 1]:
+                parts.append(next_text[end - next_start :])
+                end = next_start + len(next_text)
+            joined = "".join(parts)
+            chunks[j] = (leave, joined, *split_chunk(vocabulary, leave, joined))
+            i, more = j, 2 * more
+        else:
+            i, more = i + 1, 1
     return b"".join(out)
 
 
@@ -182,8 +192,8 @@ def _encode_chunks(ranks_path: str, pattern: str):
             for at in range(0, batch.num_rows, 32):
                 part = batch.slice(at, 32)
                 done = [split_chunk(vocabulary, s, t) for s, t in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
-                arrays = [pa.array([f(x) for x in done], pa.binary()) for f in (lambda x: x[0].tobytes(), lambda x: x[1].tobytes(), lambda x: x[2])]
-                yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=["row_key", "doc_id", "start", "text", "ends", "counts", "ids"])
+                steps = [pack([np.diff(ends).astype("<u4"), np.diff(counts).astype("<u4"), np.frombuffer(ids, "<u4")]) for ends, counts, ids in done]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(steps, pa.binary())], names=["row_key", "doc_id", "start", "text", "coded"])
 
     return run
 
@@ -191,8 +201,10 @@ def _encode_chunks(ranks_path: str, pattern: str):
 def _stitch_group(ranks_path: str, pattern: str):
     def run(table: pa.Table) -> pa.Table:
         vocabulary = vocabulary_of(ranks_path, pattern)
-        rows = table.sort_by("start").select(["start", "text", "ends", "counts", "ids"]).to_pylist()
-        chunks = [(r["start"], r["text"], np.frombuffer(r["ends"], np.int64), np.frombuffer(r["counts"], np.int64), r["ids"]) for r in rows]
+        chunks = []
+        for row in table.sort_by("start").select(["start", "text", "coded"]).to_pylist():
+            steps, counts, ids = unpack(row["coded"], ["<u4"] * 3)
+            chunks.append((row["start"], row["text"], row["start"] + np.r_[0, np.cumsum(steps, dtype=np.int64)], np.r_[0, np.cumsum(counts, dtype=np.int64)], ids.tobytes()))
         doc_id = table.column("doc_id")[0].as_py()
         return pa.Table.from_batches([_table([doc_id], table.schema.field("doc_id").type, [_digest(vocabulary, stitch(vocabulary, chunks))])])
 
@@ -208,7 +220,7 @@ def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     short = rows.filter(~is_long).mapInArrow(_encode_short(ranks_path, pattern), f"doc_id {kind}, {RESULT}")
     long = rows.withColumn("row_key", F.monotonically_increasing_id()).filter(is_long).select("row_key", "doc_id", "text")
     chunks = long.mapInArrow(_cut_long(chunk, overlap), f"row_key long, doc_id {kind}, start long, text string").repartition("row_key", "start")
-    coded = chunks.mapInArrow(_encode_chunks(ranks_path, pattern), f"row_key long, doc_id {kind}, start long, text string, ends binary, counts binary, ids binary")
+    coded = chunks.mapInArrow(_encode_chunks(ranks_path, pattern), f"row_key long, doc_id {kind}, start long, text string, coded binary")
     # the chunks of one document are as much as its one row was
     stitched = coded.groupBy("row_key").applyInArrow(_stitch_group(ranks_path, pattern), f"doc_id {kind}, {RESULT}")
     return short.union(stitched)

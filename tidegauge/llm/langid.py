@@ -10,7 +10,7 @@ are frozen: scoring never changes them. A text's language is the one whose tree
 codes all of its bytes in the fewest bits.
 
 Training takes about `docs_per_language` documents of each language, whole, chosen
-by a hash of the id: a documented bound on the model, not on what is scored. Scoring
+by a hash of id and text: a documented bound on the model, not on what is scored. Scoring
 has no shuffle. All four-byte strings seen in training get their code length in
 every language once; other strings are coded by the same trees when they occur.
 
@@ -38,7 +38,8 @@ MOST_LANGUAGES = 400
 #: Two-byte strings of each half of a four-byte string that the direct index knows.
 INDEXED_PAIRS = 4000
 UNDETERMINED = "und"
-BLOCK_BYTES = 1 << 19
+#: Code lengths held at once, over all languages.
+CELLS = 1 << 22
 
 
 def remainder(doc_id: Column) -> Column:
@@ -136,15 +137,32 @@ class Model:
         self.index[at[indexed]] = np.arange(1, indexed.sum() + 1)
         self.table = np.vstack([np.zeros(len(self.languages)), self.lengths(self.grams[indexed])])
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """[text, language]: bits. No text may be empty."""
-        grams, starts = grams_of(texts)
+    @property
+    def block(self) -> int:
+        """Bytes scored at once."""
+        return max(1024, CELLS // len(self.languages))
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """[string, language]."""
         at = self.index[self.first[grams >> 16].astype(np.int64) * self.columns + self.second[grams & 0xFFFF]]
         bits = self.table[at]
         missing = np.flatnonzero(at == 0)
         if len(missing):
             new, back = np.unique(grams[missing], return_inverse=True)
             bits[missing] = self.lengths(new)[back]
+        return bits
+
+    def score(self, texts: list[bytes]) -> np.ndarray:
+        """[text, language]: bits. No text may be empty; one longer than a block comes alone and is scored in slices."""
+        if len(texts) == 1 and len(texts[0]) > self.block:
+            text, total = texts[0], 0
+            for at in range(0, len(text), self.block):
+                before = min(at, ORDER)
+                part = text[at - before : at + self.block]
+                total = total + self.bits(grams_of([part])[0][before : len(part)]).sum(axis=0)
+            return total[None, :]
+        grams, starts = grams_of(texts)
+        bits = self.bits(grams)
         ends = starts + np.fromiter(map(len, texts), np.int64, len(texts))
         edges = np.stack([starts, ends], axis=1).ravel()[:-1]
         return np.add.reduceat(bits[: ends[-1]], edges, axis=0)[::2]
@@ -158,7 +176,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per_l
     if not sizes:
         return Model({})
     share = F.create_map(*(F.lit(x) for row in sizes for x in (row["lang"], docs_per_language / row["count"])))[F.col(lang_col)]
-    sample = labelled.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) < share * (1 << 30))
+    sample = labelled.filter(F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)) < share * (1 << 30))
     counted = sample.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string")).mapInArrow(_count, "lang string, gram long, n long")
     counts: dict[str, list] = {}
     for lang, gram, n in counted.groupBy("lang", "gram").agg(F.sum("n")).toLocalIterator():  # bounded by the sample
@@ -210,11 +228,12 @@ def _predict(shared):
 
                 for i, text in enumerate(texts):
                     if text and any(map(str.isalpha, text)):
-                        block.append((i, coded := text.encode()))
-                        size += len(coded)
-                        if size > BLOCK_BYTES:
+                        coded = text.encode()
+                        if block and size + len(coded) > model.block:
                             flush()
                             size = 0
+                        block.append((i, coded))
+                        size += len(coded)
                 if block:
                     flush()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])

@@ -37,6 +37,8 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 OPEN_BINS = 2048
 CACHED_WORDS = 250_000
+#: Only words up to this long are remembered, which bounds the cache's bytes.
+CACHED_CHARS = 64
 #: str.split() also splits at these, the tokenizer doesn't.
 ODD_SPACES = re.compile("[\x1c-\x1f]")
 #: Ends a word for the merges: no byte of UTF-8.
@@ -92,7 +94,9 @@ class WordEncoder:
             if ids is None:
                 if len(self.units) > CACHED_WORDS:
                     self.units.clear()
-                ids = self.units[unit] = b"".join([self.ids[i] for i in self.merges.encode_single_piece(unit.encode() + WORD_END)])
+                ids = b"".join([self.ids[i] for i in self.merges.encode_single_piece(unit.encode() + WORD_END)])
+                if len(unit) <= CACHED_CHARS:
+                    self.units[unit] = ids
             out.append(ids)
         return b"".join(out)
 
@@ -105,10 +109,11 @@ class WordEncoder:
             if len(known) > CACHED_WORDS:
                 known.clear()
             words = text.split()
+            long = {}
             for word in words:
                 if word not in known:
-                    known[word] = self.word(word)
-            out.append(b"".join([known[w] for w in words]))
+                    (known if len(word) <= CACHED_CHARS else long)[word] = self.word(word)
+            out.append(b"".join([known[w] for w in words] if not long else [long[w] if w in long else known[w] for w in words]))
         return out
 
 

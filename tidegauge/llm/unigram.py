@@ -9,7 +9,8 @@ piece costs one byte piece for each of its UTF-8 bytes.
 The distinct pre-tokens of a block go into a trie. A depth-first walk computes
 the forward score of each node once, from the scores of its ancestors, whichever
 number of pre-tokens run through it; at a terminal node the count of pieces of
-the best segmentation is stored, and each occurrence just looks it up.
+the best segmentation is stored, and each occurrence just looks it up. Pre-tokens of more
+than TRIE_CHARS characters are scored by the same step, one by one.
 
 The vocabulary file orders pieces by merge rank and holds no probabilities, so a
 piece of rank r scores by Zipf's law, -log(r + 1), up to a constant. Nothing is
@@ -36,6 +37,8 @@ from tidegauge.session import ship
 
 WORD_MARK = "▁"
 CACHED_WORDS = 400_000
+#: Longer pre-tokens, which hardly share prefixes, are scored alone and not remembered: a trie would take a node a character.
+TRIE_CHARS = 64
 PRE_TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -63,6 +66,39 @@ def vocabulary_trie(scores: dict[str, float]) -> dict:
     return root
 
 
+def forward(char: str, pieces: dict, byte_score: float, score: float, minus: int, begun: list) -> tuple[float, int, list]:
+    """From the forward value before a character to that after it: score, minus the pieces, and the pieces begun that go on.
+
+    A forward value is (score, minus the pieces), so that the larger of two is the better. begun: the vocabulary nodes
+    reached, each with the forward value it started from.
+    """
+    best, best_minus, going, alone = -math.inf, 0, [], False
+    for at, from_score, from_minus in [*begun, (pieces, score, minus)]:
+        reached = at.get(char)
+        if reached is not None:
+            going.append((reached, from_score, from_minus))
+            own = reached.get("")
+            if own is not None:
+                alone = alone or at is pieces
+                total = from_score + own
+                if total > best or (total == best and from_minus - 1 > best_minus):
+                    best, best_minus = total, from_minus - 1
+    if not alone:
+        k = len(char.encode("utf-8", "surrogatepass"))
+        total = score + k * byte_score
+        if total > best or (total == best and minus - k > best_minus):
+            best, best_minus = total, minus - k
+    return best, best_minus, going
+
+
+def long_count(word: str, pieces: dict, byte_score: float) -> tuple[int, float]:
+    """(number of pieces, score) of one pre-token, which shares no prefix."""
+    score, minus, begun = 0.0, 0, []
+    for char in word:
+        score, minus, begun = forward(char, pieces, byte_score, score, minus, begun)
+    return -minus, score
+
+
 class Trie:
     """Nodes are dicts of children; a node's own entry under the empty string is the pre-token that ends there."""
 
@@ -75,37 +111,16 @@ class Trie:
             node[""] = word
 
     def counts(self, pieces: dict, byte_score: float) -> dict[str, tuple[int, float]]:
-        """(number of pieces, score) of each pre-token, given the vocabulary's trie.
-
-        A node's forward value is (score, minus the pieces), so that the larger of two is the better.
-        With it go the pieces that are begun: the vocabulary nodes reached, each with the forward value it started from.
-        """
+        """(number of pieces, score) of each pre-token, given the vocabulary's trie."""
         out: dict[str, tuple[int, float]] = {}
         stack = [(self.root, 0.0, 0, [])]
         while stack:
             node, score, minus, begun = stack.pop()
-            started = [*begun, (pieces, score, minus)]
             for char, child in node.items():
                 if char == "":
                     out[child] = (-minus, score)
-                    continue
-                best, best_minus, going, alone = -math.inf, 0, [], False
-                for at, from_score, from_minus in started:
-                    reached = at.get(char)
-                    if reached is not None:
-                        going.append((reached, from_score, from_minus))
-                        own = reached.get("")
-                        if own is not None:
-                            alone = alone or at is pieces
-                            total = from_score + own
-                            if total > best or (total == best and from_minus - 1 > best_minus):
-                                best, best_minus = total, from_minus - 1
-                if not alone:
-                    k = len(char.encode("utf-8", "surrogatepass"))
-                    total = score + k * byte_score
-                    if total > best or (total == best and minus - k > best_minus):
-                        best, best_minus = total, minus - k
-                stack.append((child, best, best_minus, going))
+                else:
+                    stack.append((child, *forward(char, pieces, byte_score, score, minus, begun)))
         return out
 
 
@@ -118,27 +133,36 @@ def vocabulary_of(model_path: str) -> tuple[dict, float, dict[str, tuple[int, fl
 
 def _count(model_path: str):
     def run(batches):
-        pieces, byte_score, known = vocabulary_of(model_path)
+        collects = gc.isenabled()
         gc.disable()  # tries of many small dicts, without cycles
-        for batch in batches:
-            tokens, words_in, logs = [], [], []
-            for at in range(0, batch.num_rows, 1024):
-                if len(known) > CACHED_WORDS:
-                    known.clear()
-                split = [PRE_TOKEN.findall(t) if t else [] for t in batch.column(1).slice(at, 1024).to_pylist()]
-                new = {w for words in split for w in words if w not in known}
-                found = Trie(WORD_MARK + w for w in new).counts(pieces, byte_score)
-                known.update((w[1:], v) for w, v in found.items())
-                for words in split:
-                    stored = [known[w] for w in words]
-                    tokens.append(sum(n for n, _ in stored))
-                    words_in.append(len(words))
-                    logs.append(sum(s for _, s in stored))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), pa.array(words_in, pa.int64()), pa.array(logs, pa.float64())], names=["doc_id", "n_tokens", "n_pretokens", "score"])
+        try:
+            yield from _counted(batches, *vocabulary_of(model_path))
+        finally:
+            if collects:
+                gc.enable()
 
     return run
 
 
+def _counted(batches, pieces: dict, byte_score: float, known: dict[str, tuple[int, float]]):
+    for batch in batches:
+        tokens, words_in, logs = [], [], []
+        for at in range(0, batch.num_rows, 1024):
+            if len(known) > CACHED_WORDS:
+                known.clear()
+            split = [PRE_TOKEN.findall(t) if t else [] for t in batch.column(1).slice(at, 1024).to_pylist()]
+            new = {w for words in split for w in words if w not in known}
+            long = {w: long_count(WORD_MARK + w, pieces, byte_score) for w in new if len(w) > TRIE_CHARS}
+            found = Trie(WORD_MARK + w for w in new if w not in long).counts(pieces, byte_score)
+            known.update((w[1:], v) for w, v in found.items())
+            for words in split:
+                stored = [known[w] if w in known else long[w] for w in words] if long else [known[w] for w in words]
+                tokens.append(sum(n for n, _ in stored))
+                words_in.append(len(words))
+                logs.append(sum(s for _, s in stored))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), pa.array(words_in, pa.int64()), pa.array(logs, pa.float64())], names=["doc_id", "n_tokens", "n_pretokens", "score"])
+
+
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_tokens, n_pretokens and the summed score of its pieces."""
     ship(docs.sparkSession)
