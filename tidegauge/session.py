@@ -73,7 +73,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Delete tables that materialise() returned, when all that was made of them is written."""
+    for table in tables:
+        path = getattr(table, "scratch_path", None)
+        if path:
+            _delete(table.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
@@ -87,7 +102,6 @@ def clear_scratch(spark: SparkSession) -> None:
     if folder is None:
         return
     try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        _delete(spark, folder)
     except Exception:  # the JVM may be gone at exit; the folder then goes with the cluster's own clean-up
         pass
