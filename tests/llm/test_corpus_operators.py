@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidegauge.llm import dedup, quality, simhash, topk
+import public_tokenizers
+from tidegauge.llm import dedup, packing, quality, simhash, surrogate, topk
 
 SCHEMA = "doc_id long, text string, lang string, id int, digest string, node long, row string"
 
@@ -428,6 +429,27 @@ def test_packed_blocks_round_trip():
 # --- pipeline --------------------------------------------------------------------------------
 
 
+def plain_pipeline(spark, rows, labels):
+    """(doc_id, text) that the pipeline packs, stage by stage in one place."""
+    from tests.llm.test_text_operators import plain_attempts
+
+    docs = docs_of(spark, rows)
+    held_out = {r.text for r in docs.filter(quality.is_held_out(F.xxhash64("text"))).collect()}
+    trusted = {i for i, q in labels if q == 1}
+    bits = plain_model([t for i, t, *_ in rows if i in trusted and t not in held_out])
+    mean, limits, pooled = plain_limits([(lang, len(t), bits(t)) for i, t, lang, *_ in rows if i in trusted and t in held_out], quality.QUANTILE)
+    left = [(i, t) for i, t, lang, *_ in rows if t and (bits(t) + quality.PRIOR_SYMBOLS * mean) / (len(t) + quality.PRIOR_SYMBOLS) <= limits.get(lang, pooled)]
+    first = {}
+    for i, t in left:
+        key = re.sub(r"[\x20\x09-\x0D]+", " ", t)
+        first[key] = min(first.get(key, i), i)
+    left = [(i, t) for i, t in left if i in set(first.values())]
+    ids = set(least_of_groups(left))
+    left = [(i, t) for i, t in left if i in ids]
+    attempts = plain_attempts([t for _, t in left])
+    return {i: surrogate.replaced(t, attempts, surrogate.KEY)[0] for i, t in left}
+
+
 def test_pipeline(spark, tmp_path):
     rows, labels = quality_rows(60)
     rng = random.Random(9)
@@ -451,4 +473,18 @@ def test_pipeline(spark, tmp_path):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "exact_dedup", "simhash_near_dedup", "pii_surrogates", "best_fit_packing"]
     assert all("kalo.mita@" not in r.text for r in left["pii_surrogates"].values())
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert {p.doc_id for p in pieces} == set(left["pii_surrogates"])
+    expected = plain_pipeline(spark, rows, labels)
+    assert {i: r.text for i, r in left["pii_surrogates"].items()} == expected
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    lengths = {i: len(encoder.whole(t)) // 4 + 1 for i, t in expected.items()}
+    assert {i: sum(p.length for p in pieces if p.doc_id == i) for i in {p.doc_id for p in pieces}} == lengths
+    bins = collections.defaultdict(list)
+    for p in pieces:
+        bins[p.sequence_id].append((p.offset, p.length))
+    assert all(sum(n for _, n in own[:k]) == at for own in map(sorted, bins.values()) for k, (at, _) in enumerate(own)) and all(sum(n for _, n in own) <= 4096 for own in bins.values())
+
+
+def test_pipeline_without_documents_or_trusted_ones(spark, tmp_path):
+    docs_of(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, text string").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

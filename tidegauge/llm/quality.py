@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.packed import pack, unpack
-from tidegauge.session import broadcast_up_to, materialise, ship
+from tidegauge.session import broadcast_up_to, drop, materialise, ship
 
 ORDER = 4
 BITS = 16
@@ -237,7 +237,9 @@ def train(texts: DataFrame) -> Model | None:
     own.append(two.select(every.alias("shard"), F.lit(2).alias("order"), "gram", "n"))
     shared = texts.sparkSession.sparkContext.broadcast(unigrams)
     dealt = own[0].union(own[1]).union(own[2]).repartition(SHARDS, "shard").sortWithinPartitions("shard")
-    return Model(materialise(dealt.mapInArrow(_build_shards(shared, discounts), "shard int, model binary"), "model"), np.log2(unigrams))
+    shards = materialise(dealt.mapInArrow(_build_shards(shared, discounts), "shard int, model binary"), "model")
+    drop(four, three, two)
+    return Model(shards, np.log2(unigrams))
 
 
 def _build_shards(shared, discounts: dict[int, list[float]]):

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.packed import pack, unpack
-from tidegauge.session import broadcast_up_to, materialise, ship
+from tidegauge.session import broadcast_up_to, drop, materialise, ship
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
@@ -485,19 +485,24 @@ def components(pairs: DataFrame) -> DataFrame:
             nxt = hooks.select(F.col("node").alias("to"), F.col("to").alias("further"))
             jumped = materialise(hooks.join(nxt, "to", "left").select("node", F.col("further").alias("to"), (F.col("further") != F.col("to")).alias("moved")), "hooks")
             settled = jumped.filter("moved").isEmpty()
-            hooks = jumped.select("node", "to")
+            drop(hooks)
+            hooks = jumped
             if settled:
                 break
         on_a, on_b = hooks.select(F.col("node").alias("a"), F.col("to").alias("ra")), hooks.select(F.col("node").alias("b"), F.col("to").alias("rb"))
-        edges = materialise(edges.join(on_a, "a").join(on_b, "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "edges")
+        left = materialise(edges.join(on_a, "a").join(on_b, "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "edges")
+        drop(edges)
+        edges = left
         if mapping is None:
             mapping = hooks
         else:
             further = hooks.select(F.col("node").alias("to"), F.col("to").alias("further"))
-            mapping = materialise(mapping.join(further, "to", "left").select("node", F.coalesce("further", "to").alias("to")), "roots")
+            joined = materialise(mapping.join(further, "to", "left").select("node", F.coalesce("further", "to").alias("to")), "roots")
+            drop(mapping, hooks)
+            mapping = joined
     if mapping is None:
-        mapping = edges.select(F.col("a").alias("node"), F.col("b").alias("to"))
-    return mapping.withColumnRenamed("to", "root")
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return mapping.select("node", F.col("to").alias("root"))
 
 
 # --- exact similarity ------------------------------------------------------------------------

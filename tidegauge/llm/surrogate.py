@@ -27,8 +27,9 @@ so are numbers of all types, without their marks. From the EASY_ATTEMPTS-th atte
 short list of exceptions, broadcast up to BROADCAST_ROWS rows; more than that reach
 their documents by a join on the mentions instead.
 
-Texts are read twice and do not shuffle (but for that join). Only entities do. The
-table of entities lies in the scratch folder and goes with it.
+Texts are read twice and do not shuffle (but for that join). Only entities do. Tables of
+entities lie in the scratch folder, the whole one until the exceptions are known; these go
+with the folder.
 
 Defined results: null and empty texts stay as they are with 0 entities; null ids and
 other columns pass through; repeated rows are replaced alike; an empty table gives an
@@ -46,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.session import materialise, ship
+from tidegauge.session import drop, materialise, ship
 
 #: Give your own: who has the key can test guesses.
 KEY = b"tidegauge"
@@ -368,7 +369,7 @@ def _candidates(key: bytes):
 
 
 def exceptions_of(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, norm, attempt) of the entities whose first surrogate collides. entities: distinct (kind, norm)."""
+    """A written table (kind, norm, attempt) of the entities whose first surrogate collides. entities: distinct (kind, norm)."""
 
     def tried(df: DataFrame) -> DataFrame:
         return materialise(df.select("kind", "norm", "attempt").mapInArrow(_candidates(key), "kind string, norm string, attempt int, candidate string"), "candidates")
@@ -393,11 +394,16 @@ def exceptions_of(entities: DataFrame, key: bytes) -> DataFrame:
             judged = judged.join(settled.select("group", "form", F.lit(True).alias("is_taken")), ["group", "form"], "left").withColumn("bad", F.col("bad") | F.col("is_taken").isNotNull())
         judged = materialise(judged.select("kind", "norm", "attempt", "candidate", "group", "form", "bad"), "judged")
         good = judged.filter(~F.col("bad")).drop("bad")
-        settled = good if settled is None else materialise(settled.union(good), "settled")
+        before, settled = settled, materialise(good if settled is None else settled.union(good), "settled")
         bad = judged.filter("bad")
-        if bad.isEmpty():
-            return settled.filter("attempt > 0").select("kind", "norm", "attempt")
-        open_rows = tried(bad.withColumn("attempt", F.col("attempt") + 1))
+        done = bad.isEmpty()
+        again = None if done else tried(bad.withColumn("attempt", F.col("attempt") + 1))
+        drop(before, open_rows, judged)
+        if done:
+            found = materialise(settled.filter("attempt > 0").select("kind", "norm", "attempt"), "exceptions")
+            drop(settled)
+            return found
+        open_rows = again
 
 
 def _replace(key: bytes, shared):
@@ -423,7 +429,8 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: bytes = KEY,
     ship(spark)
     text = F.col(text_col).cast("string")
     entities = materialise(docs.select(text).mapInArrow(_find_rows(False), "kind string, norm string").distinct(), "entities")
-    exceptions = materialise(exceptions_of(entities, key), "exceptions")
+    exceptions = exceptions_of(entities, key)
+    drop(entities)
     rest = [c for c in docs.columns if c not in (text_col, "n_entities")]
     row = F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))
     rows = docs.select(row.alias("row"), text.alias("text"))
