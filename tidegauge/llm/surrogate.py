@@ -93,7 +93,7 @@ LONGEST_WORD = 1000
 _GIVEN = "|".join([*KIND_OF_NAME, *(n.upper() for n in KIND_OF_NAME)])
 NAMED = re.compile(rf"\b(?P<title>{_TITLE})\b\.?(?P<gap>\s+)(?P<words>{_PARTICLES}{_WORD}(?:\s+{_PARTICLES}{_WORD})*)|(?<![\w-])(?P<given>{_GIVEN})\b(?:-[^\W\d_]+)*(?P<rest>(?:\s+{_PARTICLES}{_WORD})+)")
 # Words before or after a full name that say that it is one, words between names, and words that begin a sentence but no name.
-_BEFORE = "met|written by|signed by|sent by|letter from|mail from|message from|spoke to|spoke with|talked to|talked with|married to|called|named|dear|hi|hello|regards|sincerely|contact|patient|client|customer|employee|author|name is|name was|i am|this is|signed|told|asked|married"
+_BEFORE = "met|written by|signed by|sent by|letter from|mail from|message from|spoke to|spoke with|talked to|talked with|married to|called|named|dear|hi|hello|regards|sincerely|contact|patient|client|customer|employee|author|my name is|his name is|her name is|signed|told|asked|married"
 _AFTER = "said|says|wrote|writes|met|told|asked|called|lives|lived|works|worked|was born|born|married|died|joined|signed|replied|answered|agreed|explained|reported|added"
 _BETWEEN = r"(?:\s*,\s*|\s+(?:and|or|und|et|y|e)\s+)"
 _STARTERS = "The|A|An|This|That|These|Those|In|On|At|By|For|From|With|To|And|But|Or|If|When|While|After|Before|Then|There|Here|Yesterday|Today|Tomorrow|Dear|Hi|Hello|I|It|We|You|He|She|They|My|Our|Your|His|Her|Their|Later"
@@ -101,7 +101,8 @@ _FULL = rf"(?!(?:{_STARTERS})\b){_WORD}(?:[ \t]+{_PARTICLES}{_WORD}){{1,3}}(?!\w
 _FULLS = rf"{_FULL}(?:{_BETWEEN}{_FULL})*"
 #: A full name of any words, known by what stands beside it.
 IN_CONTEXT = re.compile(rf"(?<!\w)(?i:{_BEFORE})[ \t]*[,:]?[ \t]+(?P<after>{_FULLS})|(?<![\w-])(?P<before>{_FULLS})(?=,?[ \t]+(?:{_AFTER})(?!\w))")
-CONTEXT_WORDS = frozenset(w for cue in (_BEFORE, _AFTER) for x in cue.split("|") for w in x.split()[-1:])
+#: The longest word of each of these: a text without them needn't be searched.
+CONTEXT_WORDS = frozenset(max(cue.split(), key=len) for cues in (_BEFORE, _AFTER) for cue in cues.split("|"))
 TWO_CAPITALS = re.compile(rf"(?<!\w){_WORD}[ \t]+{_PARTICLES}{_WORD}")
 FULL = re.compile(_FULL)
 WORD = re.compile(_WORD)
@@ -171,6 +172,10 @@ def _whole_words(text: str, windows):
         last = max(last, b)
 
 
+def _bare(word: str) -> str:
+    return word.strip(".,:;!?\"'()")
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, in order and apart."""
     found = []
@@ -181,13 +186,13 @@ def find(text: str) -> list[tuple[int, int, str]]:
                 continue  # no card has it
             found.append((*match.span(name), name.rstrip("1")))
     listed = not NAME_WORDS.isdisjoint(CAPITALISED.findall(text))
-    in_context = TWO_CAPITALS.search(text) is not None and not CONTEXT_WORDS.isdisjoint(text.lower().split())
+    in_context = not CONTEXT_WORDS.isdisjoint(map(_bare, text.lower().split())) and TWO_CAPITALS.search(text) is not None
     if listed or in_context:
-        found = sorted(found + _names(text, found, in_context))
+        found = sorted(found + _names(text, found, listed, in_context))
     return found
 
 
-def _names(text: str, taken: list[tuple[int, int, str]], in_context: bool) -> list[tuple[int, int, str]]:
+def _names(text: str, taken: list[tuple[int, int, str]], listed: bool, in_context: bool) -> list[tuple[int, int, str]]:
     """Words of full mentions of persons, then what else the text has of these words. taken: in order and apart."""
     starts = [a for a, _, _ in taken]
 
@@ -197,7 +202,7 @@ def _names(text: str, taken: list[tuple[int, int, str]], in_context: bool) -> li
 
     names: dict[int, tuple[int, int, str]] = {}
     known: dict[str, str] = {}
-    spans = [match.span("words") if match["title"] else match.span() for match in NAMED.finditer(text)]
+    spans = [match.span("words") if match["title"] else match.span() for match in NAMED.finditer(text)] if listed else []
     if in_context:
         spans += [span for match in IN_CONTEXT.finditer(text) for full in FULL.finditer(text, *match.span(match.lastgroup)) for span in [full.span()]]
     for first, last in spans:
