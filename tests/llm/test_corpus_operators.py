@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import public_tokenizers
 from tidegauge.llm import dedup, packing, quality, simhash, surrogate, topk
+from tidegauge.session import materialise
 
 SCHEMA = "doc_id long, text string, lang string, id int, digest string, node long, row string"
 
@@ -31,7 +32,7 @@ def copies(seed=1, n=300):
     return [*rows, (None, "null id"), (None, "c"), (3, rows[3][1]), (500, "\xa0"), (501, " \xa0")]
 
 
-@pytest.mark.parametrize("max_cells,groups", [(1 << 16, 0), (dedup.MAX_CELLS, dedup.BROADCAST_GROUPS)])
+@pytest.mark.parametrize("max_cells,groups", [(1 << 10, 0), (dedup.MAX_CELLS, dedup.BROADCAST_GROUPS)])
 def test_group_members(spark, monkeypatch, max_cells, groups):
     monkeypatch.setattr(dedup, "BROADCAST_GROUPS", groups)
     rows = copies()
@@ -64,10 +65,19 @@ def test_the_filter_passes_no_repeated_digest(spark):
     rng = np.random.default_rng(0)
     digests = [rng.bytes(32) for _ in range(3000)]
     table = spark.createDataFrame([(bytearray(d),) for d in digests + digests[:500]], "digest binary").repartition(5)
-    found = dedup.repeated_cells(table, 3500)
-    suspects = {bytes(r.digest) for r in dedup.maybe_repeated(table, *found).collect()}
-    assert set(digests[:500]) <= suspects and len(suspects) < 700
-    assert {bytes(r.digest) for r in dedup.maybe_repeated(table, *found, repeated=False).collect()} == set(digests) - suspects
+    for max_cells, n in ((dedup.MAX_CELLS, 1), (1 << 14, 4)):
+        assert len(dedup.slices(table, 3500, max_cells)) == n
+        rows = dedup.marked(table, 3500, max_cells).collect()
+        assert collections.Counter(bytes(r.digest) for r in rows) == collections.Counter(digests + digests[:500])
+        suspects = {bytes(r.digest) for r in rows if r.suspect}
+        assert set(digests[:500]) <= suspects and len(suspects) < 700
+        assert not suspects & {bytes(r.digest) for r in rows if not r.suspect}
+
+
+def test_a_slice_reads_only_its_range(spark):
+    table = materialise(docs_of(spark, copies()).select(dedup.text_digest(F.col("text")).alias("digest")).sortWithinPartitions("digest"), "digests")
+    plan = dedup.slices(table, 300, 1 << 10)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(digest" in plan and "LessThan(digest" in plan
 
 
 # --- near duplicates -------------------------------------------------------------------------

@@ -8,8 +8,10 @@ rest shuffle, 50 bytes each, to be grouped exactly.
 
 The cells hit by a task travel as sorted 16-bit offsets per segment, so what is
 shuffled grows with the rows and not with rows times tasks. The filter has 16
-cells a row up to `max_cells` (32 MB when broadcast); beyond that more rows than
-needed count as possibly repeated, which costs shuffle and never changes a result.
+cells a row at every size. What is broadcast at once is at most `max_cells` bits
+(32 MB): a larger filter is cut by ranges of the hash into slices, which are
+filled and asked one after the other. The hashes are written in order within
+each file, so that a slice reads only the pages of its range.
 
 Defined results: a null text is the empty text; a null id counts as larger than
 any other id; among rows with equal text and equal smallest id, one stays; an
@@ -19,16 +21,22 @@ through keep_first() unchanged and play no part in group_members().
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidegauge.session import broadcast_up_to, materialise, ship
+from tidegauge.session import broadcast_up_to, drop, materialise, ship
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 HASHES = 4
 SEGMENT_BITS = 16
+CELLS_PER_ROW = 16
+#: Cells of a slice of the filter, a bit each where it is broadcast.
 MAX_CELLS = 1 << 28
 #: Groups that go to every executor at most, 60 bytes each; more meet the rows that may be repeated in a shuffle.
 BROADCAST_GROUPS = 500_000
@@ -41,15 +49,15 @@ def text_digest(text: Column) -> Column:
 
 def cell_count(rows: int, max_cells: int = MAX_CELLS) -> int:
     cells = 1 << SEGMENT_BITS
-    while cells < 16 * rows and cells < max_cells:
+    while cells < CELLS_PER_ROW * rows and cells < max_cells:
         cells *= 2
     return cells
 
 
 def _cells(digests: pa.Array, cells: int) -> np.ndarray:
-    """The HASHES cells of each digest, one row a digest."""
+    """The HASHES cells of each digest, one row a digest; from its end, as its start says which slice it belongs to."""
     raw = b"".join(digests.to_pylist())
-    words = np.frombuffer(raw, dtype="<u4").reshape(-1, 8)[:, :HASHES]
+    words = np.frombuffer(raw, dtype="<u4").reshape(-1, 8)[:, -HASHES:]
     return words & np.uint32(cells - 1)
 
 
@@ -113,36 +121,56 @@ def repeated_cells(digests: DataFrame, rows: int, max_cells: int = MAX_CELLS) ->
     return cells, bits.tobytes()
 
 
-def maybe_repeated(digests: DataFrame, cells: int, bits: bytes, repeated: bool = True) -> DataFrame:
-    """Pass two: the rows whose digest may occur twice; or the others, which occur once for certain."""
-    shared = digests.sparkSession.sparkContext.broadcast(bits)
-
+def _mark(shared: Broadcast, cells: int):
     def run(batches):
         table = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             at = _cells(batch.column("digest"), cells)
             hit = ((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
-            yield batch.filter(pa.array(hit if repeated else ~hit, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit, pa.bool_())], names=[*batch.schema.names, "suspect"])
+
+    return run
 
-    return digests.mapInArrow(run, digests.schema)
+
+def slices(digests: DataFrame, rows: int, max_cells: int = MAX_CELLS) -> list[DataFrame]:
+    """The table cut by ranges of the digest, as many as let each have a filter of at most max_cells."""
+    n = max(1, -(-CELLS_PER_ROW * rows // max_cells))
+    starts = [bytearray((i * (1 << 32) // n).to_bytes(4, "big")) for i in range(n)]
+    out = []
+    for i, low in enumerate(starts):
+        part = digests.filter(F.col("digest") >= F.lit(low)) if i else digests
+        out.append(part.filter(F.col("digest") < F.lit(starts[i + 1])) if i + 1 < n else part)
+    return out
+
+
+def marked(digests: DataFrame, rows: int, max_cells: int = MAX_CELLS) -> DataFrame:
+    """Both passes over a written table, slice by slice. suspect: the row's digest may occur twice; else it occurs once for certain."""
+    spark, parts = digests.sparkSession, slices(digests, rows, max_cells)
+    schema = T.StructType([*digests.schema.fields, T.StructField("suspect", T.BooleanType())])
+    done = []
+    for part in parts:
+        cells, bits = repeated_cells(part, -(-rows // len(parts)), max_cells)
+        shared = spark.sparkContext.broadcast(bits)
+        done.append(materialise(part.mapInArrow(_mark(shared, cells), schema), "marked"))
+        shared.destroy()
+    return reduce(DataFrame.unionAll, done)
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, max_cells: int):
     """Rows (id, digest, row_key) that occur once, those that may be repeated, and the groups of two or more rows."""
     ship(docs.sparkSession)
-    table = materialise(
-        docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest")).withColumn("row_key", F.monotonically_increasing_id()),
-        "digests",
-    )
-    found = repeated_cells(table, table.count(), max_cells)
-    suspects = maybe_repeated(table, *found)
+    own = docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest")).withColumn("row_key", F.monotonically_increasing_id())
+    table = materialise(own.sortWithinPartitions("digest"), "digests")
+    rows = marked(table, table.count(), max_cells)
+    drop(table)
+    suspects = rows.filter("suspect").drop("suspect")
     groups = suspects.groupBy("digest").agg(
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row_key"))).alias("first"),
     )
     groups = groups.filter("group_size > 1").select("digest", "group_size", F.col("first.id").alias("keep_id"), F.col("first.row_key").alias("keep_key"))
     # written, so that the join below shuffles both its sides itself and the adaptive planner can split a hot group
-    return maybe_repeated(table, *found, repeated=False), suspects, materialise(groups, "groups")
+    return rows.filter("not suspect").drop("suspect"), suspects, materialise(groups, "groups")
 
 
 def group_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_cells: int = MAX_CELLS) -> DataFrame:
