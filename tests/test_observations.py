@@ -1,5 +1,6 @@
 """Outcomes of the small inputs, which were worked out by hand."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests import fixtures as fx
 from tidegauge.functions import vocab
-from tidegauge.operators import derive, events, logic, meta, parse, route, sinks, threshold
+from tidegauge.operators import analysis, derive, events, logic, meta, parse, route, sinks, threshold
 from tidegauge.plans import jobs
 from tidegauge.sources import registry as reg
 from tidegauge.sources.streams import lines_of, logger_file, queued, text_lines
@@ -226,6 +227,19 @@ def test_chunks_of_running_sums_change_nothing(spark):
         assert all(whole[i][0] == cut[i][0] == i + 1 and (whole[i][1] is None) == (cut[i][1] is None) == (i == 0) and (i == 0 or whole[i][1] == pytest.approx(cut[i][1], rel=1e-9)) for i in whole)
 
 
+def test_blocks_of_a_series_change_nothing(spark):
+    """Rows copied between blocks of three rows give what one block gives, also where a series is shorter than the window."""
+    rng = random.Random(5)
+    rows = [(i, f, "p", "o", rng.randrange(40) * 1000, None if i % 7 == 0 else rng.random()) for i, f in enumerate(["a"] * 60 + ["b"] * 2)]
+    obs = spark.createDataFrame(rows, "seq long, feature string, procedure string, observableproperty string, t_ms long, value double")
+    for f, *args in ((analysis.rolling, [5, 14]), (analysis.step_at, 3), (analysis.step_at, -2), (analysis.teda_sigma, 5), (analysis.teda_sigma, 5, True), (analysis.teda_delta, 1000)):
+        whole, cut = (sorted(map(tuple, f(obs, *args, block=b).collect()), key=str) for b in (1 << 16, 3))
+        assert len(whole) == len(cut) and all(x == pytest.approx(y, nan_ok=True) if isinstance(x, float) else x == y for r, q in zip(whole, cut) for x, y in zip(r, q))
+    by_time = sorted((r for r in rows if r[1] == "a" and r[5] is not None), key=lambda r: (r[4], r[0]))
+    steps = {r.seq: r.step for r in analysis.step_at(obs, 3, block=4).filter("feature = 'a'").collect()}
+    assert steps == {r[0]: by_time[i + 3][5] - r[5] if i + 3 < len(by_time) else None for i, r in enumerate(by_time)}
+
+
 def test_a_prepared_registry_moves_no_observations(spark, registry):
     own = reg.prepared(registry)
     obs = observed(spark, own, fx.RANGE)

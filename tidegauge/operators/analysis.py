@@ -4,20 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.text import utc
 from tidegauge.functions.vocab import SERIES
+from tidegauge.operators.along import BLOCK_ROWS, BY_TIME, CHUNK_MS, around, so_far, window
 from tidegauge.sources.registry import WINDOWS
 
 HOUR = 3_600_000
 
 
-def _by_time() -> Window:
-    return Window.partitionBy(*SERIES).orderBy("t_ms", "seq")
-
-
 # --- bounds ----------------------------------------------------------------------------------
 
 
@@ -53,22 +50,25 @@ def clean(obs: DataFrame) -> DataFrame:
     return obs.filter("value is not null").withColumns({"year": F.year(at), "day": F.dayofyear(at), "hour": F.hour(at)}).dropDuplicates([*SERIES, "t_ms", "value"])
 
 
-def rolling(obs: DataFrame, widths: Sequence[int]) -> DataFrame:
+def rolling(obs: DataFrame, widths: Sequence[int], block: int = BLOCK_ROWS) -> DataFrame:
     """For each width (an even one is made odd): min, max and standard deviation over the rows around each; null where some are missing."""
-    rows = obs.filter("value is not null")
     columns: dict[str, Column] = {}
     for width in widths:
         half = width // 2
-        w = _by_time().rowsBetween(-half, half)
+        w = window(BY_TIME, -half, half)
         whole = F.count("value").over(w) == 2 * half + 1
         for name, f in (("min", F.min), ("max", F.max), ("sd", F.stddev_samp)):
             columns[f"{name}_{width}"] = F.when(whole, f("value").over(w))
-    return rows.select("seq", *SERIES, "t_ms", "value", *(c.alias(n) for n, c in columns.items()))
+    reach = max((w // 2 for w in widths), default=0)
+    seen = around(obs.filter("value is not null").select("seq", *SERIES, "t_ms", "value"), columns, BY_TIME, reach, reach, block)
+    return seen.select("seq", *SERIES, "t_ms", "value", *columns)
 
 
-def step_at(obs: DataFrame, distance: int) -> DataFrame:
+def step_at(obs: DataFrame, distance: int, block: int = BLOCK_ROWS) -> DataFrame:
     """The value so many rows on, less this one."""
-    return obs.filter("value is not null").select("seq", *SERIES, "t_ms", (F.lead("value", distance).over(_by_time()) - F.col("value")).alias("step"))
+    rows = obs.filter("value is not null").select("seq", *SERIES, "t_ms", "value")
+    seen = around(rows, {"step": F.lead("value", distance).over(window(BY_TIME)) - F.col("value")}, BY_TIME, max(0, -distance), max(0, distance), block)
+    return seen.select("seq", *SERIES, "t_ms", "step")
 
 
 def weighted_forecast(history: DataFrame, targets: DataFrame, hours: int = 2, days: int = 7, year_width: float = 1.0, day_width: float = 3.0, hour_width: float = 1.0) -> DataFrame:
@@ -98,25 +98,10 @@ def weighted_forecast(history: DataFrame, targets: DataFrame, hours: int = 2, da
 # --- eccentricity ----------------------------------------------------------------------------
 
 
-#: Milliseconds of a series that one window adds up; values between which one window ranks.
-CHUNK_MS = 30 * 24 * HOUR
+#: Parts of a series, by value, that one window ranks.
 SPLITS = 64
 
 
-def so_far(rows: DataFrame, sums: dict[str, Column], chunk: Column, order: list[str]) -> DataFrame:
-    """Adds running sums, the row's own included, of the series in an order that chunks follow.
-
-    Each chunk is a window of its own, and the totals of the chunks before make up for the rest: no series is one task's work.
-    """
-    own = rows.withColumns({"chunk": chunk} | {f"one_{n}": c for n, c in sums.items()})
-    within = Window.partitionBy(*SERIES, "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*SERIES).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = own.groupBy(*SERIES, "chunk").agg(*(F.sum(f"one_{n}").alias(f"all_{n}") for n in sums))
-    offsets = totals.select(*SERIES, "chunk", *(F.coalesce(F.sum(f"all_{n}").over(before), F.lit(0)).alias(f"upto_{n}") for n in sums))
-    joined = own.withColumns({n: F.sum(f"one_{n}").over(within) for n in sums}).join(offsets, [*SERIES, "chunk"])
-    return joined.withColumns({n: F.col(n) + F.col(f"upto_{n}") for n in sums}).drop("chunk", *(f"one_{n}" for n in sums), *(f"upto_{n}" for n in sums))
-
-
 def teda_batch(obs: DataFrame) -> DataFrame:
     """Of each value among all of its series: eccentricity 2 * sum |x - y| / sum of all such sums, typicality, their normal forms, and the threshold 1 / k.
 
@@ -165,19 +150,20 @@ def teda_2014(obs: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
     return summed.select("seq", *SERIES, "t_ms", "value", "k", ecc.alias("eccentricity"))
 
 
-def teda_delta(obs: DataFrame, gap_ms: int = HOUR) -> DataFrame:
+def teda_delta(obs: DataFrame, gap_ms: int = HOUR, block: int = BLOCK_ROWS) -> DataFrame:
     """Eccentricity of the steps between values exactly a gap apart."""
-    rows = obs.filter("value is not null")
-    steps = rows.withColumns({"before": F.lag("value").over(_by_time()), "gap": F.col("t_ms") - F.lag("t_ms").over(_by_time())})
+    w = window(BY_TIME)
+    rows = obs.filter("value is not null").select("seq", *SERIES, "t_ms", "value")
+    steps = around(rows, {"before": F.lag("value").over(w), "gap": F.col("t_ms") - F.lag("t_ms").over(w)}, BY_TIME, 1, 0, block)
     return teda_2016(steps.filter(F.col("gap") == gap_ms).withColumn("step", F.col("before") - F.col("value")), "step")
 
 
-def teda_sigma(obs: DataFrame, n: int, tumbling: bool = False) -> DataFrame:
+def teda_sigma(obs: DataFrame, n: int, tumbling: bool = False, block: int = BLOCK_ROWS) -> DataFrame:
     """Eccentricity of the variance over n rows around each (tumbling: of every (n-1)th such window)."""
     half = n // 2
-    w = _by_time().rowsBetween(-half, half)
-    rows = obs.filter("value is not null")
-    varied = rows.withColumns({"whole": F.count("value").over(w) == 2 * half + 1, "variance": F.var_samp("value").over(w), "i": F.row_number().over(_by_time())}).filter("whole")
+    w = window(BY_TIME, -half, half)
+    rows = obs.filter("value is not null").select("seq", *SERIES, "t_ms", "value")
+    varied = around(rows, {"whole": F.count("value").over(w) == 2 * half + 1, "variance": F.var_samp("value").over(w)}, BY_TIME, half, half, block).filter("whole")
     if tumbling:
-        varied = varied.filter(F.pmod(F.col("i") - half - 1, F.lit(max(1, n - 1))) == 0)
+        varied = varied.filter(F.pmod(F.col("place") - half - 1, F.lit(max(1, n - 1))) == 0)
     return teda_2016(varied, "variance")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import vocab
 from tidegauge.functions.text import time_key
 from tidegauge.functions.vocab import SERIES
+from tidegauge.operators.along import around, window
 from tidegauge.operators.logic import KEEP, verdict
 
 HOURS = {"1h": 1, "12h": 12, "24h": 24}
@@ -46,8 +47,11 @@ def range_check(obs: DataFrame, qc_test: DataFrame, qc_bound: DataFrame) -> Data
     return _outcomes(apply_bounds(rows, qc_test, qc_bound, "range", F.lit(vocab.RANGE)))
 
 
-def _arrival(obs: DataFrame) -> Window:
-    return Window.partitionBy(*SERIES).orderBy("seq", *(["tie"] if "tie" in obs.columns else []))
+def _neighbours(obs: DataFrame, before: int) -> DataFrame:
+    """Structs of ROW: each row and those so many before it, in order of arrival, as n0 (itself), n1, ..."""
+    rows, this = numeric(obs), F.struct(*ROW)
+    order = ("seq", *(["tie"] if "tie" in rows.columns else []))
+    return around(rows, {f"n{i}": F.lag(this, i).over(window(order)) if i else this for i in range(before + 1)}, order, before, 0)
 
 
 ROW = ["t_ms", "seq", "value", "year", "month"]
@@ -63,9 +67,7 @@ def step_outcomes(pairs: DataFrame, qc_test: DataFrame, qc_bound: DataFrame) ->
 
 def delta_step(obs: DataFrame, qc_test: DataFrame, qc_bound: DataFrame) -> DataFrame:
     """The distance of two neighbours in arrival, with an outcome for both; bounds are those at the older one's time."""
-    rows = numeric(obs)
-    this = F.struct(*ROW)
-    pairs = rows.select(*SERIES, this.alias("b"), F.lag(this).over(_arrival(rows)).alias("a")).filter("a is not null")
+    pairs = _neighbours(obs, 1).select(*SERIES, F.col("n1").alias("a"), F.col("n0").alias("b")).filter("a is not null")
     return step_outcomes(pairs, qc_test, qc_bound)
 
 
@@ -81,9 +83,7 @@ def spike_outcomes(threes: DataFrame, qc_test: DataFrame, qc_bound: DataFrame) -
 
 def delta_spike(obs: DataFrame, qc_test: DataFrame, qc_bound: DataFrame) -> DataFrame:
     """By how much the way over the middle one of three neighbours is longer than the direct one; an outcome for the middle one by time, with the bounds at the time of the first that arrived."""
-    rows = numeric(obs)
-    this, w = F.struct(*ROW), _arrival(rows)
-    threes = rows.select(*SERIES, F.lag(this, 2).over(w).alias("first"), F.lag(this, 1).over(w).alias("a"), this.alias("b")).filter("first is not null")
+    threes = _neighbours(obs, 2).select(*SERIES, F.col("n2").alias("first"), F.col("n1").alias("a"), F.col("n0").alias("b")).filter("first is not null")
     return spike_outcomes(threes, qc_test, qc_bound)
 
 
