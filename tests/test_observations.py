@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tests import fixtures as fx
 from tidegauge.functions import vocab
 from tidegauge.operators import analysis, derive, events, logic, meta, parse, route, sinks, threshold
 from tidegauge.plans import jobs
+from tidegauge.session import scratch_folder
 from tidegauge.sources import registry as reg
 from tidegauge.sources.streams import lines_of, logger_file, queued, text_lines
 
@@ -151,6 +153,11 @@ def test_text_round_trip_and_upsert(spark, registry, tmp_path):
     sinks.upsert(new.withColumns({"quantitative": F.lit(-999.0), "seq": F.lit(10**6).cast("long")}), path)
     table = spark.read.parquet(path)
     assert table.count() == n and table.filter("quantitative = -999").count() == new.select(*sinks.OUTCOME_KEY).distinct().count()
+    assert not list(Path(scratch_folder(spark).removeprefix("file://")).glob("upsert-*"))
+    files = set(map(str, (tmp_path / "outcomes").glob("year=*/month=*/*.parquet")))
+    later = rows.limit(1).withColumns({"year": F.lit(2031), "month": F.lit(1)})
+    sinks.upsert(later, path)
+    assert files < set(map(str, (tmp_path / "outcomes").glob("year=*/month=*/*.parquet"))) and spark.read.parquet(path).count() == n + 1
     sinks.write_partitioned(rows, str(tmp_path / "plain"))
     assert spark.read.parquet(str(tmp_path / "plain")).count() == rows.count()
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.vocab import SERIES
-from tidegauge.session import materialise
+from tidegauge.session import drop, materialise
 
 OUTCOME_KEY = [*SERIES, "t_ms", "qualifier"]
 
@@ -27,7 +27,11 @@ def write_partitioned(rows: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def upsert(rows: DataFrame, path: str, key: Sequence[str] = tuple(OUTCOME_KEY), order: Sequence[str] = ("seq",)) -> None:
-    """Into a partitioned table: months that `rows` touches are rewritten from the old rows and the new, others stay."""
+    """Into a partitioned table: months that `rows` touches are rewritten from the old rows and the new, others stay.
+
+    What a month will hold is written to scratch first and stays there until the table has it. A failure while tasks write
+    leaves the table as it was; one while the months are moved into place may leave some old and some missing.
+    """
     spark = rows.sparkSession
     months = rows.select("year", "month").distinct()
     try:
@@ -37,7 +41,9 @@ def upsert(rows: DataFrame, path: str, key: Sequence[str] = tuple(OUTCOME_KEY),
             raise
         old = rows.limit(0)  # the first write
     merged = materialise(latest(old.unionByName(rows), key, order).select(*rows.columns), "upsert")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+    dealt = merged.repartition("year", "month", F.pmod(F.xxhash64(*key), F.lit(16))).sortWithinPartitions(*key)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+    drop(merged)
 
 
 def fan_out(sinks: dict[str, Callable[[DataFrame], DataFrame]], folder: str) -> Callable[[DataFrame, int], None]:
