@@ -195,6 +195,58 @@ def test_recall_and_exactness_of_keep_one(spark):
     assert sum(i % 2 == 1 and i < 300 and i not in kept for i, _ in rows) >= 0.9 * len(near)
 
 
+def hard_rows():
+    """Links that fingerprints of texts miss or nearer links hide: pairs at the bound, repeated lines, and a group of copies around the bound."""
+    rng, texts = random.Random(6), [t for pair in pairs_of_similarity(0.8, 0.81, 60, 7) + pairs_of_similarity(0.78, 0.8, 40, 8) for t in pair]
+    vocabulary = ["".join(rng.choice("nopqrstuv") for _ in range(6)) for _ in range(3000)]
+    for _ in range(5):  # alike as sets of shingles, or (the last) far from the first though its bits are alike
+        line, text, other = (" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (6, 60, 60))
+        texts += [f"{text} {line} {line}", text + f" {line}" * 90, other + f" {line}" * 90]
+    centre = [rng.choice(vocabulary) for _ in range(150)]
+    for _ in range(250):
+        edited = list(centre)
+        for _ in range(rng.choice([1, 2, 4, 6, 9])):
+            edited[rng.randrange(len(edited))] = rng.choice(vocabulary)
+        texts.append(" ".join(edited))
+    rng.shuffle(texts)
+    return [*enumerate(texts), (None, "null id"), (900, None), (901, "")]
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 8])
+def test_keep_one_loses_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rows = hard_rows()
+    kept = [math.inf if r.doc_id is None else r.doc_id for r in simhash.keep_one(docs_of(spark, rows)).collect()]
+    assert sorted(kept) == least_of_groups(rows)
+
+
+def test_missed_links_alone_find_all_groups(spark):
+    """Without any link from fingerprints; the likeliest link of a node and a group is not the only one looked at."""
+    rows = hard_rows()[:-3]
+    prints = materialise(simhash.set_table(docs_of(spark, rows), "doc_id", "text", 5, 1), "prints")
+    nodes = materialise(prints.groupBy("set_key", "w0").agg(F.count("*").alias("rows"), F.min("row").alias("node")), "nodes")
+    none = materialise(spark.createDataFrame([], "node long, root long"), "roots")
+    found = simhash.missed_links(prints, nodes, none, ["set_key", "w0"], 0.8)
+    prints = prints.collect()
+    names, equal = {r.row: r.id for r in prints}, {r.set_key: r.id for r in prints}
+    edges = [(names[a], names[b]) for a, b in found.collect()] + [(r.id, equal[r.set_key]) for r in prints]
+    label = simhash.merge(np.arange(len(rows)), *np.array(edges).T)
+    assert sorted(set(label.tolist())) == least_of_groups(rows)
+
+
+def test_sets_of_the_similarity_share_a_rare_shingle():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(2, 9, 1 << simhash.SKETCH_BITS).astype(np.uint32)
+    for n in [*range(1, 40), 400]:
+        for gone in range(n // 5 + 1):
+            one = np.unique(rng.integers(0, 1 << simhash.HASH_BITS, n, dtype=np.uint64))
+            for other in (one[rng.permutation(len(one))[gone:]], np.r_[one[rng.permutation(len(one))[gone // 2 :]], rng.integers(0, 1 << simhash.HASH_BITS, gone // 2, dtype=np.uint64)]):
+                both = len(np.intersect1d(one, other))
+                if both >= 0.8 * (len(one) + len(other) - both):
+                    (a, _), (b, _) = simhash.prefix(one, counts, 0.8), simhash.prefix(np.unique(other), counts, 0.8)
+                    assert len(np.intersect1d(a, b))
+
+
 def test_spanning_links_connect_and_prefer_the_first():
     rng = np.random.default_rng(5)
     a, b = rng.integers(0, 200, (2, 900))

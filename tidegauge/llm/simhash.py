@@ -24,10 +24,12 @@ like any other; repeated rows each get a row; a null id never names a component
 unless all ids in it are null; an empty table gives an empty result; columns other
 than id and text are not read (keep_one() passes them through).
 
-keep_one() looks at each link again by the exact similarity of the two texts. A large bucket
-returns its nearest links first and of those only what connects, so links to look at grow
-with nodes as well; of links that hold, none is lost unless nearer ones between the same
-groups fail.
+keep_one() takes fingerprints of sets of shingles and looks at each link again by the exact
+similarity of the two sets. A large bucket returns its nearest links first and of those only
+what connects, so links to look at grow with nodes as well. What this leaves out (links beyond
+the distance, and links that hold where nearer ones between the same groups fail) is found by
+missed_links(): two sets of at least the similarity share one of their rarest shingles, so
+all pairs of different groups that do are looked at. Groups are then those of all pairs.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.packed import pack, unpack
@@ -64,6 +66,11 @@ BANDS = 3
 LINKS_A_TASK = 500
 #: Bits kept of a shingle's hash for exact similarities.
 HASH_BITS = 40
+#: Cells that count shingles, to tell rare ones from frequent ones; any counts give the same links.
+SKETCH_BITS = 20
+SKETCH_PARTS = 64
+#: A float's error in a bound on counts of shingles is less.
+SLACK = 1e-6
 
 
 def shingle_hashes(text: str | None, words_each: int = SHINGLE_WORDS) -> np.ndarray:
@@ -91,7 +98,10 @@ def mixed(hashes: np.ndarray, table: int) -> np.ndarray:
 
 def fingerprint(text: str | None, words_each: int = SHINGLE_WORDS, tables: int = 1) -> list[int]:
     """For each table 64 bits: a bit is set if it is in over half the hashes of the shingles, repeats included."""
-    hashes = shingle_hashes(text, words_each)
+    return fingerprint_of(shingle_hashes(text, words_each), tables)
+
+
+def fingerprint_of(hashes: np.ndarray, tables: int) -> list[int]:
     return [int((bit_counts(mixed(hashes, t)) * 2 > len(hashes)) @ (np.uint64(1) << np.arange(64, dtype=np.uint64))) for t in range(tables)]
 
 
@@ -129,6 +139,28 @@ def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, words_each: i
     return rows.mapInArrow(_fingerprints(words_each, tables), f"id {kind}, text_key long, {_longs(words(tables))}")
 
 
+def _set_prints(words_each: int, tables: int):
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [np.unique(shingle_hashes(t, words_each)) for t in part.column(1).to_pylist()]
+                columns = np.array([fingerprint_of(x, tables) for x in sets], np.uint64).reshape(-1, tables).view(np.int64).T
+                keys = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+                packed = [pack([np.unique(x >> np.uint64(64 - HASH_BITS))]) for x in sets]
+                arrays = [part.column(0), part.column(2), part.column(3), pa.array(keys, pa.int64()), pa.array(packed, pa.binary()), *(pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "text_key", "row", "set_key", "shingles", *words(tables)])
+
+    return run
+
+
+def set_table(docs: DataFrame, id_col: str, text_col: str, words_each: int, tables: int) -> DataFrame:
+    """For each row a number of its own, the key of its set of shingles, the set (of HASH_BITS a shingle), and the set's fingerprints."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select("id", "text", F.xxhash64("text").alias("text_key"), F.monotonically_increasing_id().alias("row"))
+    return rows.mapInArrow(_set_prints(words_each, tables), f"id {kind}, text_key long, row long, set_key long, shingles binary, {_longs(words(tables))}")
+
+
 # --- partitions and thresholds ---------------------------------------------------------------
 
 
@@ -508,20 +540,6 @@ def components(pairs: DataFrame) -> DataFrame:
 # --- exact similarity ------------------------------------------------------------------------
 
 
-def shingle_set(text: str | None, words_each: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text, words_each) >> np.uint64(64 - HASH_BITS))
-
-
-def _sets(words_each: int):
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                packed = [pack([shingle_set(t, words_each)]) for t in batch.column(1).slice(at, 256).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(packed, pa.binary())], names=["node", "shingles"])
-
-    return run
-
-
 def _similar(similarity: float):
     def run(batches):
         for batch in batches:
@@ -535,12 +553,13 @@ def _similar(similarity: float):
     return run
 
 
-def similar_links(pairs: DataFrame, texts: DataFrame, words_each: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts have at least this Jaccard similarity of their sets of shingles. texts: (node, text) for all nodes of the pairs, one or more alike for each.
+def similar_links(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have at least this Jaccard similarity. pairs: a written table of rows of prints.
 
     A node of many links is copied, so that no task has them all.
     """
-    sets = materialise(texts.mapInArrow(_sets(words_each), "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+    asked = broadcast_up_to(materialise(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "asked"), BROADCAST_KEYS)
+    sets = materialise(prints.select(F.col("row").alias("node"), "shingles").join(asked, "node"), "shingles")
     met = pairs.select("a", "b")
     for side, other in (("a", "b"), ("b", "a")):
         hubs = pairs.groupBy(F.col(side).alias("node")).agg(F.ceil(F.count(F.lit(1)) / LINKS_A_TASK).alias("copies")).filter("copies > 1")
@@ -551,6 +570,119 @@ def similar_links(pairs: DataFrame, texts: DataFrame, words_each: int, similarit
     return met.select("a", "b", "of_a", "of_b").mapInArrow(_similar(similarity), "a long, b long")
 
 
+def _tallies(batches):
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    for batch in batches:
+        for packed in batch.column(0):
+            np.add.at(counts, unpack(packed.as_py(), ["<u8"])[0] >> np.uint64(HASH_BITS - SKETCH_BITS), 1)
+    if counts.any():
+        yield _packed_tallies(dict(enumerate(np.split(counts, SKETCH_PARTS))))
+
+
+def _packed_tallies(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+    packed = [pack([np.minimum(x, 0xFFFFFFFF).astype("<u4")]) for x in parts.values()]
+    return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array(packed, pa.binary())], names=["place", "counts"])
+
+
+def _added(batches):
+    parts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for place, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            parts[place] = parts.get(place, 0) + unpack(packed.as_py(), ["<u4"])[0].astype(np.int64)
+    if parts:
+        yield _packed_tallies(parts)
+
+
+def shingle_counts(prints: DataFrame) -> np.ndarray:
+    """How often shingles of each cell occur, in all sets."""
+    kind = "place int, counts binary"
+    counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint32)
+    for place, packed in prints.select("shingles").mapInArrow(_tallies, kind).repartition("place").mapInArrow(_added, kind).collect():
+        counts[place] = unpack(bytes(packed), ["<u4"])[0]
+    return counts.ravel()
+
+
+def prefix(shingles: np.ndarray, counts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle, place) of the rarest shingles: sets of this similarity at least have one in common. Those of no other set are left out."""
+    seen = np.minimum(counts[shingles >> np.uint64(HASH_BITS - SKETCH_BITS)], (1 << 63 - HASH_BITS) - 1).astype(np.uint64)
+    ordered = np.sort(seen << np.uint64(HASH_BITS) | shingles)[: len(shingles) - math.ceil(similarity * len(shingles) - SLACK) + 1]
+    at = np.flatnonzero(ordered >> np.uint64(HASH_BITS) > 1)
+    return ordered[at].view(np.int64), at
+
+
+def _prefixes(shared, similarity: float):
+    def run(batches):
+        counts = shared.value
+
+        def out(found):
+            which = np.repeat(np.arange(len(found)), [len(f[4]) for f in found])
+            arrays = [pa.array(np.concatenate([f[4] for f in found]), pa.int64()), *(pa.array(np.array([f[k] for f in found], np.int64)[which], pa.int64()) for k in range(4)), pa.array(np.concatenate([f[5] for f in found]), pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, names=["shingle", "node", "label", "size", "n", "at"])
+
+        for batch in batches:
+            found, rows = [], 0
+            for node, label, size, packed in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
+                (own,) = unpack(packed.as_py(), ["<u8"])
+                shingles, at = prefix(own, counts, similarity)
+                found.append((node, label, size, len(own), shingles, at))
+                rows += len(at)
+                if rows > 65536:
+                    yield out(found)
+                    found, rows = [], 0
+            if rows:
+                yield out(found)
+
+    return run
+
+
+def candidates(prints: DataFrame, nodes: DataFrame, roots: DataFrame, own: list[str], similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different groups that can have this similarity: group_a, group_b, and how many of their rarest shingles they share.
+
+    A shingle that only one group has gives no pairs; the largest group of a shingle meets the others, not itself. A
+    shingle of many nodes is dealt in blocks.
+    """
+    spark = prints.sparkSession
+    counts = spark.sparkContext.broadcast(shingle_counts(prints))
+    groups = roots.join(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "root")
+    marks = nodes.join(groups, "node", "left").filter("root is not null or rows > 1").select(*own, "node", F.coalesce("root", "node").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
+    marks = broadcast_up_to(materialise(marks, "groups"), BROADCAST_KEYS)
+    members = prints.select(*own, "row", "shingles").join(marks, own, "left").filter("node is null or node = row")
+    members = members.select(F.col("row").alias("node"), F.coalesce("label", "row").alias("label"), F.coalesce("size", F.lit(1)).alias("size"), "shingles")
+    rows = members.mapInArrow(_prefixes(counts, similarity), _longs(["shingle", "node", "label", "size", "n", "at"]))
+    each = Window.partitionBy("shingle")
+    ranked = rows.select("shingle", "node", "n", "at", F.struct((-F.col("size")).alias("less"), "label").alias("rank"))
+    met = ranked.select("*", F.min("rank").over(each).alias("first"), F.max("rank").over(each).alias("last"), F.ceil(F.count(F.lit(1)).over(each) / BLOCK).alias("blocks")).filter("first <> last")
+    met = materialise(met.drop("last"), "met")
+    mine, others = F.pmod(F.xxhash64("node"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    one = met.filter("rank <> first").select("shingle", mine.alias("x"), others.alias("y"), *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "at", "rank")))
+    other = met.select("shingle", mine.alias("y"), others.alias("x"), *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "at", "rank")))
+    longer = F.greatest("n_a", "n_b") * similarity - SLACK <= F.least("n_a", "n_b")
+    enough = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - SLACK
+    pairs = one.join(other, ["shingle", "x", "y"]).filter((F.col("rank_b") < F.col("rank_a")) & longer & enough)
+    pairs = pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("rank_a.label").alias("group_a"), F.col("rank_b.label").alias("group_b")).agg(F.count(F.lit(1)).alias("shared"))
+    pairs = materialise(pairs, "candidates")
+    drop(met)
+    return pairs
+
+
+def missed_links(prints: DataFrame, nodes: DataFrame, roots: DataFrame, own: list[str], similarity: float) -> DataFrame:
+    """Pairs (a, b) that hold, of nodes of different groups; with the groups they connect all that have the similarity. roots: (node, root) of the groups so far.
+
+    Of the pairs of a node and a group the likeliest is looked at first, then all pairs that are still apart.
+    """
+    pairs = candidates(prints, nodes, roots, own, similarity)
+    likeliest = pairs.groupBy("a", "group_a", "group_b").agg(F.max(F.struct("shared", "b")).alias("best"))
+    likeliest = materialise(likeliest.select("a", F.col("best.b").alias("b"), "group_a", "group_b"), "likeliest")
+    held = materialise(similar_links(likeliest, prints, similarity), "links")
+    joined = materialise(components(likeliest.join(held, ["a", "b"]).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))), "joined")
+    left = pairs.join(likeliest.select("a", "b"), ["a", "b"], "left_anti")
+    for side in ("a", "b"):
+        left = left.join(joined.select(F.col("node").alias(f"group_{side}"), F.col("root").alias(f"root_{side}")), f"group_{side}", "left")
+    left = left.filter(F.coalesce("root_a", "group_a") != F.coalesce("root_b", "group_b"))
+    left = materialise(left.select("a", "b"), "left")
+    return held.union(materialise(similar_links(left, prints, similarity), "links"))
+
+
 def bits_apart(similarity: float, bits: int, deviations: float) -> int:
     """Bits in which texts of this Jaccard similarity (of shingle sets of like size) differ, and so many standard deviations more."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
@@ -579,12 +711,11 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, words_each: int, tables:
     return prints, materialise(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
-def _named(prints: DataFrame, nodes: DataFrame, pairs: DataFrame, tables: int) -> DataFrame:
-    """prints with component_id: the least id a row is linked with over any number of the pairs.
+def _named(prints: DataFrame, nodes: DataFrame, pairs: DataFrame, own: list[str]) -> DataFrame:
+    """prints with component_id: the least id a row is linked with over any number of the pairs. own: the columns that tell nodes apart.
 
-    Only fingerprints of several rows or with links have to be looked up, by a broadcast up to BROADCAST_KEYS of them.
+    Only nodes of several rows or with links have to be looked up, by a broadcast up to BROADCAST_KEYS of them.
     """
-    own = words(tables)
     roots = materialise(components(pairs), "roots")
     rooted = roots.join(nodes.select("node", "least"), "node")
     least = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
@@ -597,26 +728,29 @@ def _named(prints: DataFrame, nodes: DataFrame, pairs: DataFrame, tables: int) -
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = SHINGLE_WORDS, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits) and component_id, the least id it is linked with over any number of links."""
     prints, nodes = _nodes(docs, id_col, text_col, words_each, 1)
-    named = _named(prints, nodes, links(nodes, 1, distance, None, parts), 1)
+    named = _named(prints, nodes, links(nodes, 1, distance, None, parts), words(1))
     return named.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words_each: int = 5, tables: int = 4, distance: int = 9, parts: int | None = None) -> DataFrame:
     """docs with one document, that of least id, of each group of near duplicates; all columns as they were.
 
-    Texts are near duplicates from a Jaccard similarity of their sets of shingles on. One table of 64 bits would miss
-    many, so there are several independent ones: a pair is found by the pigeonhole search if any table is within
-    `distance` and all together are within bits_apart(similarity) of two and a half deviations, and linked if its exact
-    similarity reaches the bound. Equal fingerprints of all tables are one text.
+    Texts are near duplicates from a Jaccard similarity of their sets of shingles on; none of these links is lost, and equal
+    sets are one node. Most are found by fingerprints of the sets: one table of 64 bits would miss many, so there are
+    several independent ones: a pair is found by the pigeonhole search if any table is within `distance` and all together
+    are within bits_apart(similarity) of two and a half deviations, and linked if its exact similarity reaches the bound.
+    The rest are found by missed_links().
     A row is known by its id and text; of rows equal in both, one stays. Where no row of a group has an id, all stay.
     """
-    prints, nodes = _nodes(docs, id_col, text_col, words_each, tables)
+    ship(docs.sparkSession)
+    prints = materialise(set_table(docs, id_col, text_col, words_each, tables), "fingerprints")
+    own = ["set_key", *words(tables)]
+    nodes = materialise(prints.groupBy(*own).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows"), F.min("row").alias("node")), "nodes")
     pairs = materialise(links(nodes, tables, distance, bits_apart(similarity, 64 * tables, 2.5), parts), "pairs")
+    roots = materialise(components(similar_links(pairs, prints, similarity)), "roots")
+    found = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(missed_links(prints, nodes, roots, own, similarity))
     rows = _with_key(docs, id_col, text_col)
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    keys = materialise(nodes.join(asked, "node").select("one.id", "one.text_key", "node"), "candidates")
-    texts = _among(rows.drop("row"), keys, "inner").select("node", "text")
-    named = _named(prints, nodes, similar_links(pairs, texts, words_each, similarity), tables)
+    named = _named(prints, nodes, found, own)
     gone = materialise(named.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "text_key"), "gone")
     kept = _among(rows.drop("text"), gone, "left_anti")
     again = materialise(prints.filter("id is not null").groupBy("id", "text_key").count().filter("count > 1").select("id", "text_key"), "again")
